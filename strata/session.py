@@ -7,8 +7,11 @@ import tempfile
 import uuid
 from importlib.util import find_spec
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
+import strata
+
 # Session settings that results depend on, or that hold at every scale.
 # Master, memory and shuffle width are left to whoever submits the job.
 RUNTIME_CONF = {
@@ -41,7 +44,12 @@ def build_session(app_name: str = "strata", conf: dict[str, str] | None = None)
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session somebody else built."""
+    """Apply the runtime settings to a session somebody else built.
+
+    Functions of this package travel to the Python workers by value, so the
+    executors need not have it installed.
+    """
+    cloudpickle.register_pickle_by_value(strata)
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
     return spark
