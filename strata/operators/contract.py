@@ -55,6 +55,10 @@ class Contract:
     def columns(self) -> list[str]:
         return [f.name for f in self.fields]
 
+    @property
+    def sql_schema(self) -> str:
+        return ", ".join(f"{f.name} {SQL_TYPES[f.kind]}" for f in self.fields)
+
     def with_allowed(self, field: str, allowed: tuple[str, ...]) -> "Contract":
         """The same contract with another value set for one field."""
         changed = tuple(

@@ -17,7 +17,7 @@ from strata.operators.merge import dedup_latest, standardize
 from strata.operators.quality import SILVER_SUITE, Expectation, enforce
 from strata.plans.retrieval import Index, build_index
 from strata.sources.silver import merge_silver, read_silver
-from strata.sources.writers import append_batch, read_batches, read_valid, with_audit, write_split
+from strata.sources.writers import append_batch, bronze_schema, read_batches, read_valid, with_audit, write_split
 
 JOB = "article_run"
 
@@ -28,33 +28,35 @@ class Layout:
 
     root: str
 
-    def __getattr__(self, name: str) -> str:
-        if name in ("landing", "bronze", "staging", "silver", "gold", "index", "lineage"):
-            return f"{self.root}/{name}"
-        raise AttributeError(name)
+    def at(self, *parts: str) -> str:
+        return "/".join((self.root, *parts))
+
+    def landing(self, batch_id: int) -> str:
+        return self.at("landing", f"batch={batch_id}")
 
 
 def ingest(events: DataFrame, contract: Contract, layout: Layout, batch_id: int) -> dict:
     """Check raw events and land them split; returns the counts."""
-    return write_split(check(events, contract), contract, f"{layout.landing}/batch={batch_id}")
+    return write_split(check(events, contract), contract, layout.landing(batch_id))
 
 
 def load_bronze(valid: DataFrame, layout: Layout, batch_id: int, settings: Settings) -> int:
-    return append_batch(with_audit(valid, settings.source_name), layout.bronze, batch_id)
+    return append_batch(with_audit(valid, settings.source_name), layout.at("bronze"), batch_id)
 
 
-def load_silver(spark, layout: Layout, batch_id: int, settings: Settings) -> None:
-    """Merge the rows of this bronze batch only; earlier batches are pruned away."""
-    rows = read_batches(spark, layout.bronze, after=batch_id - 1).where(f"_batch_id = {batch_id}")
+def load_silver(spark, contract: Contract, layout: Layout, batch_id: int, settings: Settings) -> None:
+    """Merge the rows of this bronze batch only; other batches are pruned away."""
+    bronze = read_batches(spark, layout.at("bronze"), bronze_schema(contract))
+    rows = bronze.where(f"_batch_id = {batch_id}")
     staged = dedup_latest(standardize(rows), settings.business_key)
-    folder = f"{layout.staging}/batch={batch_id}"
+    folder = layout.at("staging", f"batch={batch_id}")
     staged.write.mode("overwrite").parquet(folder)
-    merge_silver(spark.read.parquet(folder), layout.silver, settings.business_key, settings.broadcast_bytes)
+    merge_silver(spark.read.parquet(folder), layout.at("silver"), settings.business_key, settings.broadcast_bytes)
 
 
 def load_gold(silver: DataFrame, layout: Layout) -> None:
-    gold.category_metrics(silver).write.mode("overwrite").parquet(f"{layout.gold}/category_metrics")
-    gold.author_metrics(silver).write.mode("overwrite").parquet(f"{layout.gold}/author_metrics")
+    gold.category_metrics(silver).write.mode("overwrite").parquet(layout.at("gold", "category_metrics"))
+    gold.author_metrics(silver).write.mode("overwrite").parquet(layout.at("gold", "author_metrics"))
 
 
 def run(
@@ -75,7 +77,7 @@ def run(
     """
     spark = events.sparkSession
     layout = Layout(root)
-    log = LineageLog(spark, layout.lineage, settings.lineage_namespace, settings.lineage_producer)
+    log = LineageLog(spark, layout.at("lineage"), settings.lineage_namespace, settings.lineage_producer)
     run_id = str(uuid.uuid4())
     summary: dict = {"run_id": run_id, "batch_id": batch_id}
 
@@ -93,17 +95,17 @@ def run(
         summary.update(
             stage("ingest", ["raw"], ["landing"], lambda: ingest(events, contract, layout, batch_id))
         )
-        valid = read_valid(spark, f"{layout.landing}/batch={batch_id}", contract)
+        valid = read_valid(spark, layout.landing(batch_id), contract)
         summary["bronze_count"] = stage(
             "bronze", ["landing"], ["bronze"], lambda: load_bronze(valid, layout, batch_id, settings)
         )
-        stage("silver", ["bronze"], ["silver"], lambda: load_silver(spark, layout, batch_id, settings))
-        silver = read_silver(spark, layout.silver)
+        stage("silver", ["bronze"], ["silver"], lambda: load_silver(spark, contract, layout, batch_id, settings))
+        silver = read_silver(spark, layout.at("silver"))
         summary["gate"] = stage("quality_gate", ["silver"], [], lambda: enforce(silver, suite))
         stage("gold", ["silver"], ["gold"], lambda: load_gold(silver, layout))
         chunks = chunk_documents(silver, settings.chunk_size, settings.chunk_overlap)
         return stage(
-            "index", ["silver"], ["index"], lambda: build_index(chunks, layout.index, settings, embedder)
+            "index", ["silver"], ["index"], lambda: build_index(chunks, layout.at("index"), settings, embedder)
         )
 
     index = stage(JOB, ["raw"], ["gold", "index"], stages)

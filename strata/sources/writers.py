@@ -49,12 +49,20 @@ def write_split(
     return seen.get
 
 
+def landing_schema(contract: Contract) -> str:
+    """Schema of a landing folder; given to the reader, as a batch may hold no row."""
+    texts = ", ".join(f"{c} string" for c in (*QUARANTINE_COLUMNS, "_status"))
+    return f"{contract.sql_schema}, {texts}"
+
+
 def read_valid(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
-    return spark.read.parquet(path).where("_status = 'valid'").select(*contract.columns)
+    rows = spark.read.schema(landing_schema(contract)).parquet(path)
+    return rows.where("_status = 'valid'").select(*contract.columns)
 
 
-def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).where("_status = 'quarantined'").select(*QUARANTINE_COLUMNS)
+def read_quarantine(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
+    rows = spark.read.schema(landing_schema(contract)).parquet(path)
+    return rows.where("_status = 'quarantined'").select(*QUARANTINE_COLUMNS)
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -101,10 +109,17 @@ def append_batch(
     return seen.get["n"]
 
 
-def read_batches(spark: SparkSession, path: str, after: int | None = None) -> DataFrame:
+def bronze_schema(contract: Contract) -> str:
+    return f"{contract.sql_schema}, _ingested_at timestamp, _source string, ingestion_date date, _batch_id bigint"
+
+
+def read_batches(
+    spark: SparkSession, path: str, schema: str | None = None, after: int | None = None
+) -> DataFrame:
     """An append log; ``after`` keeps the batches behind a given one, by partition pruning."""
-    log_rows = spark.read.parquet(path)
-    return log_rows if after is None else log_rows.where(F.col("_batch_id") > after)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    rows = reader.parquet(path)
+    return rows if after is None else rows.where(F.col("_batch_id") > after)
 
 
 def schema_diff(target: T.StructType, incoming: T.StructType) -> list[tuple[str, str]]:

@@ -31,7 +31,7 @@ def stream_contract(
         folder = f"{out}/batch_id={batch_id}"
         write_split(check(batch, contract), contract, folder, position=position)
         if dead_letters is not None:
-            rejected = read_quarantine(batch.sparkSession, folder)
+            rejected = read_quarantine(batch.sparkSession, folder, contract)
             send_to_kafka(rejected, dead_letters.kafka_bootstrap, dead_letters.kafka_dlq_topic)
 
     return _drain(events, land, checkpoint)
