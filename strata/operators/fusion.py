@@ -19,18 +19,22 @@ def rrf_fuse(dense: DataFrame, lexical: DataFrame, rrf_k: int = 60, k: int = 5)
     lexical one where a chunk is in both lists. The sizes of the two lists ride
     along, so that counting them later needs no second search.
     """
-    tagged = dense.withColumn("_dense", F.lit(True)).unionByName(lexical.withColumn("_dense", F.lit(False)))
-    from_dense, from_lexical = F.col("_dense"), ~F.col("_dense")
-    fused = tagged.groupBy("query_id", "chunk_id", *ORDER).agg(
-        F.sum(F.lit(1.0) / (F.lit(rrf_k) + F.col("rank"))).alias("rrf_score"),
-        F.min(F.when(from_dense, F.col("rank"))).alias("dense_rank"),
-        F.min(F.when(from_lexical, F.col("rank"))).alias("bm25_rank"),
-        F.coalesce(
-            F.max(F.when(from_lexical, F.col("score"))), F.max(F.when(from_dense, F.col("score")))
-        ).alias("score"),
+    keys = ["query_id", "chunk_id", *ORDER]
+    from_dense = dense.select(*keys, F.col("rank").alias("dense_rank"), F.col("score").alias("_dense_score"))
+    from_lexical = lexical.select(*keys, F.col("rank").alias("bm25_rank"), F.col("score").alias("_bm25_score"))
+
+    def share(rank: str) -> Column:
+        return F.coalesce(F.lit(1.0) / (F.lit(rrf_k) + F.col(rank)), F.lit(0.0))
+
+    fused = from_dense.join(from_lexical, keys, "full").select(
+        *keys,
+        "dense_rank",
+        "bm25_rank",
+        (share("dense_rank") + share("bm25_rank")).alias("rrf_score"),
+        F.coalesce("_bm25_score", "_dense_score").alias("score"),
     )
     whole = Window.partitionBy("query_id")
-    order = whole.orderBy(F.desc("rrf_score"), F.asc_nulls_last("dense_rank"), "bm25_rank")
+    order = whole.orderBy(F.desc("rrf_score"), F.asc_nulls_last("dense_rank"), F.asc_nulls_last("bm25_rank"))
     return fused.select(
         "*",
         F.count("dense_rank").over(whole).alias("dense_hits_count"),
