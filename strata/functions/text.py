@@ -11,16 +11,19 @@ WHITESPACE = (
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
 
+# Fixed value: the same characters as a string, for trimming.
+WHITESPACE_CHARACTERS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+
 
 def tokens(text: Column) -> Column:
     """Lower-cased whitespace tokens; an empty array for null text."""
     words = F.split(F.lower(F.coalesce(text, F.lit(""))), WHITESPACE + "+")
-    return F.filter(words, lambda word: word != "")
+    return F.array_remove(words, "")
 
 
 def strip(text: Column) -> Column:
     """Trim Unicode whitespace at both ends."""
-    return F.regexp_replace(text, rf"\A{WHITESPACE}+|{WHITESPACE}+\z", "")
+    return F.btrim(text, F.lit(WHITESPACE_CHARACTERS))
 
 
 def first_line(text: Column) -> Column:

@@ -28,10 +28,9 @@ def document_frequencies(chunks: DataFrame) -> DataFrame:
     return terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
-def corpus_size(chunks: DataFrame) -> tuple[int, float]:
-    """Number of chunks and their average length in tokens (empty chunks count)."""
-    row = chunks.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("tokens")).alias("avgdl")).first()
-    return row["n"], row["avgdl"] or 0.0
+def corpus_size() -> tuple[Column, Column]:
+    """Aggregates: the number of chunks and of their tokens (empty chunks count)."""
+    return F.count(F.lit(1)).alias("chunks"), F.sum(F.size("tokens")).alias("tokens")
 
 
 def raw_idf(df: Column, n: int) -> Column:
@@ -53,10 +52,11 @@ class Bm25Stats:
         return F.when(raw < 0, F.lit(self.epsilon * self.mean_idf)).otherwise(raw)
 
 
-def corpus_stats(chunks: DataFrame, frequencies: DataFrame, epsilon: float = 0.25) -> Bm25Stats:
-    n, avgdl = corpus_size(chunks)
-    mean = frequencies.agg(F.avg(raw_idf(F.col("df"), n)).alias("mean")).first()["mean"] if n else 0.0
-    return Bm25Stats(n, avgdl, mean or 0.0, epsilon)
+def corpus_stats(size: dict, frequencies: DataFrame, epsilon: float = 0.25) -> Bm25Stats:
+    """Scalars from the counted corpus size and the document frequencies."""
+    n, n_tokens = size["chunks"], size["tokens"] or 0
+    mean = frequencies.agg(F.avg(raw_idf(F.col("df"), n)).alias("mean")).first()["mean"]
+    return Bm25Stats(n, n_tokens / n if n else 0.0, mean or 0.0, epsilon)
 
 
 def term_table(frequencies: DataFrame, stats: Bm25Stats) -> DataFrame:
@@ -119,7 +119,7 @@ class Bm25Scorer:
         term_of = found.drop_null().to_numpy(zero_copy_only=False).astype(np.int64)
         pairs, tf = np.unique(row_of * len(vocabulary) + term_of, return_counts=True)
         row_of, term_of = pairs // len(vocabulary), pairs % len(vocabulary)
-        scale = self.k1 * (1 - self.b + self.b * lengths[row_of] / self.avgdl)
+        scale = self.k1 * (1 - self.b + self.b * lengths[row_of] / (self.avgdl or 1.0))
         part = tf * (self.k1 + 1) / (tf + scale)
         # One entry per (posting, query that weighs the term).
         fan = starts[term_of + 1] - starts[term_of]

@@ -45,7 +45,7 @@ from strata.plans.retrieval import (
     search_bm25,
     search_dense,
 )
-from strata.session import configure, spread, work_path
+from strata.session import configure, work_path
 from strata.sources.articles import articles, as_json, table
 from strata.sources.readers import read_events, read_json, stream_lines
 from strata.sources.silver import merge_silver, read_silver
@@ -89,7 +89,7 @@ def registered() -> dict[str, Query]:
 
 
 def checked_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return check(as_json(articles(spark, sf_dir)), ARTICLES)
+    return check(as_json(articles(spark, sf_dir, spread_out=True)), ARTICLES)
 
 
 def failure_rows(checked: DataFrame, fields: tuple[str, ...], starting: str) -> DataFrame:
@@ -103,7 +103,7 @@ def shared_index(spark: SparkSession, sf_dir: str) -> Index:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _index_paths:
         path = work_path(spark, "index")
-        index = build_index(chunk_documents(articles(spark, sf_dir)), path)
+        index = build_index(chunk_documents(articles(spark, sf_dir, spread_out=True)), path)
         _index_paths[key] = path
         return index
     return open_index(spark, _index_paths[key])
@@ -220,7 +220,7 @@ def contract_timestamp(spark, sf_dir):
 def contract_record(spark, sf_dir):
     digest = F.md5(F.col("article_id"))
     parts = [F.substring(digest, start, n) for start, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
-    records = articles(spark, sf_dir).select(
+    records = articles(spark, sf_dir, spread_out=True).select(
         F.concat_ws("-", *parts).alias("article_id"),
         "title",
         "content",
@@ -246,7 +246,7 @@ def ingest_split_counts(spark, sf_dir):
 def landing_split(spark, sf_dir):
     """Events from JSON lines, landed once as valid and quarantined rows, read back."""
     lines, landing = work_path(spark, "lines"), work_path(spark, "landing")
-    as_json(articles(spark, sf_dir)).write.text(lines)
+    as_json(articles(spark, sf_dir, spread_out=True)).write.text(lines)
     write_split(check(read_events(spark, lines), ARTICLES), ARTICLES, landing)
     valid = read_valid(spark, landing, ARTICLES).select(
         "article_id", F.lit("valid").alias("status"), F.lit(None).cast("string").alias("failed_field")
@@ -263,7 +263,7 @@ def landing_split(spark, sf_dir):
 def stream_contract_split(spark, sf_dir):
     """The same split by a drained stream over JSON lines."""
     lines, out, checkpoint = (work_path(spark, n) for n in ("lines", "stream", "checkpoint"))
-    as_json(articles(spark, sf_dir)).write.text(lines)
+    as_json(articles(spark, sf_dir, spread_out=True)).write.text(lines)
     stream_contract(stream_lines(spark, lines), ARTICLES, out, checkpoint).awaitTermination()
     return read_valid(spark, out, ARTICLES)
 
@@ -272,7 +272,7 @@ def stream_contract_split(spark, sf_dir):
 def stream_silver_upsert(spark, sf_dir):
     """A silver table fed by a stream of several micro-batches."""
     lines, silver, staging, checkpoint = (work_path(spark, n) for n in ("lines", "silver", "staging", "checkpoint"))
-    spread(as_json(articles(spark, sf_dir))).write.text(lines)
+    as_json(articles(spark, sf_dir, spread_out=True)).write.text(lines)
     events = stream_lines(spark, lines, max_files=3)
     stream_silver(events, ARTICLES, silver, staging, checkpoint).awaitTermination()
     return read_silver(spark, silver).select(*ARTICLES.columns)
@@ -383,7 +383,7 @@ def gold_author(spark, sf_dir):
 
 @query
 def gold_word_count(spark, sf_dir):
-    return gold.category_word_counts(articles(spark, sf_dir))
+    return gold.category_word_counts(articles(spark, sf_dir, spread_out=True))
 
 
 @query
@@ -453,7 +453,7 @@ def lineage_rows(spark, sf_dir):
 def medallion_gold(spark, sf_dir):
     """The whole run on the articles as raw events; its category table."""
     root = work_path(spark, "medallion")
-    medallion.run(as_json(articles(spark, sf_dir)), root, 1, ARTICLES)
+    medallion.run(as_json(articles(spark, sf_dir, spread_out=True)), root, 1, ARTICLES)
     return spark.read.parquet(f"{root}/gold/category_metrics")
 
 
@@ -462,13 +462,13 @@ def medallion_gold(spark, sf_dir):
 
 @query
 def chunk_texts(spark, sf_dir):
-    return chunk_documents(articles(spark, sf_dir)).select("chunk_id", "doc_id", "chunk_index", "text")
+    return chunk_documents(articles(spark, sf_dir, spread_out=True)).select("chunk_id", "doc_id", "chunk_index", "text")
 
 
 @query
 def chunk_citations(spark, sf_dir):
-    chunks = chunk_documents(articles(spark, sf_dir), 200, 30)
-    plain = chunk_documents(articles(spark, sf_dir), 200, 30, style="plain")
+    chunks = chunk_documents(articles(spark, sf_dir, spread_out=True), 200, 30)
+    plain = chunk_documents(articles(spark, sf_dir, spread_out=True), 200, 30, style="plain")
     columns = ("chunk_id", "title", "author", "category", "citation_label")
     return chunks.select(*columns).unionByName(plain.select(*columns))
 

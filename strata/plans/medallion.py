@@ -37,7 +37,8 @@ class Layout:
 
 def ingest(events: DataFrame, contract: Contract, layout: Layout, batch_id: int) -> dict:
     """Check raw events and land them split; returns the counts."""
-    return write_split(check(events, contract), contract, layout.landing(batch_id))
+    source_file = "_source_file" if "_source_file" in events.columns else None
+    return write_split(check(events, contract), contract, layout.landing(batch_id), source_file=source_file)
 
 
 def load_bronze(valid: DataFrame, layout: Layout, batch_id: int, settings: Settings) -> int:
@@ -95,7 +96,7 @@ def run(
         summary.update(
             stage("ingest", ["raw"], ["landing"], lambda: ingest(events, contract, layout, batch_id))
         )
-        valid = read_valid(spark, layout.landing(batch_id), contract)
+        valid = read_valid(spark, layout.landing(batch_id), contract, with_source=True)
         summary["bronze_count"] = stage(
             "bronze", ["landing"], ["bronze"], lambda: load_bronze(valid, layout, batch_id, settings)
         )

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 
 from strata.config import Settings
 from strata.operators.bm25 import (
     Bm25Stats,
     bm25_topk,
+    corpus_size,
     corpus_stats,
     document_frequencies,
     with_tokens,
@@ -35,24 +36,34 @@ def build_index(
 ) -> Index:
     """Tokenise and embed every chunk once, and write the tables queries read.
 
-    Columnar storage lets BM25 read only the tokens and dense search only the
+    The corpus scalars are counted while the chunks are written. Columnar storage lets BM25 read only the tokens and dense search only the
     vectors; the texts are read for the final candidates alone.
     """
     embedder = embedder or hashing_embedder(settings.embedding_dim)
-    embed_column(with_tokens(chunks), embedder).write.mode("overwrite").parquet(f"{path}/chunks")
     spark = chunks.sparkSession
+    seen = Observation("index")
+    rows = embed_column(with_tokens(chunks), embedder).observe(seen, *corpus_size())
+    rows.write.mode("overwrite").parquet(f"{path}/chunks")
     written = spark.read.parquet(f"{path}/chunks")
     document_frequencies(written).write.mode("overwrite").parquet(f"{path}/terms")
-    return open_index(spark, path, settings, embedder)
+    stats = corpus_stats(seen.get, spark.read.parquet(f"{path}/terms"), settings.bm25_epsilon)
+    spark.range(1).select(*[F.lit(v).alias(c) for c, v in stats.__dict__.items()]).coalesce(1).write.mode(
+        "overwrite"
+    ).parquet(f"{path}/stats")
+    return Index(written, spark.read.parquet(f"{path}/terms"), stats, embedder)
 
 
 def open_index(
     spark: SparkSession, path: str, settings: Settings = Settings(), embedder: Embedder | None = None
 ) -> Index:
-    chunks = spark.read.parquet(f"{path}/chunks")
-    frequencies = spark.read.parquet(f"{path}/terms")
-    stats = corpus_stats(chunks, frequencies, settings.bm25_epsilon)
-    return Index(chunks, frequencies, stats, embedder or hashing_embedder(settings.embedding_dim))
+    """A written index; its embedder must be the one it was built with."""
+    stats = Bm25Stats(**spark.read.parquet(f"{path}/stats").first().asDict())
+    return Index(
+        spark.read.parquet(f"{path}/chunks"),
+        spark.read.parquet(f"{path}/terms"),
+        stats,
+        embedder or hashing_embedder(settings.embedding_dim),
+    )
 
 
 def search_dense(index: Index, queries: DataFrame, settings: Settings = Settings()) -> DataFrame:

@@ -5,18 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strata.functions.text import first_line
+from strata.session import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+def articles(spark: SparkSession, sf_dir: str, spread_out: bool = False) -> DataFrame:
     """Documents shaped as article events; the rating comes from the labels.
 
     The join is left to Catalyst: ``labels`` grows with the documents.
+    ``spread_out`` is for CPU-heavy work on a file of few splits.
     """
     docs = table(spark, sf_dir, "documents")
+    docs = spread(docs) if spread_out else docs
     labels = table(spark, sf_dir, "labels")
     rating = (
         F.coalesce(F.col("quality"), F.lit(0)) * F.lit(5.0)

@@ -26,7 +26,12 @@ class SchemaMismatchError(ValueError):
 
 
 def write_split(
-    checked: DataFrame, contract: Contract, path: str, value: str = "value", position: tuple[str, ...] = ()
+    checked: DataFrame,
+    contract: Contract,
+    path: str,
+    value: str = "value",
+    position: tuple[str, ...] = (),
+    source_file: str | None = None,
 ) -> dict:
     """Land checked rows in one job, valid and quarantined in a folder each.
 
@@ -43,6 +48,7 @@ def write_split(
         F.when(rejected, F.concat(F.lit(REASON_PREFIX), first["message"])).alias("rejection_reason"),
         F.when(rejected, first["field"]).alias("failed_field"),
         F.when(rejected, F.col(value)).alias("raw_payload"),
+        (F.col(source_file) if source_file else F.lit(None).cast("string")).alias("_source_file"),
         F.when(rejected, "quarantined").otherwise("valid").alias("_status"),
     )
     rows.write.mode("overwrite").partitionBy("_status").parquet(path)
@@ -51,13 +57,15 @@ def write_split(
 
 def landing_schema(contract: Contract) -> str:
     """Schema of a landing folder; given to the reader, as a batch may hold no row."""
-    texts = ", ".join(f"{c} string" for c in (*QUARANTINE_COLUMNS, "_status"))
+    texts = ", ".join(f"{c} string" for c in (*QUARANTINE_COLUMNS, "_source_file", "_status"))
     return f"{contract.sql_schema}, {texts}"
 
 
-def read_valid(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
+def read_valid(spark: SparkSession, path: str, contract: Contract, with_source: bool = False) -> DataFrame:
+    """The contract columns of the valid rows, with the file they came from on demand."""
     rows = spark.read.schema(landing_schema(contract)).parquet(path)
-    return rows.where("_status = 'valid'").select(*contract.columns)
+    source = ["_source_file"] if with_source else []
+    return rows.where("_status = 'valid'").select(*contract.columns, *source)
 
 
 def read_quarantine(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
@@ -110,7 +118,8 @@ def append_batch(
 
 
 def bronze_schema(contract: Contract) -> str:
-    return f"{contract.sql_schema}, _ingested_at timestamp, _source string, ingestion_date date, _batch_id bigint"
+    audit = "_source_file string, _ingested_at timestamp, _source string, ingestion_date date, _batch_id bigint"
+    return f"{contract.sql_schema}, {audit}"
 
 
 def read_batches(
