@@ -8,7 +8,7 @@ pair, and the final window keeps k per query.
 The queries reach the tasks in one of two ways, chosen by their measured size:
 
 * within ``broadcast_bytes``: one broadcast, no shuffle of the corpus;
-* beyond it: corpus cells x query blocks, both cut by hash to the same bound,
+* beyond it: corpus cells x query blocks, both cut by hash to a bounded size,
   meet in a grid of groups. No query and no corpus row is left out.
 """
 
@@ -26,8 +26,9 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from strata.operators.chunks import ORDER
 from strata.operators.sizing import measured_bytes
 
-SCORE_DIGITS = 9  # scores closer than this are ties, broken by corpus order
+SCORE_DIGITS = 9  # scores alike to so many decimals are ties, broken by corpus order
 MAX_CELLS = 4_000_000  # rows x queries scored at a time
+GROUP_BYTES = 64 << 20  # corpus rows that meet a query block in one group
 
 
 class Scorer(Protocol):
@@ -65,16 +66,18 @@ def _batch_hits(
     stride = max(1, MAX_CELLS // len(query_ids))
     for start in range(0, rows.num_rows, stride):
         part = rows.slice(start, stride)
-        scores = np.round(scorer.score(part, prepared), SCORE_DIGITS)
-        at_row, at_query = best_rows(scores, k)
+        scores = scorer.score(part, prepared)
+        sort_key = np.round(scores, SCORE_DIGITS)
+        at_row, at_query = best_rows(sort_key, k)
         hits = part.select(ids).take(pa.array(at_row)).combine_chunks()
         yield pa.RecordBatch.from_arrays(
             [
                 query_ids.take(pa.array(at_query)),
-                *[hits.column(c).combine_chunks() if hits.num_rows else pa.array([], hits.schema.field(c).type) for c in ids],
+                *[_flat(hits.column(c)) for c in ids],
                 pa.array(scores[at_row, at_query], pa.float64()),
+                pa.array(sort_key[at_row, at_query], pa.float64()),
             ],
-            names=["query_id", *ids, "score"],
+            names=["query_id", *ids, "score", "_sort_key"],
         )
 
 
@@ -93,7 +96,12 @@ def topk_hits(
     ids = ["chunk_id", *ORDER]
     needed = corpus.select(*ids, *[c for c in scorer.columns if c not in ids])
     schema = T.StructType(
-        [queries.schema["query_id"], *[corpus.schema[c] for c in ids], T.StructField("score", T.DoubleType())]
+        [
+            queries.schema["query_id"],
+            *[corpus.schema[c] for c in ids],
+            T.StructField("score", T.DoubleType()),
+            T.StructField("_sort_key", T.DoubleType()),
+        ]
     )
     kept = queries.persist()  # measured, then read again
     try:
@@ -105,13 +113,13 @@ def topk_hits(
         partial = _broadcast_hits(needed, block, scorer, k, ids, schema)
     else:
         partial = _grid_hits(needed, queries, scorer, k, ids, schema, size, broadcast_bytes)
-    return rank_hits(partial, k)
+    return _rank_hits(partial, k)
 
 
-def rank_hits(hits: DataFrame, k: int) -> DataFrame:
+def _rank_hits(hits: DataFrame, k: int) -> DataFrame:
     """Rank from 1 by score within each query, ties in corpus order; keep k."""
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), *ORDER)
-    return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    order = Window.partitionBy("query_id").orderBy(F.desc("_sort_key"), *ORDER)
+    return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).drop("_sort_key")
 
 
 def _broadcast_hits(corpus, block, scorer, k, ids, schema) -> DataFrame:
@@ -128,7 +136,7 @@ def _broadcast_hits(corpus, block, scorer, k, ids, schema) -> DataFrame:
 
 def _grid_hits(corpus, queries, scorer, k, ids, schema, query_bytes, limit) -> DataFrame:
     blocks = max(1, math.ceil(query_bytes / limit))
-    cells = max(1, math.ceil(measured_bytes(corpus) / limit))
+    cells = max(1, math.ceil(measured_bytes(corpus) / GROUP_BYTES))
     left = corpus.withColumn("_cell", F.pmod(F.xxhash64(*ORDER), F.lit(cells))).withColumn(
         "_block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
     )

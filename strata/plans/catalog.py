@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from strata.config import Settings
 from strata.operators import gold
 from strata.operators.answer import grounded_answers
-from strata.operators.bm25 import bm25_topk, keyword_topk, term_table
+from strata.operators.bm25 import Bm25Scorer, keyword_topk, term_table, weighted_queries
 from strata.operators.chunks import chunk_documents
 from strata.operators.contract import (
     ARTICLE_EVENT,
@@ -34,6 +34,8 @@ from strata.operators.fusion import rrf_fuse
 from strata.operators.lineage import lineage_events
 from strata.operators.merge import dedup_latest, standardize, upsert
 from strata.operators.quality import check_rows, summarize
+from strata.operators.sizing import measured_bytes
+from strata.operators.topk import topk_hits
 from strata.plans import medallion
 from strata.plans.retrieval import (
     Index,
@@ -109,6 +111,11 @@ def shared_index(spark: SparkSession, sf_dir: str) -> Index:
     return open_index(spark, _index_paths[key])
 
 
+def hits(ranked: DataFrame) -> DataFrame:
+    """Hits with their score rounded for comparison."""
+    return ranked.withColumn("score", F.round("score", 6))
+
+
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item is a query, with its whole text."""
     return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
@@ -497,20 +504,21 @@ def bm25_stats(spark, sf_dir):
 
 @query
 def bm25_top(spark, sf_dir):
-    return search_bm25(shared_index(spark, sf_dir), questions(spark, sf_dir))
+    return hits(search_bm25(shared_index(spark, sf_dir), questions(spark, sf_dir)))
 
 
 @query
 def bm25_top_blocks(spark, sf_dir):
-    """The way for queries too large to broadcast: a bound that a few queries exceed."""
+    """The way for queries too large to broadcast: a bound just below their size."""
     index = shared_index(spark, sf_dir)
-    wanted = questions(spark, sf_dir)
-    return bm25_topk(index.chunks, wanted, index.frequencies, index.stats, broadcast_bytes=1 << 17)
+    weighted = weighted_queries(questions(spark, sf_dir), index.frequencies, index.stats)
+    scorer = Bm25Scorer(index.stats.avgdl)
+    return hits(topk_hits(index.chunks, weighted, scorer, 5, broadcast_bytes=measured_bytes(weighted) - 1))
 
 
 @query
 def keyword_top(spark, sf_dir):
-    return keyword_topk(shared_index(spark, sf_dir).chunks, questions(spark, sf_dir))
+    return hits(keyword_topk(shared_index(spark, sf_dir).chunks, questions(spark, sf_dir)))
 
 
 @query
@@ -539,18 +547,19 @@ def label_centroids(spark, sf_dir) -> DataFrame:
 
 @query
 def dense_top(spark, sf_dir):
-    return dense_topk(vectors(spark, sf_dir), label_centroids(spark, sf_dir))
+    return hits(dense_topk(vectors(spark, sf_dir), label_centroids(spark, sf_dir)))
 
 
 @query
 def dense_top_blocks(spark, sf_dir):
     """The same by blocks, as for queries too large to broadcast."""
-    return dense_topk(vectors(spark, sf_dir), label_centroids(spark, sf_dir), broadcast_bytes=1 << 12)
+    centroids = label_centroids(spark, sf_dir)
+    return hits(dense_topk(vectors(spark, sf_dir), centroids, broadcast_bytes=measured_bytes(centroids) - 1))
 
 
 @query
 def dense_top_chunks(spark, sf_dir):
-    return search_dense(shared_index(spark, sf_dir), questions(spark, sf_dir))
+    return hits(search_dense(shared_index(spark, sf_dir), questions(spark, sf_dir)))
 
 
 @query
@@ -575,7 +584,7 @@ def index_upsert(spark, sf_dir):
 def rrf_fused(spark, sf_dir):
     index, wanted = shared_index(spark, sf_dir), questions(spark, sf_dir)
     fused = rrf_fuse(search_dense(index, wanted), search_bm25(index, wanted))
-    return fused.select(
+    return hits(fused).select(
         "query_id", "chunk_id", "dense_rank", "bm25_rank", F.round("rrf_score", 9).alias("rrf_score"), "score", "rank"
     )
 

@@ -84,7 +84,7 @@ GRID = ", grid AS (SELECT query_id, chunk_id, doc_id, chunk_index FROM questions
 def ranked(name: str, scored: str, k: int = 5) -> str:
     """The k best rows per query of a (query_id, chunk_id, doc_id, chunk_index, raw_score) select."""
     return f""", {name} AS (
-  SELECT query_id, chunk_id, doc_id, chunk_index, round(raw_score, 9) AS score,
+  SELECT query_id, chunk_id, doc_id, chunk_index, round(raw_score, 6) AS score,
          (row_number() OVER (PARTITION BY query_id ORDER BY round(raw_score, 9) DESC, doc_id, chunk_index))::INTEGER AS rank
   FROM ({scored}) QUALIFY rank <= {k})"""
 
