@@ -10,17 +10,26 @@ from strata.session import delta_available
 def read_events(spark: SparkSession, path: str, layout: str = "lines") -> DataFrame:
     """Raw events as JSON text in ``value``, plus the file they came from.
 
-    ``lines`` is one object per line and keeps malformed lines; ``array`` is an
-    indented JSON array, whose elements become rows.
+    ``lines`` is one object per line and keeps malformed lines. ``array`` is an
+    indented JSON array whose elements become rows; such a file cannot be split
+    and must fit one VARIANT, so a malformed or larger one fails the read. Lines
+    are the format for large input.
     """
-    if layout == "lines":
-        rows = spark.read.text(path)
-    elif layout == "array":
-        elements = spark.read.option("multiLine", True).option("singleVariantColumn", "_element").json(path)
-        rows = elements.withColumn("value", F.to_json("_element"))
-    else:
+    if layout == "array":
+        files = (
+            spark.read.option("multiLine", True)
+            .option("mode", "FAILFAST")
+            .option("singleVariantColumn", "_file")
+            .json(path)
+            .select("_file", F.col("_metadata.file_path").alias("_source_file"))
+        )
+        elements = F.coalesce(F.try_variant_get("_file", "$", "array<variant>"), F.array("_file"))
+        return files.select(F.explode(elements).alias("_element"), "_source_file").select(
+            F.to_json("_element").alias("value"), "_source_file"
+        )
+    if layout != "lines":
         raise ValueError(f"layout must be lines or array, got {layout!r}")
-    return rows.select("value", F.col("_metadata.file_path").alias("_source_file"))
+    return spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_source_file"))
 
 
 def read_json(spark: SparkSession, path: str, schema: str, array: bool = False) -> DataFrame:
