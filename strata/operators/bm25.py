@@ -10,6 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from strata.functions.text import tokens
+from strata.operators.sizing import broadcast_if_small
 from strata.operators.topk import topk_hits
 
 try:
@@ -64,18 +65,21 @@ def term_table(frequencies: DataFrame, stats: Bm25Stats) -> DataFrame:
     return frequencies.select("term", "df", stats.idf(F.col("df")).alias("idf"))
 
 
-def weighted_queries(queries: DataFrame, frequencies: DataFrame, stats: Bm25Stats) -> DataFrame:
+def weighted_queries(
+    queries: DataFrame, frequencies: DataFrame, stats: Bm25Stats, broadcast_bytes: int = 64 << 20
+) -> DataFrame:
     """(query_id, terms): each query term with its count in the query times its idf.
 
-    The vocabulary is first cut to the distinct query terms. A query without
-    any known term keeps its row with an empty list.
+    Query terms measured to be small are broadcast, so the vocabulary is only
+    scanned. A query without any known term keeps its row with an empty list.
     """
     counted = (
         queries.select("query_id", F.explode(tokens(F.col("query"))).alias("term"))
         .groupBy("query_id", "term")
         .agg(F.count(F.lit(1)).alias("times"))
     )
-    weights = counted.join(term_table(frequencies, stats), "term").select(
+    vocabulary = term_table(frequencies, stats)
+    weights = vocabulary.join(broadcast_if_small(counted, broadcast_bytes), "term").select(
         "query_id",
         F.struct("term", (F.col("times") * F.col("idf")).alias("weight")).alias("entry"),
     )
@@ -140,7 +144,7 @@ def bm25_topk(
     broadcast_bytes: int = 64 << 20,
 ) -> DataFrame:
     """The k best chunks of each query (query_id, query); zero scores still fill k."""
-    weighted = weighted_queries(queries, frequencies, stats)
+    weighted = weighted_queries(queries, frequencies, stats, broadcast_bytes)
     return topk_hits(corpus, weighted, Bm25Scorer(stats.avgdl, k1, b), k, broadcast_bytes)
 
 

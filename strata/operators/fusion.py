@@ -63,11 +63,16 @@ def _rerank(scored: DataFrame, k: int) -> DataFrame:
     return scored.withColumn("final_rank", F.row_number().over(order)).where(F.col("final_rank") <= k)
 
 
-def rerank_keyword(candidates: DataFrame, k: int = 3) -> DataFrame:
-    """rrf_score + 0.1 per distinct query word found in the text; ties keep the fused order."""
+def with_keyword_score(candidates: DataFrame) -> DataFrame:
+    """Add rerank_score: rrf_score + 0.1 per distinct query word found in the text."""
     matches = distinct_matches(tokens(F.col("query")), F.col("text"))
     score = F.coalesce(F.col("rrf_score"), F.lit(0.0)) + matches * F.lit(0.1)
-    return _rerank(candidates.withColumn("rerank_score", score), k)
+    return candidates.withColumn("rerank_score", score)
+
+
+def rerank_keyword(candidates: DataFrame, k: int = 3) -> DataFrame:
+    """The k best by keyword score; ties keep the fused order."""
+    return _rerank(with_keyword_score(candidates), k)
 
 
 def rerank_model(candidates: DataFrame, scorer: Callable[[Column, Column], Column], k: int = 3) -> DataFrame:

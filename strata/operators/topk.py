@@ -143,7 +143,7 @@ def _grid_hits(corpus, queries, scorer, k, ids, schema, query_bytes, limit) -> D
     right = queries.withColumn("_block", F.pmod(F.xxhash64("query_id"), F.lit(blocks))).withColumn(
         "_cell", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(cells - 1).cast("long")))
     )
-    empty = pa.table({f.name: pa.array([], type=t) for f, t in zip(schema.fields, _arrow_types(schema))})
+    empty = corpus.sparkSession.createDataFrame([], schema).toArrow()
 
     def score_group(rows: pa.Table, block: pa.Table) -> pa.Table:
         if rows.num_rows == 0 or block.num_rows == 0:
@@ -158,7 +158,3 @@ def _grid_hits(corpus, queries, scorer, k, ids, schema, query_bytes, limit) -> D
         .applyInArrow(score_group, schema)
     )
 
-
-def _arrow_types(schema: T.StructType) -> list[pa.DataType]:
-    plain = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32(), "double": pa.float64()}
-    return [plain[f.dataType.simpleString()] for f in schema.fields]

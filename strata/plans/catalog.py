@@ -30,7 +30,7 @@ from strata.operators.contract import (
 )
 from strata.operators.dense import dense_topk, first_k
 from strata.operators.embed import embed_column
-from strata.operators.fusion import rrf_fuse
+from strata.operators.fusion import rerank_keyword, rrf_fuse
 from strata.operators.lineage import lineage_events
 from strata.operators.merge import dedup_latest, standardize, upsert
 from strata.operators.quality import check_rows, summarize
@@ -41,6 +41,7 @@ from strata.plans.retrieval import (
     Index,
     build_index,
     compare_methods,
+    fused_candidates,
     hybrid_search,
     open_index,
     retrieval_counts,
@@ -76,14 +77,17 @@ _queries: dict[str, Query] = {}
 _index_paths: dict[tuple[str, str], str] = {}
 
 
-def query(function: Query) -> Query:
-    """Register a query under its function's name."""
+def query(name: str) -> Callable[[Query], Query]:
+    """Register a query under a name."""
 
-    def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return function(configure(spark), sf_dir)
+    def register(function: Query) -> Query:
+        def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return function(configure(spark), sf_dir)
 
-    _queries[function.__name__] = prepared
-    return function
+        _queries[name] = prepared
+        return function
+
+    return register
 
 
 def registered() -> dict[str, Query]:
@@ -100,13 +104,16 @@ def failure_rows(checked: DataFrame, fields: tuple[str, ...], starting: str) ->
     return failures.where(F.col("field").isin(*fields) & F.col("message").startswith(starting))
 
 
+def new_index(spark: SparkSession, sf_dir: str) -> tuple[str, Index]:
+    path = work_path(spark, "index")
+    return path, build_index(chunk_documents(articles(spark, sf_dir, spread_out=True)), path)
+
+
 def shared_index(spark: SparkSession, sf_dir: str) -> Index:
     """The index of a folder's documents, built on the first query that needs it."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _index_paths:
-        path = work_path(spark, "index")
-        index = build_index(chunk_documents(articles(spark, sf_dir, spread_out=True)), path)
-        _index_paths[key] = path
+        _index_paths[key], index = new_index(spark, sf_dir)
         return index
     return open_index(spark, _index_paths[key])
 
@@ -133,7 +140,7 @@ def by_type(**values: Column) -> Column:
 # Sources, contracts, sinks
 
 
-@query
+@query("ingest_json")
 def ingest_json(spark, sf_dir):
     path = work_path(spark, "events-json")
     events = table(spark, sf_dir, "events")
@@ -143,12 +150,12 @@ def ingest_json(spark, sf_dir):
     return read_json(spark, path, schema)
 
 
-@query
+@query("contract_valid")
 def contract_valid(spark, sf_dir):
     return valid_rows(checked_articles(spark, sf_dir), ARTICLES)
 
 
-@query
+@query("contract_quarantine")
 def contract_quarantine(spark, sf_dir):
     # Ids and times are left out: they hang on the text form of the payload and on the clock.
     rejected = quarantine_rows(checked_articles(spark, sf_dir))
@@ -161,7 +168,7 @@ def contract_quarantine(spark, sf_dir):
     )
 
 
-@query
+@query("contract_all_failures")
 def contract_all_failures(spark, sf_dir):
     checked = checked_articles(spark, sf_dir)
     return checked.where(F.size("_errors") > 0).select(
@@ -169,22 +176,22 @@ def contract_all_failures(spark, sf_dir):
     )
 
 
-@query
+@query("contract_length")
 def contract_length(spark, sf_dir):
     return failure_rows(checked_articles(spark, sf_dir), ("title", "author", "content"), "String should have")
 
 
-@query
+@query("contract_range")
 def contract_range(spark, sf_dir):
     return failure_rows(checked_articles(spark, sf_dir), ("views", "rating"), "Input should be")
 
 
-@query
+@query("contract_enum")
 def contract_enum(spark, sf_dir):
     return failure_rows(checked_articles(spark, sf_dir), ("category",), "Value error")
 
 
-@query
+@query("contract_coerce")
 def contract_coerce(spark, sf_dir):
     key, value = F.col("event_id").cast("string"), F.col("value").cast("string")
     count = by_type(
@@ -208,7 +215,7 @@ def contract_coerce(spark, sf_dir):
     )
 
 
-@query
+@query("contract_timestamp")
 def contract_timestamp(spark, sf_dir):
     stamp = by_type(
         view=F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"),
@@ -223,7 +230,7 @@ def contract_timestamp(spark, sf_dir):
     return typed.select("event_id", "stamp", "parsed", (F.size("_errors") == 0).alias("accepted"))
 
 
-@query
+@query("contract_record")
 def contract_record(spark, sf_dir):
     digest = F.md5(F.col("article_id"))
     parts = [F.substring(digest, start, n) for start, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
@@ -244,12 +251,12 @@ def contract_record(spark, sf_dir):
     )
 
 
-@query
+@query("ingest_counts")
 def ingest_split_counts(spark, sf_dir):
     return ingest_counts(checked_articles(spark, sf_dir))
 
 
-@query
+@query("landing_split")
 def landing_split(spark, sf_dir):
     """Events from JSON lines, landed once as valid and quarantined rows, read back."""
     lines, landing = work_path(spark, "lines"), work_path(spark, "landing")
@@ -266,7 +273,7 @@ def landing_split(spark, sf_dir):
     return valid.unionByName(rejected)
 
 
-@query
+@query("stream_contract")
 def stream_contract_split(spark, sf_dir):
     """The same split by a drained stream over JSON lines."""
     lines, out, checkpoint = (work_path(spark, n) for n in ("lines", "stream", "checkpoint"))
@@ -275,7 +282,7 @@ def stream_contract_split(spark, sf_dir):
     return read_valid(spark, out, ARTICLES)
 
 
-@query
+@query("stream_silver_upsert")
 def stream_silver_upsert(spark, sf_dir):
     """A silver table fed by a stream of several micro-batches."""
     lines, silver, staging, checkpoint = (work_path(spark, n) for n in ("lines", "silver", "staging", "checkpoint"))
@@ -288,7 +295,7 @@ def stream_silver_upsert(spark, sf_dir):
 # Bronze, silver, gold
 
 
-@query
+@query("bronze_append")
 def bronze_append(spark, sf_dir):
     """Two batches appended, the second one replayed."""
     path = work_path(spark, "bronze")
@@ -302,7 +309,7 @@ def bronze_append(spark, sf_dir):
     )
 
 
-@query
+@query("bronze_incremental")
 def bronze_incremental(spark, sf_dir):
     """Only the batches behind the last one merged."""
     path = work_path(spark, "bronze")
@@ -312,7 +319,7 @@ def bronze_incremental(spark, sf_dir):
     return read_batches(spark, path, after=1).select("o_orderkey", "o_totalprice", "day")
 
 
-@query
+@query("silver_standardize")
 def silver_standardize(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     status = F.col("o_orderstatus")
@@ -342,7 +349,7 @@ def order_versions(spark, sf_dir) -> DataFrame:
     return orders.unionByName(lines)
 
 
-@query
+@query("silver_dedup")
 def silver_dedup(spark, sf_dir):
     return dedup_latest(order_versions(spark, sf_dir), "o_orderkey")
 
@@ -361,13 +368,13 @@ def order_changes(spark, sf_dir) -> DataFrame:
     return changed.unionByName(new)
 
 
-@query
+@query("silver_upsert")
 def silver_upsert(spark, sf_dir):
     target = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
     return upsert(target, order_changes(spark, sf_dir), "o_orderkey")
 
 
-@query
+@query("silver_merge")
 def silver_merge(spark, sf_dir):
     """The table merged on disk: first run, changes, and the changes once more."""
     path, staged = work_path(spark, "silver"), work_path(spark, "staged")
@@ -378,27 +385,27 @@ def silver_merge(spark, sf_dir):
     return read_silver(spark, path)
 
 
-@query
+@query("gold_category")
 def gold_category(spark, sf_dir):
     return gold.category_metrics(articles(spark, sf_dir))
 
 
-@query
+@query("gold_author")
 def gold_author(spark, sf_dir):
     return gold.author_metrics(articles(spark, sf_dir))
 
 
-@query
+@query("gold_word_count")
 def gold_word_count(spark, sf_dir):
     return gold.category_word_counts(articles(spark, sf_dir, spread_out=True))
 
 
-@query
+@query("gold_daily")
 def gold_daily(spark, sf_dir):
     return gold.daily_velocity(standardize(articles(spark, sf_dir)))
 
 
-@query
+@query("append_enforced")
 def gold_append_enforced(spark, sf_dir):
     """A fitting append is taken; extra, missing and retyped columns are refused."""
     path = work_path(spark, "gold")
@@ -419,17 +426,17 @@ def gold_append_enforced(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-@query
+@query("quality_gate")
 def quality_gate(spark, sf_dir):
     return check_rows(articles(spark, sf_dir))
 
 
-@query
+@query("quality_summary")
 def quality_summary(spark, sf_dir):
     return summarize(check_rows(valid_rows(checked_articles(spark, sf_dir), ARTICLES)))
 
 
-@query
+@query("lineage_events")
 def lineage_rows(spark, sf_dir):
     """Events as stage records: errors fail a stage, signups start one, the rest complete it."""
     stages = table(spark, sf_dir, "events").select(
@@ -456,7 +463,7 @@ def lineage_rows(spark, sf_dir):
     )
 
 
-@query
+@query("medallion_gold")
 def medallion_gold(spark, sf_dir):
     """The whole run on the articles as raw events; its category table."""
     root = work_path(spark, "medallion")
@@ -467,12 +474,12 @@ def medallion_gold(spark, sf_dir):
 # Chunks and retrieval
 
 
-@query
+@query("chunk_documents")
 def chunk_texts(spark, sf_dir):
     return chunk_documents(articles(spark, sf_dir, spread_out=True)).select("chunk_id", "doc_id", "chunk_index", "text")
 
 
-@query
+@query("chunk_citations")
 def chunk_citations(spark, sf_dir):
     chunks = chunk_documents(articles(spark, sf_dir, spread_out=True), 200, 30)
     plain = chunk_documents(articles(spark, sf_dir, spread_out=True), 200, 30, style="plain")
@@ -480,7 +487,7 @@ def chunk_citations(spark, sf_dir):
     return chunks.select(*columns).unionByName(plain.select(*columns))
 
 
-@query
+@query("embed_chunks")
 def embed_chunks(spark, sf_dir):
     index = shared_index(spark, sf_dir)
     vectors = embed_column(index.chunks.select("chunk_id", "text"), index.embedder)
@@ -488,7 +495,7 @@ def embed_chunks(spark, sf_dir):
     return weights.where("weight <> 0").withColumn("weight", F.round(F.col("weight").cast("double"), 4))
 
 
-@query
+@query("bm25_stats")
 def bm25_stats(spark, sf_dir):
     index = shared_index(spark, sf_dir)
     stats = index.stats
@@ -502,12 +509,12 @@ def bm25_stats(spark, sf_dir):
     )
 
 
-@query
+@query("bm25_topk")
 def bm25_top(spark, sf_dir):
     return hits(search_bm25(shared_index(spark, sf_dir), questions(spark, sf_dir)))
 
 
-@query
+@query("bm25_topk_blocks")
 def bm25_top_blocks(spark, sf_dir):
     """The way for queries too large to broadcast: a bound just below their size."""
     index = shared_index(spark, sf_dir)
@@ -516,12 +523,12 @@ def bm25_top_blocks(spark, sf_dir):
     return hits(topk_hits(index.chunks, weighted, scorer, 5, broadcast_bytes=measured_bytes(weighted) - 1))
 
 
-@query
+@query("keyword_topk")
 def keyword_top(spark, sf_dir):
     return hits(keyword_topk(shared_index(spark, sf_dir).chunks, questions(spark, sf_dir)))
 
 
-@query
+@query("first_k")
 def first_chunks(spark, sf_dir):
     return first_k(shared_index(spark, sf_dir).chunks, questions(spark, sf_dir))
 
@@ -545,24 +552,24 @@ def label_centroids(spark, sf_dir) -> DataFrame:
     )
 
 
-@query
+@query("dense_topk")
 def dense_top(spark, sf_dir):
     return hits(dense_topk(vectors(spark, sf_dir), label_centroids(spark, sf_dir)))
 
 
-@query
+@query("dense_topk_blocks")
 def dense_top_blocks(spark, sf_dir):
     """The same by blocks, as for queries too large to broadcast."""
     centroids = label_centroids(spark, sf_dir)
     return hits(dense_topk(vectors(spark, sf_dir), centroids, broadcast_bytes=measured_bytes(centroids) - 1))
 
 
-@query
+@query("dense_topk_chunks")
 def dense_top_chunks(spark, sf_dir):
     return hits(search_dense(shared_index(spark, sf_dir), questions(spark, sf_dir)))
 
 
-@query
+@query("index_upsert")
 def index_upsert(spark, sf_dir):
     """Vectors of French documents replaced by their negative, label centroids added."""
     target = table(spark, sf_dir, "embeddings").select(
@@ -580,7 +587,7 @@ def index_upsert(spark, sf_dir):
     return merged.select("chunk_id", "vec_id", F.round(total, 6).alias("total"), F.size("embedding").alias("width"))
 
 
-@query
+@query("rrf_fuse")
 def rrf_fused(spark, sf_dir):
     index, wanted = shared_index(spark, sf_dir), questions(spark, sf_dir)
     fused = rrf_fuse(search_dense(index, wanted), search_bm25(index, wanted))
@@ -593,7 +600,7 @@ def hybrid(spark, sf_dir) -> DataFrame:
     return hybrid_search(shared_index(spark, sf_dir), questions(spark, sf_dir))
 
 
-@query
+@query("hybrid_search")
 def hybrid_top(spark, sf_dir):
     return hybrid(spark, sf_dir).select(
         "query_id",
@@ -606,12 +613,21 @@ def hybrid_top(spark, sf_dir):
     )
 
 
-@query
+@query("rerank_keyword")
+def reranked_candidates(spark, sf_dir):
+    """All fused candidates in their reranked order."""
+    candidates = fused_candidates(shared_index(spark, sf_dir), questions(spark, sf_dir))
+    return rerank_keyword(candidates, 5).select(
+        "query_id", "chunk_id", F.col("rank").alias("fused_rank"), F.round("rerank_score", 9).alias("rerank_score"), "final_rank"
+    )
+
+
+@query("rag_eval")
 def retrieval_eval(spark, sf_dir):
     return retrieval_counts(hybrid(spark, sf_dir))
 
 
-@query
+@query("grounded_answer")
 def answers_cited(spark, sf_dir):
     answers = grounded_answers(hybrid(spark, sf_dir), questions(spark, sf_dir))
     return answers.select(
@@ -624,7 +640,7 @@ def answers_cited(spark, sf_dir):
     )
 
 
-@query
+@query("retrieval_compare")
 def retrieval_compare(spark, sf_dir):
     compared = compare_methods(shared_index(spark, sf_dir), questions(spark, sf_dir))
     return compared.withColumn("mrr", F.round("mrr", 9))

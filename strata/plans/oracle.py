@@ -270,12 +270,12 @@ judged AS (
          WHEN word_count < 1 THEN 'Input should be greater than or equal to 1' END AS error_message
   FROM records)
 SELECT article_id, 'ValidationError' AS error_type, field_failed, error_message FROM judged WHERE field_failed IS NOT NULL""",
-    "ingest_split_counts": f"""WITH {CHECKED}
+    "ingest_counts": f"""WITH {CHECKED}
 SELECT count(*) AS total_processed, count(*) FILTER (first_error IS NULL) AS valid_count,
        count(*) FILTER (first_error IS NOT NULL) AS quarantine_count FROM judged""",
     "landing_split": f"""WITH {CHECKED}
 SELECT article_id, CASE WHEN first_error IS NULL THEN 'valid' ELSE 'quarantined' END AS status, failed_field FROM judged""",
-    "stream_contract_split": f"WITH {CHECKED} SELECT {VALID_COLUMNS} FROM judged WHERE first_error IS NULL",
+    "stream_contract": f"WITH {CHECKED} SELECT {VALID_COLUMNS} FROM judged WHERE first_error IS NULL",
     "stream_silver_upsert": f"""WITH {CHECKED}
 SELECT article_id, title, author, category, content, views, rating, published AS published_timestamp
 FROM judged WHERE first_error IS NULL""",
@@ -306,7 +306,7 @@ SELECT category, count(article_id) AS total_articles, avg(len({words('content')}
 FROM articles GROUP BY category""",
     "gold_daily": f"""WITH {ARTICLES}
 SELECT published::DATE AS published_date, count(article_id) AS published_articles FROM articles GROUP BY ALL""",
-    "gold_append_enforced": f"""WITH {ARTICLES}, metrics AS ({CATEGORY.format(source='articles')})
+    "append_enforced": f"""WITH {ARTICLES}, metrics AS ({CATEGORY.format(source='articles')})
 FROM metrics UNION ALL SELECT 'again-' || category, * EXCLUDE (category) FROM metrics""",
     "quality_gate": f"""WITH {ARTICLES}, checks AS ({gate_checks('articles')})
 SELECT dataset_row_count, check_number, check_name, unexpected_count, unexpected_count = 0 AS passed FROM checks""",
@@ -318,14 +318,14 @@ SELECT max(dataset_row_count) AS dataset_row_count, count(*) AS total_checks,
   CASE WHEN max(dataset_row_count) = 0 THEN 'FAILED_EMPTY' WHEN bool_and(unexpected_count = 0) THEN 'All checks passed'
        ELSE 'Data quality violations detected' END AS details
 FROM checks""",
-    "lineage_rows": """
+    "lineage_events": """
 SELECT CASE event_type WHEN 'error' THEN 'FAIL' WHEN 'signup' THEN 'START' ELSE 'COMPLETE' END AS eventType,
   strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS eventTime, 'strata' AS job_namespace, 'job-' || user_id AS job_name,
   'run-' || event_id AS run_id, event_type AS inputs, 0 AS n_outputs, 'strata' AS producer
 FROM events""",
     "medallion_gold": f"""WITH {CHECKED}, silver AS (FROM judged WHERE first_error IS NULL)
 {CATEGORY.format(source='silver')}""",
-    "chunk_texts": f"WITH {ARTICLES}, {chunks_cte(500, 50)} SELECT chunk_id, doc_id, chunk_index, text FROM chunks",
+    "chunk_documents": f"WITH {ARTICLES}, {chunks_cte(500, 50)} SELECT chunk_id, doc_id, chunk_index, text FROM chunks",
     "chunk_citations": f"""WITH {ARTICLES}, {chunks_cte(200, 30)}
 SELECT chunk_id, title, author, category, citation_label FROM chunks
 UNION ALL SELECT chunk_id, title, author, category, '[Article ID: ' || doc_id || ', Chunk: ' || chunk_id || ']' FROM chunks""",
@@ -334,16 +334,16 @@ SELECT chunk_id, bucket::INTEGER AS dimension, round(w, 4) AS weight FROM chunk_
     "bm25_stats": f"""WITH {CORPUS}
 SELECT term, df, round(idf, 9) AS idf, n AS n_chunks, round(avgdl, 9) AS avgdl, round(mean_idf, 9) AS mean_idf
 FROM terms, scalars, mean""",
-    "bm25_top": BM25_TOP,
-    "bm25_top_blocks": BM25_TOP,
-    "keyword_top": "WITH " + CORPUS + KEYWORD + f" SELECT {HIT_COLUMNS} FROM keyword",
-    "first_chunks": f"""WITH {CORPUS}, firsts AS (
+    "bm25_topk": BM25_TOP,
+    "bm25_topk_blocks": BM25_TOP,
+    "keyword_topk": "WITH " + CORPUS + KEYWORD + f" SELECT {HIT_COLUMNS} FROM keyword",
+    "first_k": f"""WITH {CORPUS}, firsts AS (
   SELECT chunk_id, doc_id, chunk_index, (row_number() OVER (ORDER BY doc_id, chunk_index))::INTEGER AS rank
   FROM chunks QUALIFY rank <= 5)
 SELECT query_id, chunk_id, doc_id, chunk_index, rank FROM questions, firsts""",
-    "dense_top": CENTROID_TOP,
-    "dense_top_blocks": CENTROID_TOP,
-    "dense_top_chunks": "WITH " + CORPUS + GRID + DENSE + f" SELECT {HIT_COLUMNS} FROM dense",
+    "dense_topk": CENTROID_TOP,
+    "dense_topk_blocks": CENTROID_TOP,
+    "dense_topk_chunks": "WITH " + CORPUS + GRID + DENSE + f" SELECT {HIT_COLUMNS} FROM dense",
     "index_upsert": f"""WITH {CENTROIDS},
 french AS (SELECT doc_id FROM documents WHERE lang = 'fr')
 SELECT 'V' || vec_id AS chunk_id, vec_id,
@@ -351,22 +351,24 @@ SELECT 'V' || vec_id AS chunk_id, vec_id,
   len(embedding)::INTEGER AS width
 FROM embeddings
 UNION ALL SELECT 'L' || label, label::BIGINT, round(list_sum(v), 6), len(v)::INTEGER FROM centroids""",
-    "rrf_fused": "WITH "
+    "rrf_fuse": "WITH "
     + CORPUS
     + GRID
     + BM25
     + DENSE
     + FUSED
     + " SELECT query_id, chunk_id, dense_rank, bm25_rank, round(rrf_score, 9) AS rrf_score, score, rank FROM fused",
-    "hybrid_top": HYBRID
+    "hybrid_search": HYBRID
     + """ SELECT query_id, chunk_id, text, citation_label, round(rrf_score, 9) AS rrf_score,
   round(rerank_score, 9) AS rerank_score, final_rank FROM reranked""",
-    "retrieval_eval": HYBRID
+    "rerank_keyword": HYBRID
+    + " SELECT query_id, chunk_id, rank AS fused_rank, round(rerank_score, 9) AS rerank_score, final_rank FROM reordered",
+    "rag_eval": HYBRID
     + """ SELECT query_id, (SELECT count(*) FROM dense d WHERE d.query_id = r.query_id) AS dense_hits_count,
   (SELECT count(*) FROM bm25 b WHERE b.query_id = r.query_id) AS bm25_hits_count,
   (SELECT count(*) FROM fused f WHERE f.query_id = r.query_id) AS rrf_fused_count,
   count(*) AS final_reranked_count FROM reranked r GROUP BY query_id""",
-    "answers_cited": HYBRID
+    "grounded_answer": HYBRID
     + """, built AS (
   SELECT query_id,
     string_agg('Key Excerpt ' || final_rank || ': "' || text || '" [' || final_rank || ']', chr(10) || chr(10) ORDER BY final_rank) AS excerpts,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 
@@ -18,7 +18,7 @@ from strata.operators.bm25 import (
 )
 from strata.operators.dense import dense_topk
 from strata.operators.embed import Embedder, embed_column, hashing_embedder
-from strata.operators.fusion import rerank_keyword, rerank_model, rrf_fuse, with_payload
+from strata.operators.fusion import rerank_keyword, rerank_model, rrf_fuse, with_keyword_score, with_payload
 
 
 @dataclass(frozen=True)
@@ -126,22 +126,26 @@ def compare_methods(
     reciprocal rank at which the method has the reranked list's first chunk.
     Every method's rank is a column of the fused rows, so one search serves all.
     """
-    wide = Settings(**{**settings.__dict__, "fused_k": settings.dense_k + settings.bm25_k})
-    candidates = fused_candidates(index, queries, wide)
-    reranked = rerank_keyword(candidates.where(F.col("rank") <= settings.fused_k), settings.fused_k)
-    final = reranked.select("query_id", "chunk_id", "final_rank")
-    ranked = candidates.join(final, ["query_id", "chunk_id"], "left").select(
+    wide = replace(settings, fused_k=settings.dense_k + settings.bm25_k)
+    scored = with_keyword_score(fused_candidates(index, queries, wide))
+    kept = F.col("rank") <= settings.fused_k  # the rows the search itself would rerank
+    order = Window.partitionBy("query_id").orderBy(F.desc(kept), F.desc("rerank_score"), "rank")
+    final = F.when(kept, F.row_number().over(order)).alias("final_rank")
+    ranks = scored.select(
+        "query_id", "dense_rank", "bm25_rank", F.when(kept, F.col("rank")).alias("fused_rank"), final
+    )
+
+    def entry(method: str, rank: str) -> Column:
+        return F.struct(F.lit(method).alias("method"), F.col(rank).alias("method_rank"), "final_rank")
+
+    ranked = ranks.select(
         "query_id",
         F.inline(
             F.array(
-                F.struct(F.lit("dense").alias("method"), F.col("dense_rank").alias("method_rank"), "final_rank"),
-                F.struct(F.lit("bm25").alias("method"), F.col("bm25_rank").alias("method_rank"), "final_rank"),
-                F.struct(
-                    F.lit("fused").alias("method"),
-                    F.when(F.col("rank") <= settings.fused_k, F.col("rank")).alias("method_rank"),
-                    "final_rank",
-                ),
-                F.struct(F.lit("reranked").alias("method"), F.col("final_rank").alias("method_rank"), "final_rank"),
+                entry("dense", "dense_rank"),
+                entry("bm25", "bm25_rank"),
+                entry("fused", "fused_rank"),
+                entry("reranked", "final_rank"),
             )
         ),
     )

@@ -32,9 +32,12 @@ def write_split(
     value: str = "value",
     position: tuple[str, ...] = (),
     source_file: str | None = None,
+    fmt: str = "parquet",
 ) -> dict:
     """Land checked rows in one job, valid and quarantined in a folder each.
 
+    ``fmt`` is parquet or json.
+
     The rows are scanned and parsed once; readers prune to their folder. A
     rerun overwrites. Returns the counts, taken during the write.
     """
@@ -51,7 +54,7 @@ def write_split(
         (F.col(source_file) if source_file else F.lit(None).cast("string")).alias("_source_file"),
         F.when(rejected, "quarantined").otherwise("valid").alias("_status"),
     )
-    rows.write.mode("overwrite").partitionBy("_status").parquet(path)
+    rows.write.mode("overwrite").partitionBy("_status").format(fmt).save(path)
     return seen.get
 
 
@@ -61,15 +64,17 @@ def landing_schema(contract: Contract) -> str:
     return f"{contract.sql_schema}, {texts}"
 
 
-def read_valid(spark: SparkSession, path: str, contract: Contract, with_source: bool = False) -> DataFrame:
+def read_valid(
+    spark: SparkSession, path: str, contract: Contract, with_source: bool = False, fmt: str = "parquet"
+) -> DataFrame:
     """The contract columns of the valid rows, with the file they came from on demand."""
-    rows = spark.read.schema(landing_schema(contract)).parquet(path)
+    rows = spark.read.schema(landing_schema(contract)).format(fmt).load(path)
     source = ["_source_file"] if with_source else []
     return rows.where("_status = 'valid'").select(*contract.columns, *source)
 
 
-def read_quarantine(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
-    rows = spark.read.schema(landing_schema(contract)).parquet(path)
+def read_quarantine(spark: SparkSession, path: str, contract: Contract, fmt: str = "parquet") -> DataFrame:
+    rows = spark.read.schema(landing_schema(contract)).format(fmt).load(path)
     return rows.where("_status = 'quarantined'").select(*QUARANTINE_COLUMNS)
 
 

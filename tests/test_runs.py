@@ -109,6 +109,15 @@ def test_landing_folder_of_an_empty_batch(spark, tmp_path):
     assert read_quarantine(spark, path, ARTICLE_EVENT).count() == 0
 
 
+def test_landing_folder_in_json(spark, tmp_path):
+    path = str(tmp_path / "landing")
+    write_split(check(sample(spark), ARTICLE_EVENT), ARTICLE_EVENT, path, fmt="json")
+    assert read_valid(spark, path, ARTICLE_EVENT, fmt="json").count() == 5
+    rejected = read_quarantine(spark, path, ARTICLE_EVENT, fmt="json").collect()
+    assert sorted(r["failed_field"] for r in rejected) == ["category", "title", "views"]
+    assert all(json.loads(r["raw_payload"])["article_id"].startswith("ART-BAD") for r in rejected)
+
+
 def write_lines(spark, folder: str) -> None:
     sample(spark).select("value").repartition(3).write.mode("append").text(folder)
 
