@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from strata.functions.text import tokens
-from strata.operators.sizing import broadcast_if_small
+from strata.operators.sizing import measured_bytes
 from strata.operators.topk import topk_hits
 
 try:
@@ -19,6 +19,9 @@ except ImportError:  # the substring test below does the same, term by term
     ahocorasick = None
 
 
+TERM_FACTOR = 8
+
+
 def with_tokens(chunks: DataFrame) -> DataFrame:
     return chunks.withColumn("tokens", tokens(F.col("text")))
 
@@ -65,13 +68,20 @@ def term_table(frequencies: DataFrame, stats: Bm25Stats) -> DataFrame:
     return frequencies.select("term", "df", stats.idf(F.col("df")).alias("idf"))
 
 
-def weighted_queries(
-    queries: DataFrame, frequencies: DataFrame, stats: Bm25Stats, broadcast_bytes: int = 64 << 20
-) -> DataFrame:
+def terms_bytes(queries: DataFrame) -> int:
+    """Upper bound of the size of the queries' terms, from the size of their texts.
+
+    A text of n bytes has at most n / 2 terms, and each adds its bytes, an
+    offset and a weight.
+    """
+    return TERM_FACTOR * measured_bytes(queries.select("query_id", "query"))
+
+
+def weighted_queries(queries: DataFrame, frequencies: DataFrame, stats: Bm25Stats, small: bool = False) -> DataFrame:
     """(query_id, terms): each query term with its count in the query times its idf.
 
-    Query terms measured to be small are broadcast, so the vocabulary is only
-    scanned. A query without any known term keeps its row with an empty list.
+    ``small`` queries are broadcast, so the vocabulary is only scanned. A query
+    without any known term keeps its row with an empty list.
     """
     counted = (
         queries.select("query_id", F.explode(tokens(F.col("query"))).alias("term"))
@@ -79,7 +89,7 @@ def weighted_queries(
         .agg(F.count(F.lit(1)).alias("times"))
     )
     vocabulary = term_table(frequencies, stats)
-    weights = vocabulary.join(broadcast_if_small(counted, broadcast_bytes), "term").select(
+    weights = vocabulary.join(F.broadcast(counted) if small else counted, "term").select(
         "query_id",
         F.struct("term", (F.col("times") * F.col("idf")).alias("weight")).alias("entry"),
     )
@@ -144,8 +154,9 @@ def bm25_topk(
     broadcast_bytes: int = 64 << 20,
 ) -> DataFrame:
     """The k best chunks of each query (query_id, query); zero scores still fill k."""
-    weighted = weighted_queries(queries, frequencies, stats, broadcast_bytes)
-    return topk_hits(corpus, weighted, Bm25Scorer(stats.avgdl, k1, b), k, broadcast_bytes)
+    size = terms_bytes(queries)
+    weighted = weighted_queries(queries, frequencies, stats, size <= broadcast_bytes)
+    return topk_hits(corpus, weighted, Bm25Scorer(stats.avgdl, k1, b), k, broadcast_bytes, size)
 
 
 @dataclass(frozen=True)
@@ -190,4 +201,4 @@ def keyword_topk(corpus: DataFrame, queries: DataFrame, k: int = 5, broadcast_by
     """The k chunks that contain most query tokens, by substring."""
     lowered = corpus.withColumn("lowered", F.lower(F.coalesce(F.col("text"), F.lit(""))))
     worded = queries.select("query_id", tokens(F.col("query")).alias("tokens"))
-    return topk_hits(lowered, worded, ContainmentScorer(), k, broadcast_bytes)
+    return topk_hits(lowered, worded, ContainmentScorer(), k, broadcast_bytes, terms_bytes(queries))

@@ -86,12 +86,18 @@ def _flat(column: pa.ChunkedArray) -> pa.Array:
 
 
 def topk_hits(
-    corpus: DataFrame, queries: DataFrame, scorer: Scorer, k: int, broadcast_bytes: int = 64 << 20
+    corpus: DataFrame,
+    queries: DataFrame,
+    scorer: Scorer,
+    k: int,
+    broadcast_bytes: int = 64 << 20,
+    query_bytes: int | None = None,
 ) -> DataFrame:
     """(query_id, chunk_id, doc_id, chunk_index, score, rank): k rows per query.
 
-    ``queries`` holds query_id and the columns that ``scorer.prepare`` reads. A
-    corpus with fewer than k rows gives all of them.
+    ``queries`` holds query_id and the columns that ``scorer.prepare`` reads;
+    ``query_bytes`` is an upper bound of its size, measured here when not given.
+    A corpus with fewer than k rows gives all of them.
     """
     ids = ["chunk_id", *ORDER]
     needed = corpus.select(*ids, *[c for c in scorer.columns if c not in ids])
@@ -103,17 +109,25 @@ def topk_hits(
             T.StructField("_sort_key", T.DoubleType()),
         ]
     )
+    if query_bytes is None:
+        query_bytes, block = _measured(queries, broadcast_bytes)
+    else:
+        block = queries.toArrow() if query_bytes <= broadcast_bytes else None
+    if block is not None:
+        partial = _broadcast_hits(needed, block, scorer, k, ids, schema)
+    else:
+        partial = _grid_hits(needed, queries, scorer, k, ids, schema, query_bytes, broadcast_bytes)
+    return _rank_hits(partial, k)
+
+
+def _measured(queries: DataFrame, limit: int) -> tuple[int, pa.Table | None]:
+    """The size of the queries, and the queries themselves when they are within the limit."""
     kept = queries.persist()  # measured, then read again
     try:
         size = measured_bytes(kept)
-        block = kept.toArrow() if size <= broadcast_bytes else None
+        return size, kept.toArrow() if size <= limit else None
     finally:
         kept.unpersist()
-    if block is not None:
-        partial = _broadcast_hits(needed, block, scorer, k, ids, schema)
-    else:
-        partial = _grid_hits(needed, queries, scorer, k, ids, schema, size, broadcast_bytes)
-    return _rank_hits(partial, k)
 
 
 def _rank_hits(hits: DataFrame, k: int) -> DataFrame:

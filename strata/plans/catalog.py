@@ -43,7 +43,6 @@ from strata.plans.retrieval import (
     compare_methods,
     fused_candidates,
     hybrid_search,
-    open_index,
     retrieval_counts,
     search_bm25,
     search_dense,
@@ -74,7 +73,7 @@ STAMPED = Contract("stamped", (Field("stamp", fmt="iso8601"),))
 RECORDS = ARTICLE_RECORD.with_allowed("category", ("de", "en", "fr"))
 
 _queries: dict[str, Query] = {}
-_index_paths: dict[tuple[str, str], str] = {}
+_indexes: dict[tuple[str, str], Index] = {}
 
 
 def query(name: str) -> Callable[[Query], Query]:
@@ -104,18 +103,16 @@ def failure_rows(checked: DataFrame, fields: tuple[str, ...], starting: str) ->
     return failures.where(F.col("field").isin(*fields) & F.col("message").startswith(starting))
 
 
-def new_index(spark: SparkSession, sf_dir: str) -> tuple[str, Index]:
-    path = work_path(spark, "index")
-    return path, build_index(chunk_documents(articles(spark, sf_dir, spread_out=True)), path)
+def new_index(spark: SparkSession, sf_dir: str) -> Index:
+    return build_index(chunk_documents(articles(spark, sf_dir, spread_out=True)), work_path(spark, "index"))
 
 
 def shared_index(spark: SparkSession, sf_dir: str) -> Index:
     """The index of a folder's documents, built on the first query that needs it."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _index_paths:
-        _index_paths[key], index = new_index(spark, sf_dir)
-        return index
-    return open_index(spark, _index_paths[key])
+    if key not in _indexes:
+        _indexes[key] = new_index(spark, sf_dir)
+    return _indexes[key]
 
 
 def hits(ranked: DataFrame) -> DataFrame:
