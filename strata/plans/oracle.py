@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from strata.functions.text import WHITESPACE
+# Fixed value: the whitespace characters as a class for RE2, which has no (?U).
+WHITESPACE = (
+    r"[\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+)
 
 ARTICLES = """
 articles AS (
