@@ -7,9 +7,10 @@ import pytest
 
 import __spark_entry__ as entry
 from check_queries import TABLES, rows_of
+from strata.plans import catalog, oracle
 from tests.helpers import SAMPLE
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = catalog.registered(), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -33,5 +34,10 @@ def test_query_equals_its_twin(spark, db, name):
     assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(columns, result.fetchall())
 
 
+def test_the_entry_offers_every_query():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLE) <= set(entry.oracle_sql()) <= set(entry.queries())
+
+
 def test_entry_has_rows(spark):
     assert entry.entry(spark).count() > 0
