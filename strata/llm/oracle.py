@@ -23,3 +23,32 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE dropped)::BIG
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
+
+NEAR_DUPLICATES = f"""
+WITH RECURSIVE worded AS MATERIALIZED (
+    SELECT doc_id, regexp_extract_all({ASCII_LOWER.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), sets AS MATERIALIZED (
+    SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN []
+        WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+        ELSE [array_to_string(w[i:i + 3], ' ') FOR i IN range(1, len(w) - 2)] END) AS s
+    FROM worded
+), classes AS MATERIALIZED (
+    SELECT min(doc_id) AS node, len(s) AS n, s FROM (SELECT doc_id, list_sort(s) AS s FROM sets WHERE len(s) > 0) GROUP BY s
+), items AS MATERIALIZED (
+    SELECT node, n, unnest(s) AS item FROM classes
+), links AS MATERIALIZED (
+    SELECT x.node AS a, y.node AS b FROM items x JOIN items y ON x.item = y.item AND x.node <> y.node
+    GROUP BY x.node, y.node, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))
+), reached AS (
+    SELECT node AS a, node AS b FROM classes
+    UNION
+    SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+), labels AS (
+    SELECT a AS node, min(b) AS component_id FROM reached GROUP BY a
+), members AS (
+    SELECT s.doc_id, l.component_id FROM sets s JOIN classes c ON list_sort(s.s) = c.s JOIN labels l ON l.node = c.node
+)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, coalesce(m.component_id, s.doc_id) AS component_id,
+       coalesce(m.component_id, s.doc_id) = s.doc_id AS kept
+FROM sets s LEFT JOIN members m ON s.doc_id = m.doc_id
+"""

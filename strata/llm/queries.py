@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strata.llm import line_dedup
+from strata.llm import line_dedup, minhash
 from strata.llm.common import PREFIX, table
 
 
@@ -18,3 +18,8 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         lines["n_dropped"].alias("n_dropped"),
         F.sha2(F.coalesce(lines["text"], F.lit("")).cast("binary"), 256).alias("kept_sha256"),
     )
+
+
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return minhash.near_duplicates(docs, settings=minhash.MinHashSettings(words=4))

@@ -12,10 +12,12 @@ from strata.session import configure
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
+    "op7_minhash": q.op7_minhash,
     "op9_line_dedup": q.op9_line_dedup,
 }
 
 ORACLE: dict[str, str] = {
+    "op7_minhash": oracle.NEAR_DUPLICATES,
     "op9_line_dedup": oracle.LINE_DEDUP,
 }
 
