@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strata.llm import line_dedup, minhash
+from strata.llm import langid, line_dedup, minhash
 from strata.llm.common import PREFIX, table
 
 
@@ -20,6 +20,19 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.train(docs.where(~langid.held_out(F.col("doc_id"))))
+    found = docs.withColumn("found", langid.predicted(docs, docs["text"], model))
+    return found.select(
+        "doc_id",
+        langid.held_out(F.col("doc_id")).alias("held_out"),
+        F.col("found.lang").alias("lang_pred"),
+        F.col("found.score").alias("score"),
+        F.col("found.rejected").alias("rejected"),
+    )
+
+
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return minhash.near_duplicates(docs, settings=minhash.MinHashSettings(words=4))
