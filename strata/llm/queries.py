@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strata.llm import langid, line_dedup, minhash
+from strata.llm import langid, line_dedup, minhash, packing
 from strata.llm.common import PREFIX, table
 
 
@@ -20,6 +20,11 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = langid.train(docs.where(~langid.held_out(F.col("doc_id"))))

@@ -12,6 +12,7 @@ from strata.session import configure
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
+    "op4_packing": q.op4_packing,
     "op5_language_id": q.op5_language_id,
     "op7_minhash": q.op7_minhash,
     "op9_line_dedup": q.op9_line_dedup,
