@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from strata.llm import langid, line_dedup, minhash, packing
+from strata.llm import langid, line_dedup, minhash, packing, pii
 from strata.llm.common import PREFIX, table
 
 
@@ -41,3 +41,17 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return minhash.near_duplicates(docs, settings=minhash.MinHashSettings(words=4))
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in pii.KINDS],
+        F.sha2(pii.digest(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        pii.digest(F.col("spans")).alias("spans"),
+    )

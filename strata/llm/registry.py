@@ -16,6 +16,7 @@ QUERIES: dict[str, Query] = {
     "op5_language_id": q.op5_language_id,
     "op7_minhash": q.op7_minhash,
     "op9_line_dedup": q.op9_line_dedup,
+    "op10_pii": q.op10_pii,
 }
 
 ORACLE: dict[str, str] = {
