@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from strata.llm import secrets, urls
+
 ASCII_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
@@ -52,3 +54,105 @@ SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, coalesce(m.component_id, s.doc_
        coalesce(m.component_id, s.doc_id) = s.doc_id AS kept
 FROM sets s LEFT JOIN members m ON s.doc_id = m.doc_id
 """
+
+
+def _term(term: str) -> str:
+    return f"regexp_matches(lower_url, '(^|[^a-z0-9]){term}([^a-z0-9]|$)')::INTEGER"
+
+
+URL_FILTER = f"""
+WITH split AS (
+    SELECT page_id, {ASCII_LOWER.format("coalesce(url, '')")} AS lower_url,
+           CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+    FROM pages
+), parts AS (
+    SELECT page_id, lower_url, {ASCII_LOWER.format("regexp_extract(rest, '^[^/?#]*')")} AS host,
+           regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path
+    FROM split
+), ruled AS (
+    SELECT *,
+        CASE WHEN (host = 'www.example.com' OR host LIKE '%.www.example.com') AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+             WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/en/') THEN 'example.com/en/'
+             WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/es/') THEN 'net/es/'
+             WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/fr/') THEN 'net/fr/'
+             WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/') THEN 'com/' END AS rule,
+        {" + ".join(_term(t) for t, w in urls.VOCABULARY.items() if w >= urls.THRESHOLD)} AS n_strict,
+        {" + ".join(_term(t) for t, w in urls.VOCABULARY.items() if w < urls.THRESHOLD)} AS n_soft
+    FROM parts
+)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+            WHEN n_strict > 0 OR n_soft >= {urls.THRESHOLD} THEN 'block' ELSE 'allow' END AS verdict,
+       n_strict::BIGINT AS n_strict, n_soft::BIGINT AS n_soft
+FROM ruled
+"""
+
+
+def _secret_spans(kind: str, pattern: str) -> str:
+    """Spans of a pattern, from the pieces between its matches."""
+    quoted = pattern.replace("'", "''")
+    rank = secrets.KINDS.index(kind)
+    return f"""
+    SELECT doc_id, {rank} AS rank, '{kind}' AS kind, value, first - length(value) AS first, first AS last FROM (
+        SELECT doc_id, m AS value,
+               sum(length(piece) + length(m)) OVER (PARTITION BY doc_id ORDER BY k) AS first
+        FROM (
+            SELECT doc_id, unnest(ms) AS m, unnest(ps[:len(ms)]) AS piece, generate_subscripts(ms, 1) AS k
+            FROM (SELECT doc_id, regexp_extract_all(text, '{quoted}') AS ms, regexp_split_to_array(text, '{quoted}') AS ps FROM docs)
+        )
+    )"""
+
+
+_SETTINGS = secrets.SecretSettings()
+_ASSIGN = secrets.ASSIGN.replace("'", "''")
+
+SECRETS = f"""
+WITH docs AS MATERIALIZED (
+    SELECT doc_id, coalesce(text, '') AS text FROM documents
+), base AS MATERIALIZED (
+    SELECT * FROM ({_secret_spans("assign", secrets.ASSIGN)})
+    WHERE length(regexp_extract(value, '{_ASSIGN}', 2)) >= {secrets.LEAST_VALUE}
+    UNION ALL {_secret_spans("access", secrets.ACCESS)}
+    UNION ALL {_secret_spans("hex", secrets.HEX)}
+), samples AS (
+    SELECT true AS is_random, CASE WHEN kind = 'assign' THEN regexp_extract(value, '{_ASSIGN}', 2) ELSE value END AS token FROM base
+    UNION ALL SELECT false, unnest(regexp_extract_all(text, '{secrets.WORD}')) FROM docs
+), pairs AS MATERIALIZED (
+    SELECT is_random, pair[1] AS a, pair[2] AS b, count(*) AS n
+    FROM (SELECT is_random, unnest([substr(' ' || token, i, 2) FOR i IN range(1, length(token) + 1)]) AS pair FROM samples)
+    GROUP BY ALL
+), befores AS MATERIALIZED (
+    SELECT is_random, a, sum(n) AS n FROM pairs GROUP BY ALL
+), tokens AS MATERIALIZED (
+    SELECT * FROM ({_secret_spans("random", secrets.TOKEN)})
+    WHERE regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]')
+      AND NOT regexp_matches(value, '{secrets.HEX}|{secrets.ACCESS}')
+), free AS (
+    SELECT * FROM tokens t WHERE NOT EXISTS (
+        SELECT 1 FROM base b WHERE b.kind = 'assign' AND b.doc_id = t.doc_id AND b.first < t.last AND b.last > t.first)
+), steps AS (
+    SELECT doc_id, first, unnest([substr(' ' || value, i, 2) FOR i IN range(1, length(value) + 1)]) AS pair FROM free
+), scored AS (
+    SELECT s.doc_id, s.first, sum(round(1000 * ln(
+        ((coalesce(r.n, 0) + {_SETTINGS.smoothing}) / (coalesce(rb.n, 0) + {_SETTINGS.smoothing * _SETTINGS.symbols}))
+        / ((coalesce(o.n, 0) + {_SETTINGS.smoothing}) / (coalesce(ob.n, 0) + {_SETTINGS.smoothing * _SETTINGS.symbols}))))) AS ratio
+    FROM steps s
+    LEFT JOIN pairs r ON r.is_random AND r.a = s.pair[1] AND r.b = s.pair[2]
+    LEFT JOIN pairs o ON NOT o.is_random AND o.a = s.pair[1] AND o.b = s.pair[2]
+    LEFT JOIN befores rb ON rb.is_random AND rb.a = s.pair[1]
+    LEFT JOIN befores ob ON NOT ob.is_random AND ob.a = s.pair[1]
+    GROUP BY s.doc_id, s.first
+), spans AS (
+    SELECT doc_id, rank, kind, first, last FROM base
+    UNION ALL
+    SELECT f.doc_id, f.rank, f.kind, f.first, f.last FROM free f JOIN scored s ON s.doc_id = f.doc_id AND s.first = f.first
+    WHERE s.ratio >= {_SETTINGS.least_ratio} AND (SELECT count(DISTINCT is_random) FROM pairs) = 2
+)
+SELECT d.doc_id,
+       count(*) FILTER (WHERE kind = 'assign') AS n_assign,
+       count(*) FILTER (WHERE kind = 'access') AS n_access,
+       count(*) FILTER (WHERE kind = 'hex') AS n_hex,
+       sha256(coalesce(string_agg(kind || ':' || first::BIGINT || ':' || last::BIGINT, ',' ORDER BY first, rank) FILTER (WHERE kind <> 'random'), '')) AS base_sha256,
+       coalesce(string_agg(kind || ':' || first::BIGINT || ':' || last::BIGINT, ',' ORDER BY first, rank), '') AS spans
+FROM docs d LEFT JOIN spans s ON s.doc_id = d.doc_id GROUP BY d.doc_id
+"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from strata.llm import langid, line_dedup, minhash, packing, pii
+from strata.llm import langid, line_dedup, minhash, packing, pii, secrets, urls
 from strata.llm.common import PREFIX, table
 
 
@@ -19,6 +19,36 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.coalesce(lines["text"], F.lit("")).cast("binary"), 256).alias("kept_sha256"),
     )
 
+# The rules of the URL query.
+URL_RULES = (
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+)
+
+
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.find_secrets(docs, table=secrets.train(secrets.labelled_samples(docs)))
+    base = F.col(f"{PREFIX}base")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(base, lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in secrets.KINDS[:3]],
+        F.sha2(secrets.digest(base).cast("binary"), 256).alias("base_sha256"),
+        secrets.digest(F.col(f"{PREFIX}spans")).alias("spans"),
+    )
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return pages.withColumn("found", urls.judged(pages["url"], URL_RULES)).select("page_id", "found.*")
+
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))

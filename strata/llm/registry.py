@@ -12,6 +12,8 @@ from strata.session import configure
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
+    "op1_secrets": q.op1_secrets,
+    "op2_url_filter": q.op2_url_filter,
     "op4_packing": q.op4_packing,
     "op5_language_id": q.op5_language_id,
     "op7_minhash": q.op7_minhash,
@@ -20,6 +22,8 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_secrets": oracle.SECRETS,
+    "op2_url_filter": oracle.URL_FILTER,
     "op7_minhash": oracle.NEAR_DUPLICATES,
     "op9_line_dedup": oracle.LINE_DEDUP,
 }
