@@ -62,7 +62,7 @@ def running_sum(values: Column, block: int = 256) -> Column:
     """Sums of the first 0, 1, ... n values of an array of longs (n + 1 sums).
 
     In blocks, as an array that grows by one is copied each time: the work is
-    n * block, not n * n.
+    n * block, not n * n. ``values`` must be a column: it is read for each block.
     """
 
     def totals(part: Column, start: Column) -> Column:

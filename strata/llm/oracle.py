@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strata.llm import secrets, urls
+from strata.llm import quality, secrets, urls
 
 ASCII_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -156,3 +156,52 @@ SELECT d.doc_id,
        coalesce(string_agg(kind || ':' || first::BIGINT || ':' || last::BIGINT, ',' ORDER BY first, rank), '') AS spans
 FROM docs d LEFT JOIN spans s ON s.doc_id = d.doc_id GROUP BY d.doc_id
 """
+
+_Q = quality.QualitySettings()
+
+
+def _quoted(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+QUALITY = f"""
+WITH docs AS MATERIALIZED (
+    SELECT doc_id, coalesce(text, '') AS text FROM documents
+), worded AS MATERIALIZED (
+    SELECT doc_id, text, regexp_extract_all(text, {_quoted(quality.WORDS)}) AS w FROM docs
+), windows AS (
+    SELECT doc_id, unnest([w[i:i + 2] FOR i IN range(1, len(w) - 1)]) AS g, unnest(range(1, len(w) - 1)) AS i FROM worded WHERE len(w) >= 3
+), twice AS (
+    SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS n FROM windows) WHERE n > 1
+), covered AS (
+    SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM twice, (SELECT unnest([0, 1, 2]) AS k) GROUP BY doc_id
+), lines AS MATERIALIZED (
+    SELECT doc_id, line, len(regexp_extract_all(line, {_quoted(quality.WORDS)})) AS n,
+           length(line) - length(regexp_replace(line, {_quoted(quality.MARKS)}, '', 'g')) AS marks
+    FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM docs)
+    WHERE regexp_matches(line, {_quoted(quality.WORDS)})
+), judged AS (
+    SELECT *, marks > length(line) * {_Q.most_marks}
+        OR (n >= {_Q.least_words} AND NOT regexp_matches(line, {_quoted(quality.END_MARK)}) AND NOT regexp_matches(line, {_quoted(quality.HEADING)}))
+        OR (n <= {_Q.menu_words} AND (regexp_matches(line, {_quoted(quality.NAVIGATION)}) OR regexp_matches(line, {_quoted(quality.BARS)})))
+        OR regexp_matches(line, {_quoted(quality.BOILERPLATE)}) AS fails
+    FROM lines
+), by_doc AS (
+    SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines,
+           coalesce(sum(length(regexp_replace(line, '[\\x20\\x09-\\x0D]+', '', 'g'))) FILTER (WHERE NOT fails), 0) AS left_chars
+    FROM judged GROUP BY doc_id
+), counted AS (
+    SELECT w.doc_id, len(w.w)::BIGINT AS n_words, length(array_to_string(w.w, ''))::BIGINT AS word_chars,
+           (length(w.text) - length(regexp_replace(w.text, {_quoted(quality.SYMBOLS)}, '', 'g')))::BIGINT AS n_symbols,
+           coalesce(b.n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(c.n_repeat_words, 0)::BIGINT AS n_repeat_words,
+           coalesce(b.left_chars, 0) AS left_chars
+    FROM worded w LEFT JOIN by_doc b ON b.doc_id = w.doc_id LEFT JOIN covered c ON c.doc_id = w.doc_id
+), failed AS (
+    SELECT *, n_words < {_Q.fewest_words} OR 100 * n_repeat_words > {_Q.most_repeated} * n_words AS base_failed,
+           CASE WHEN word_chars > 0 THEN 1 - left_chars::DOUBLE / word_chars ELSE 0 END AS lost
+    FROM counted
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND lost <= {_Q.most_lost} AS kept
+FROM failed
+"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from strata.llm import langid, line_dedup, minhash, packing, pii, secrets, urls
+from strata.llm import langid, line_dedup, minhash, packing, pii, quality, secrets, urls
 from strata.llm.common import PREFIX, table
 
 
@@ -50,6 +50,12 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.withColumn("found", urls.judged(pages["url"], URL_RULES)).select("page_id", "found.*")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.quality(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return found.select("doc_id", *[F.col(f"{PREFIX}quality.{name}").alias(name) for name in names])
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")

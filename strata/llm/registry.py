@@ -14,6 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {
     "op1_secrets": q.op1_secrets,
     "op2_url_filter": q.op2_url_filter,
+    "op3_quality": q.op3_quality,
     "op4_packing": q.op4_packing,
     "op5_language_id": q.op5_language_id,
     "op7_minhash": q.op7_minhash,
@@ -24,6 +25,7 @@ QUERIES: dict[str, Query] = {
 ORACLE: dict[str, str] = {
     "op1_secrets": oracle.SECRETS,
     "op2_url_filter": oracle.URL_FILTER,
+    "op3_quality": oracle.QUALITY,
     "op7_minhash": oracle.NEAR_DUPLICATES,
     "op9_line_dedup": oracle.LINE_DEDUP,
 }

@@ -63,11 +63,9 @@ def _gaps(text: Column, pattern: str, matches: Column) -> Column:
     return F.when(F.size(matches) > 0, pieces).otherwise(F.array().cast("array<bigint>"))
 
 
-def _spans(gaps: Column, matches: Column, kind: str) -> Column:
-    """(start, rank, end, kind, value) of each match."""
+def _spans(steps: Column, matches: Column, kind: str) -> Column:
+    """(start, rank, end, kind, value) of each match; a step is a gap with the match after it."""
     rank = KINDS.index(kind)
-    before = F.slice(gaps, 1, F.size(matches))
-    steps = F.zip_with(before, matches, lambda g, m: g + F.length(m))
     ends = F.slice(running_sum(steps), 2, F.size(matches))
     spans = F.zip_with(
         ends,
@@ -83,10 +81,11 @@ def _spans(gaps: Column, matches: Column, kind: str) -> Column:
 
 def _found(df: DataFrame, text: Column, pattern: str, kind: str) -> DataFrame:
     """Adds column ``_strata_<kind>``, the spans of a pattern; steps apart, so that each scan runs once."""
-    matches, gaps = f"{PREFIX}m_{kind}", f"{PREFIX}g_{kind}"
+    matches, steps = f"{PREFIX}m_{kind}", f"{PREFIX}s_{kind}"
     df = df.withColumn(matches, _matches(text, pattern))
-    df = df.withColumn(gaps, _gaps(text, pattern, F.col(matches)))
-    return df.withColumn(f"{PREFIX}{kind}", _spans(F.col(gaps), F.col(matches), kind)).drop(matches, gaps)
+    gaps = F.slice(_gaps(text, pattern, F.col(matches)), 1, F.size(matches))
+    df = df.withColumn(steps, F.zip_with(gaps, F.col(matches), lambda g, m: g + F.length(m)))
+    return df.withColumn(f"{PREFIX}{kind}", _spans(F.col(steps), F.col(matches), kind)).drop(matches, steps)
 
 
 def base_spans(df: DataFrame, text: Column) -> DataFrame:
