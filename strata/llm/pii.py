@@ -36,6 +36,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from strata.llm import bloom
 from strata.llm.common import PREFIX, long_id, staged
 
 KINDS = ("email", "ip", "card", "phone")
@@ -60,7 +61,7 @@ class PiiSettings:
     least_digits: int = 4  # in a candidate
     least_chars: int = 5
     most_chars: int = 64
-    filter_bits: int = 1 << 25  # 4 MB, whatever the corpus
+    filter_bits: int = bloom.BITS
 
 
 def luhn(digits: str) -> bool:
@@ -237,25 +238,7 @@ def _find(s: PiiSettings):
     return rows
 
 
-def _filter_places(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    return hashes % np.uint64(bits), (hashes >> np.uint64(17)) * np.uint64(0x9E3779B1) % np.uint64(bits)
-
-
-def _bloom(bits: int):
-    """One filter a task: the sparse bytes that have a bit set."""
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros(bits // 8, dtype=np.uint8)
-        for batch in batches:
-            hashes = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            for at in _filter_places(hashes, bits):
-                np.bitwise_or.at(held, (at >> np.uint64(3)).astype(np.int64), np.left_shift(1, at % np.uint64(8)).astype(np.uint8))
-        yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(held.tobytes(), 1)], pa.binary())], names=["bits"])
-
-    return rows
-
-
-def _occurrences(sent, bits: int):
+def _occurrences(sent):
     """How often each pattern of the filter occurs: (pattern, n), summed in each batch."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,10 +249,7 @@ def _occurrences(sent, bits: int):
                 tokens = _tokens(text.as_py() or "")
                 one = np.fromiter(map(words.__getitem__, tokens), dtype=np.uint64, count=len(tokens))
                 for hashes in (one, _pair(one[:-1], one[1:])):
-                    first, second = _filter_places(hashes, bits)
-                    use = (held[first >> np.uint64(3)] >> (first % np.uint64(8)).astype(np.uint8)) & 1
-                    use &= (held[second >> np.uint64(3)] >> (second % np.uint64(8)).astype(np.uint8)) & 1
-                    found.append(hashes[use.astype(bool)])
+                    found.append(hashes[bloom.passes(held, hashes.view(np.int64))])
             keys, counts = np.unique(np.concatenate(found) if found else np.empty(0, np.uint64), return_counts=True)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys.view(np.int64)), pa.array(counts.astype(np.int64))], names=["pattern", "n"]
@@ -290,12 +270,8 @@ def _reliable_patterns(texts: DataFrame, found: DataFrame, s: PiiSettings) -> Da
     edges = staged(edges, "pii-edges")
     usual = edges.where("seed").groupBy("pattern").agg(F.count("*").alias("seeds")).where(F.col("seeds") >= s.support)
     usual = staged(usual.select("pattern"), "pii-patterns")
-    parts = usual.coalesce(8).mapInArrow(_bloom(s.filter_bits), "bits binary").collect()  # 8 filters at most
-    held = np.zeros(s.filter_bits // 8, dtype=np.uint8)
-    for part in parts:
-        held |= np.frombuffer(zlib.decompress(part["bits"]), dtype=np.uint8)
-    sent = spark.sparkContext.broadcast(held)
-    seen = texts.mapInArrow(_occurrences(sent, s.filter_bits), "pattern long, n long")
+    sent = spark.sparkContext.broadcast(bloom.build(usual, s.filter_bits))
+    seen = texts.mapInArrow(_occurrences(sent), "pattern long, n long")
     seen = seen.groupBy("pattern").agg(F.sum("n").alias("seen")).join(usual, "pattern", "leftsemi")
     graph = staged(edges.join(seen, "pattern"), "pii-graph")
     known = graph.groupBy("instance").agg(F.max("seed").cast("double").alias("trust"))
