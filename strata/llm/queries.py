@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from strata.llm import langid, line_dedup, minhash, packing, pii, quality, secrets, urls
+from strata.llm import ann, langid, line_dedup, minhash, packing, pii, quality, secrets, urls
 from strata.llm.common import PREFIX, table
 
 
@@ -74,6 +74,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return minhash.near_duplicates(docs, settings=minhash.MinHashSettings(words=4))

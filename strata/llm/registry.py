@@ -17,6 +17,7 @@ QUERIES: dict[str, Query] = {
     "op3_quality": q.op3_quality,
     "op4_packing": q.op4_packing,
     "op5_language_id": q.op5_language_id,
+    "op6_nearest": q.op6_nearest,
     "op7_minhash": q.op7_minhash,
     "op9_line_dedup": q.op9_line_dedup,
     "op10_pii": q.op10_pii,
