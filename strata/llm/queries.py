@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from strata.llm import ann, langid, line_dedup, minhash, packing, pii, quality, secrets, urls
+from strata.llm import ann, langid, line_dedup, minhash, packing, pieces, pii, quality, secrets, urls
 from strata.llm.common import PREFIX, table
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = pieces.sampled_with_check(docs, "doc_id", "text")
+    return coded.select("doc_id", F.size("pieces").cast("long").alias("n_pieces"), F.hash("pieces").alias("pieces_hash"), "lossless")
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     cut = line_dedup.apply_bitmaps(docs, line_dedup.line_bitmaps(docs))

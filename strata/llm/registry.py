@@ -19,6 +19,7 @@ QUERIES: dict[str, Query] = {
     "op5_language_id": q.op5_language_id,
     "op6_nearest": q.op6_nearest,
     "op7_minhash": q.op7_minhash,
+    "op8_sentencepiece": q.op8_sentencepiece,
     "op9_line_dedup": q.op9_line_dedup,
     "op10_pii": q.op10_pii,
 }
