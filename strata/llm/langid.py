@@ -192,13 +192,17 @@ def train(
     rows = labelled.select(
         labelled[id_col].alias("id"), labelled[text_col].alias("text"), labelled[lang_col].cast("string").alias("lang")
     ).where("id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL")
-    langs = [r["lang"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(s.max_langs).collect()]
+    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(s.max_langs).collect()
+    langs = {r["lang"]: r["count"] for r in counts}
     if not langs:
         return fit([], [], s)
+    whole = 1_000_000_007
+    bars = F.create_map(*[F.lit(x) for lang, n in langs.items() for x in (lang, min(whole, 4 * s.sample_rows * whole // n))])
     first = Window.partitionBy("lang").orderBy("draw", "id")
-    sized = rows.select("id", "lang", F.xxhash64(F.lit(s.seed), "id").alias("draw"), F.octet_length("text").alias("size"))
-    picked = (
-        sized.where(F.col("lang").isin(langs))
+    draw = F.pmod(F.xxhash64(F.lit(s.seed), "id"), F.lit(whole))
+    sized = rows.select("id", "lang", draw.alias("draw"), F.octet_length("text").alias("size"))
+    picked = (  # a draw that lets some four times as many pass keeps the ranking small at any size
+        sized.where(F.col("draw") <= F.try_element_at(bars, F.col("lang")))
         .withColumn("place", F.row_number().over(first))
         .where(F.col("place") <= s.sample_rows)
         .withColumn("bytes", F.sum("size").over(first.rowsBetween(Window.unboundedPreceding, 0)))
