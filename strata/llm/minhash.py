@@ -9,9 +9,14 @@
 4. The collision-corrected similarity of the packed signatures, by bit counts,
    drops candidates more than ``margin`` standard deviations below the threshold.
 5. The rest are confirmed on their full shingle sets.
-6. Where a bucket still spans several components, its members are compared by
-   signature in tiles of bounded size, and hits between components are confirmed
-   in the same way: no link is lost to the choice of a centre.
+6. Where a bucket still spans several components, its members meet in tiles of
+   bounded size: those whose signatures come near one of another component get
+   their texts, are compared on their full sets inside the task, and leave one link
+   for each two components joined, not one for each pair. So no link is lost to the
+   choice of a centre, and what leaves a tile is no larger than what enters it.
+
+Texts are fetched by a Bloom filter of fixed size over the ids wanted, not by a
+shuffle of all texts.
 
 Components come from alternating stars over confirmed links.
 
@@ -31,6 +36,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
+from strata.llm.bloom import keep_passing
 from strata.llm.common import PREFIX, long_id, staged, text_bytes
 from strata.llm.components import components
 
@@ -43,7 +49,7 @@ class MinHashSettings:
     rows: int = 5  # a pair at 0.8 shares no band once in 300,000 times
     bits: int = 4  # kept of each minimum: 1, 2, 4 or 8
     margin: float = 5.0  # standard deviations allowed below the threshold
-    tile: int = 4096  # members of a bucket compared in one task
+    tile: int = 2048  # members of a bucket in one side of a tile
     seed: int = 20240501
 
     @property
@@ -156,20 +162,24 @@ def estimate(a: Column, b: Column, s: MinHashSettings) -> Column:
     return (1 - unlike / (s.bands * s.rows) - chance) / (1 - chance)
 
 
-def _tile_pairs(s: MinHashSettings):
-    """Pairs of one tile in different components whose signatures are near enough."""
+def _sides(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers of a tile's two sides; a tile of one block is compared with itself."""
+    side = rows.column("side").to_numpy()
+    left = np.flatnonzero(side == 0)
+    return (left, np.flatnonzero(side == 1)) if (side == 1).any() else (left, left)
+
+
+def _near_in_tile(s: MinHashSettings):
+    """The rows of a tile that come near a row of another component, by their signatures."""
     n, chance, mask = s.bands * s.rows, 2.0**-s.bits, np.uint64(_mask(s.bits) % 2**64)
     most = math.floor(n * (1 - chance) * (1 - s.least_estimate) + 1e-9)
 
-    def pairs(rows: pa.Table) -> pa.Table:
-        nodes = rows.column("node").to_numpy()
+    def near(rows: pa.Table) -> pa.Table:
         labels = rows.column("label").to_numpy()
-        side = rows.column("side").to_numpy()
         packed = rows.column("packed").combine_chunks()
-        packed = packed.flatten().to_numpy().view(np.uint64).reshape(len(nodes), -1)
-        left = np.flatnonzero(side == 0) if (side == 1).any() else np.arange(len(nodes))
-        right = np.flatnonzero(side == 1) if (side == 1).any() else left
-        found_a, found_b = [], []
+        packed = packed.flatten().to_numpy().view(np.uint64).reshape(len(labels), -1)
+        left, right = _sides(rows)
+        keep = np.zeros(len(labels), dtype=bool)
         for start in range(0, len(left), 64):
             part = left[start : start + 64]
             unlike = np.zeros((len(part), len(right)), dtype=np.int32)
@@ -180,17 +190,55 @@ def _tile_pairs(s: MinHashSettings):
                     d |= d >> np.uint64(width)
                     width *= 2
                 unlike += np.bitwise_count(d & mask)
-            near = (unlike <= most) & (labels[part][:, None] != labels[right][None, :])
-            i, j = np.nonzero(near)
-            a, b = nodes[part[i]], nodes[right[j]]
-            found_a.append(np.minimum(a, b))
-            found_b.append(np.maximum(a, b))
-        a = np.concatenate(found_a) if found_a else np.empty(0, dtype=np.int64)
-        b = np.concatenate(found_b) if found_b else np.empty(0, dtype=np.int64)
-        both = np.unique(np.column_stack([a, b]), axis=0) if len(a) else np.empty((0, 2), dtype=np.int64)
-        return pa.table({"a": pa.array(both[:, 0].copy()), "b": pa.array(both[:, 1].copy())})
+            hit = (unlike <= most) & (labels[part][:, None] != labels[right][None, :])
+            keep[part] |= hit.any(axis=1)
+            keep[right] |= hit.any(axis=0)
+        return rows.select(["key", "i", "j", "side", "node", "label"]).filter(pa.array(keep))
+
+    return near
+
+
+def _linked_in_tile(s: MinHashSettings):
+    """One confirmed link for each two components of a tile that have any."""
+
+    def links(rows: pa.Table) -> pa.Table:
+        hashes = _WordHashes()
+        nodes = rows.column("node").to_numpy()
+        sets = [shingles(t, s.words, hashes) for t in text_bytes(rows.column("text").combine_chunks())]
+        sizes = np.array([len(x) for x in sets])
+        distinct, codes = np.unique(np.concatenate(sets), return_inverse=True)
+        starts = np.concatenate([[0], np.cumsum(sizes)])
+        group = {label: label for label in rows.column("label").to_pylist()}
+        of = rows.column("label").to_pylist()
+
+        def root(x):
+            while group[x] != x:
+                group[x] = x = group[group[x]]
+            return x
+
+        left, right = _sides(rows)
+        marks = np.zeros(len(distinct), dtype=np.int32)
+        found = []
+        for x in left:
+            roots = np.array([root(of[y]) for y in right])
+            others = right[(roots != root(of[x])) & (sizes[right] > 0)]
+            others = others[100 * np.minimum(sizes[others], sizes[x]) >= s.percent * np.maximum(sizes[others], sizes[x])]
+            if not len(others):
+                continue
+            own = codes[starts[x] : starts[x + 1]]
+            marks[own] = 1
+            both = np.array([int(marks[codes[starts[y] : starts[y + 1]]].sum()) for y in others])
+            marks[own] = 0
+            for y in others[100 * both >= s.percent * (sizes[x] + sizes[others] - both)]:
+                a, b = root(of[x]), root(of[y])
+                if a != b:
+                    group[a] = b
+                    found.append((min(nodes[x], nodes[y]), max(nodes[x], nodes[y])))
+        return pa.table(
+            {"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())}
+        )
 
-    return pairs
+    return links
 
 
 def _confirm(s: MinHashSettings):
@@ -210,11 +258,15 @@ def _confirm(s: MinHashSettings):
     return rows
 
 
+def _texts(given: DataFrame, ids: DataFrame) -> DataFrame:
+    """Texts of the ids, and by chance of a few others, by a scan with a filter."""
+    return staged(keep_passing(given, ids), "candidate-texts")
+
+
 def _confirmed(given: DataFrame, pairs: DataFrame, s: MinHashSettings) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets are similar enough; reads only the texts they name."""
-    pairs = staged(pairs.distinct(), "candidates")
-    wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    texts = staged(given.join(wanted, "doc_id", "leftsemi"), "candidate-texts")
+    """The pairs (a, b) whose full shingle sets are similar enough."""
+    pairs = staged(pairs, "candidates")
+    texts = _texts(given, pairs.select(F.explode(F.array("a", "b"))))
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("left"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("right"))
     both = pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right")
@@ -278,8 +330,17 @@ def near_duplicates(
             (F.col("block") > F.col("other")).cast("int").alias("side"),
         )
     )
-    missed = tiles.groupBy("key", "i", "j").applyInArrow(_tile_pairs(s), "a long, b long")
-    more = _confirmed(given, missed, s)
+    tile = ["key", "i", "j"]
+    near = staged(
+        tiles.groupBy(tile).applyInArrow(
+            _near_in_tile(s), "key long, i int, j int, side int, node long, label long"
+        ),
+        "near",
+    )
+    texts = _texts(given, near.select("node")).withColumnRenamed("doc_id", "node")
+    more = staged(
+        near.join(texts, "node").groupBy(tile).applyInArrow(_linked_in_tile(s), "a long, b long").distinct(), "links"
+    )
     if not more.isEmpty():
         found = staged(components(links.unionByName(more)), "components")
 
