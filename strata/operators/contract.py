@@ -15,6 +15,8 @@ from strata.functions.timestamps import is_iso, utc_text
 
 INT_TEXT = r"^\s*([+-]?\d+)(\.0*)?\s*$"
 NUMBER_TEXT = r"(?i)^\s*[+-]?((\d+(\.\d*)?|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)\s*$"
+DECIMAL_WHOLE = r"^([+-]?\d+)(\.0*)?$"  # a decimal is compared as text: a double loses digits
+DECIMAL_FRACTION = r"\.\d*[1-9]"
 UUID_TEXT = r"(?i)^[0-9a-f]{8}-([0-9a-f]{4}-){3}[0-9a-f]{12}$"
 
 SQL_TYPES = {"string": "string", "integer": "bigint", "number": "double"}
@@ -44,6 +46,7 @@ class Field:
     le: float | None = None
     allowed: tuple[str, ...] | None = None
     fmt: str | None = None  # iso8601 or uuid
+    label: str | None = None  # its name in the text about an enumerated value
 
 
 @dataclass(frozen=True)
@@ -113,8 +116,10 @@ def _coerced(field: Field, item: str, json_type: str) -> Column:
     as_double = F.try_variant_get(value, "$", "double")
     if field.kind == "integer":
         from_text = F.regexp_extract(as_text, INT_TEXT, 1).try_cast("bigint")
-        whole = (kind == "BIGINT") | (kind == "BOOLEAN") | (as_double == F.rint(as_double))
-        from_number = F.when(whole, F.try_variant_get(value, "$", "bigint"))
+        whole = (kind == "BIGINT") | (kind == "BOOLEAN") | ((kind == "DOUBLE") & (as_double == F.rint(as_double)))
+        digits = F.regexp_extract(F.try_variant_get(value, "$", "string"), DECIMAL_WHOLE, 1)
+        exact = F.when(kind.startswith("DECIMAL"), digits.try_cast("bigint"))
+        from_number = F.when(whole, F.try_variant_get(value, "$", "bigint")).otherwise(exact)
         return F.when(kind == "STRING", from_text).when(numeric, from_number)
     from_text = F.when(as_text.rlike(NUMBER_TEXT), F.trim(as_text).try_cast("double"))
     return F.when(kind == "STRING", from_text).when(numeric, as_double)
@@ -141,7 +146,8 @@ def _message(field: Field, item: str, json_type: str, value: str) -> Column:
         text = F.try_variant_get(F.col(item), "$", "string")
         number = F.try_variant_get(F.col(item), "$", "double")
         rule((kind == "STRING") & ~text.rlike(INT_TEXT), NOT_INTEGER_TEXT)
-        rule((kind != "STRING") & (number != F.rint(number)), NOT_INTEGER_FRACTION)
+        rule((kind == "DOUBLE") & (number != F.rint(number)), NOT_INTEGER_FRACTION)
+        rule(kind.startswith("DECIMAL") & text.rlike(DECIMAL_FRACTION), NOT_INTEGER_FRACTION)
         numeric = kind.startswith("DECIMAL") | kind.isin("BIGINT", "DOUBLE", "STRING")
         rule(numeric & typed.isNull(), NOT_INTEGER_RANGE)
         rule(typed.isNull(), NOT_INTEGER)
@@ -162,7 +168,7 @@ def _message(field: Field, item: str, json_type: str, value: str) -> Column:
         listed = ", ".join(f"'{value}'" for value in sorted(field.allowed))
         rule(
             ~typed.isin(*field.allowed),
-            F.concat(F.lit("Value error, Category '"), typed, F.lit(f"' is not in allowed list: [{listed}]")),
+            F.concat(F.lit(f"Value error, {field.label or field.name.capitalize()} '"), typed, F.lit(f"' is not in allowed list: [{listed}]")),
         )
     if field.fmt == "iso8601":
         rule(
@@ -224,35 +230,51 @@ def valid_rows(checked: DataFrame, contract: Contract) -> DataFrame:
     return checked.filter(is_valid()).select(*contract.columns)
 
 
-def quarantine_id(value: str, position: tuple[str, ...] = (), prefix: str = "QLOG-", digits: int = 8) -> Column:
-    """Stable id from the raw text and its source position.
+ID_DIGITS = 32  # 128 bits; the short ids of the surveyed behaviour have 8
 
-    A replayed row keeps its id. ``digits`` beyond 8 makes collisions rare on
-    large quarantines.
+
+def quarantine_id(
+    value: str, position: tuple[str, ...] = (), prefix: str = "QLOG-", digits: int = ID_DIGITS, batch: int | None = None
+) -> Column:
+    """Stable id from the raw text, its source position and the batch it came with.
+
+    Equal texts need a position to get ids of their own. A replayed row keeps its id.
     """
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (value, *position)]
+    if batch is not None:
+        parts.append(F.lit(str(batch)))
     return F.concat(F.lit(prefix), F.upper(F.left(F.sha2(F.concat_ws("|", *parts), 256), F.lit(digits))))
 
 
+def rejection_columns(
+    value: str = "value", position: tuple[str, ...] = (), digits: int = ID_DIGITS, batch: int | None = None
+) -> dict[str, Column]:
+    """The quarantine record of a rejected row; the first failing field names the reason."""
+    first = F.col("_errors")[0]
+    return {
+        "quarantine_id": quarantine_id(value, position, digits=digits, batch=batch),
+        "rejection_timestamp": utc_text(F.current_timestamp()),
+        "rejection_reason": F.concat(F.lit(REASON_PREFIX), first["message"]),
+        "failed_field": first["field"],
+        "raw_payload": F.col(value),
+    }
+
+
 def quarantine_rows(
-    checked: DataFrame, value: str = "value", position: tuple[str, ...] = (), digits: int = 8
+    checked: DataFrame, value: str = "value", position: tuple[str, ...] = (), digits: int = ID_DIGITS
 ) -> DataFrame:
-    """Rejected rows as quarantine records; the first failing field names the reason."""
-    first = F.col("_errors")[0]
-    return checked.filter(~is_valid()).select(
-        quarantine_id(value, position, digits=digits).alias("quarantine_id"),
-        utc_text(F.current_timestamp()).alias("rejection_timestamp"),
-        F.concat(F.lit(REASON_PREFIX), first["message"]).alias("rejection_reason"),
-        first["field"].alias("failed_field"),
-        F.col(value).alias("raw_payload"),
-    )
+    """Rejected rows as quarantine records."""
+    record = rejection_columns(value, position, digits)
+    return checked.filter(~is_valid()).select(*[column.alias(name) for name, column in record.items()])
 
 
-def dead_letter_rows(checked: DataFrame, value: str = "value", position: tuple[str, ...] = ()) -> DataFrame:
+def dead_letter_rows(
+    checked: DataFrame, value: str = "value", position: tuple[str, ...] = (), digits: int = ID_DIGITS
+) -> DataFrame:
     """The second quarantine layout, with an error type and the plain message."""
     first = F.col("_errors")[0]
     return checked.filter(~is_valid()).select(
-        F.lower(quarantine_id(value, position, prefix="dlq_")).alias("quarantine_id"),
+        F.lower(quarantine_id(value, position, prefix="dlq_", digits=digits)).alias("quarantine_id"),
         F.lit("ValidationError").alias("error_type"),
         first["field"].alias("field_failed"),
         first["message"].alias("error_message"),

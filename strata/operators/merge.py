@@ -10,6 +10,10 @@ from strata.functions.timestamps import parse_iso
 from strata.operators.sizing import broadcast_if_small
 
 
+# Which version of a row is the latest: by batch, publication time, then place in the source.
+ROW_ORDER = ("_batch_id", "published_timestamp", "_source_file", "_source_row")
+
+
 def standardize(
     df: DataFrame,
     longs: Sequence[str] = ("views",),
@@ -35,12 +39,27 @@ def dedup_latest(df: DataFrame, key: str, order_by: Sequence[str] = ("_ingested_
     return grouped.select(*[F.col(c) if c == key else F.col(f"_latest.{c}").alias(c) for c in df.columns])
 
 
-def upsert(target: DataFrame, source: DataFrame, key: str, broadcast_bytes: int = 64 << 20) -> DataFrame:
+def upsert(
+    target: DataFrame, source: DataFrame, key: str, broadcast_bytes: int = 64 << 20, order_by: Sequence[str] = ()
+) -> DataFrame:
     """Target with the source merged in: matched keys replaced, new keys added.
 
+    With ``order_by`` a matched row is replaced only by one of an equal or later
+    order, so a replay of an old batch brings no old row back.
+
     Source keys must be unique (``dedup_latest``). A null key matches nothing:
     both null-key rows stay. When the source keys are measured to be small they
     are broadcast and the target is not shuffled; else both sides meet by key.
+    ``source`` is read up to three times: give a stored table.
     """
-    keys = broadcast_if_small(source.select(key).where(F.col(key).isNotNull()), broadcast_bytes)
-    return target.join(keys, key, "left_anti").select(*target.columns).unionByName(source)
+    known = source.where(F.col(key).isNotNull())
+    if not order_by:
+        keys = broadcast_if_small(known.select(key), broadcast_bytes)
+        return target.join(keys, key, "left_anti").select(*target.columns).unionByName(source)
+    keys = broadcast_if_small(known.select(key, F.struct(*order_by).alias("_order")), broadcast_bytes)
+    met = target.join(keys, key, "left")
+    later = F.struct(*order_by) > F.col("_order")
+    kept = met.where(F.col("_order").isNull() | later).select(*target.columns)
+    beaten = met.where(F.col("_order").isNotNull() & later).select(key)
+    added = source.join(broadcast_if_small(beaten, broadcast_bytes), key, "left_anti").select(*source.columns)
+    return kept.unionByName(added)

@@ -465,7 +465,7 @@ def medallion_gold(spark, sf_dir):
     """The whole run on the articles as raw events; its category table."""
     root = work_path(spark, "medallion")
     medallion.run(as_json(articles(spark, sf_dir, spread_out=True)), root, 1, ARTICLES)
-    return spark.read.parquet(f"{root}/gold/category_metrics")
+    return medallion.read_gold(spark, root, "category_metrics")
 
 
 # Chunks and retrieval

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from strata.config import Settings
 from strata.operators import gold
@@ -13,11 +13,20 @@ from strata.operators.chunks import chunk_documents
 from strata.operators.contract import ARTICLE_EVENT, Contract, check
 from strata.operators.embed import Embedder
 from strata.operators.lineage import LineageLog
-from strata.operators.merge import dedup_latest, standardize
+from strata.operators.merge import ROW_ORDER, dedup_latest, standardize
 from strata.operators.quality import SILVER_SUITE, Expectation, enforce
 from strata.plans.retrieval import Index, build_index
 from strata.sources.silver import merge_silver, read_silver
-from strata.sources.writers import append_batch, bronze_schema, read_batches, read_valid, with_audit, write_split
+from strata.sources.writers import (
+    append_batch,
+    bronze_schema,
+    latest_snapshot,
+    read_batches,
+    read_valid,
+    with_audit,
+    write_snapshot,
+    write_split,
+)
 
 JOB = "article_run"
 
@@ -38,7 +47,9 @@ class Layout:
 def ingest(events: DataFrame, contract: Contract, layout: Layout, batch_id: int) -> dict:
     """Check raw events and land them split; returns the counts."""
     source_file = "_source_file" if "_source_file" in events.columns else None
-    return write_split(check(events, contract), contract, layout.landing(batch_id), source_file=source_file)
+    return write_split(
+        check(events, contract), contract, layout.landing(batch_id), source_file=source_file, batch=batch_id
+    )
 
 
 def load_bronze(valid: DataFrame, layout: Layout, batch_id: int, settings: Settings) -> int:
@@ -46,18 +57,38 @@ def load_bronze(valid: DataFrame, layout: Layout, batch_id: int, settings: Setti
 
 
 def load_silver(spark, contract: Contract, layout: Layout, batch_id: int, settings: Settings) -> None:
-    """Merge the rows of this bronze batch only; other batches are pruned away."""
+    """Merge the rows of this bronze batch only; other batches are pruned away.
+
+    A row is replaced by one of the same or a later batch, so running an old
+    batch again changes nothing that came after it.
+    """
     bronze = read_batches(spark, layout.at("bronze"), bronze_schema(contract))
     rows = bronze.where(f"_batch_id = {batch_id}")
-    staged = dedup_latest(standardize(rows), settings.business_key)
+    staged = dedup_latest(standardize(rows), settings.business_key, ROW_ORDER)
     folder = layout.at("staging", f"batch={batch_id}")
     staged.write.mode("overwrite").parquet(folder)
-    merge_silver(spark.read.parquet(folder), layout.at("silver"), settings.business_key, settings.broadcast_bytes)
+    merge_silver(
+        spark.read.parquet(folder), layout.at("silver"), settings.business_key, settings.broadcast_bytes, ROW_ORDER
+    )
+
+
+GOLD_TABLES = {
+    "category_metrics": gold.category_metrics,
+    "author_metrics": gold.author_metrics,
+    "category_word_counts": gold.category_word_counts,
+    "daily_velocity": gold.daily_velocity,
+}
 
 
 def load_gold(silver: DataFrame, layout: Layout) -> None:
-    gold.category_metrics(silver).write.mode("overwrite").parquet(layout.at("gold", "category_metrics"))
-    gold.author_metrics(silver).write.mode("overwrite").parquet(layout.at("gold", "author_metrics"))
+    """A new version of each gold table, with the columns of the last one."""
+    for name, metrics in GOLD_TABLES.items():
+        write_snapshot(metrics(silver), layout.at("gold", name), enforce=True)
+
+
+def read_gold(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    """The latest version of a gold table."""
+    return latest_snapshot(spark, Layout(root).at("gold", name))
 
 
 def run(
@@ -73,8 +104,7 @@ def run(
 
     A failing gate raises ``QualityGateError`` before gold and index are
     touched. Any failure leaves a FAIL event for its stage and for the run.
-    Running a batch again overwrites its own folders and merges to the same
-    silver table.
+    Running a batch again overwrites its own folders and leaves silver as it is.
     """
     spark = events.sparkSession
     layout = Layout(root)

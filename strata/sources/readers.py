@@ -5,28 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strata.session import delta_available
+from strata.sources.json_array import read_array
 
 
 def read_events(spark: SparkSession, path: str, layout: str = "lines") -> DataFrame:
     """Raw events as JSON text in ``value``, plus the file they came from.
 
-    ``lines`` is one object per line and keeps malformed lines. ``array`` is an
-    indented JSON array whose elements become rows; such a file cannot be split
-    and must fit one VARIANT, so a malformed or larger one fails the read. Lines
-    are the format for large input.
+    ``lines`` is one object per line and keeps malformed lines. ``array`` is a
+    JSON array, of any size, whose elements become rows; what is malformed stays
+    as text for the contract to reject.
     """
     if layout == "array":
-        files = (
-            spark.read.option("multiLine", True)
-            .option("mode", "FAILFAST")
-            .option("singleVariantColumn", "_file")
-            .json(path)
-            .select("_file", F.col("_metadata.file_path").alias("_source_file"))
-        )
-        elements = F.coalesce(F.try_variant_get("_file", "$", "array<variant>"), F.array("_file"))
-        return files.select(F.explode(elements).alias("_element"), "_source_file").select(
-            F.to_json("_element").alias("value"), "_source_file"
-        )
+        return read_array(spark, path)
     if layout != "lines":
         raise ValueError(f"layout must be lines or array, got {layout!r}")
     return spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_source_file"))

@@ -1,12 +1,25 @@
-"""The silver table: a Delta MERGE where Delta is installed, else snapshots."""
+"""The silver table: a Delta MERGE where Delta is installed, else buckets by a hash of the key."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from strata.operators.merge import upsert
 from strata.session import delta_available
-from strata.sources.writers import latest_snapshot, write_snapshot
+from strata.sources.versions import fresh_folder, publish, published
+
+BUCKETS = 64  # of a new table; a large one wants as many as keep a bucket at some hundred MB
+
+
+def _table(spark: SparkSession, root: str, manifest: dict, buckets: Sequence[str]) -> DataFrame:
+    """Some buckets of a version."""
+    schema = T.StructType.fromJson(manifest["schema"])
+    paths = [f"{root}/{manifest['folders'][b]}/_bucket={b}" for b in buckets]
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*paths)
 
 
 def read_silver(spark: SparkSession, root: str) -> DataFrame | None:
@@ -15,27 +28,62 @@ def read_silver(spark: SparkSession, root: str) -> DataFrame | None:
         from delta.tables import DeltaTable
 
         return spark.read.format("delta").load(root) if DeltaTable.isDeltaTable(spark, root) else None
-    return latest_snapshot(spark, root)
+    _, manifest = published(spark, root)
+    return None if manifest is None else _table(spark, root, manifest, sorted(manifest["folders"]))
+
 
+def merge_silver(
+    staged: DataFrame,
+    root: str,
+    key: str,
+    broadcast_bytes: int = 64 << 20,
+    order_by: Sequence[str] = (),
+    buckets: int = BUCKETS,
+) -> None:
+    """Merge staged rows (unique keys, a stored table) into the table; the first run creates it.
 
-def merge_silver(staged: DataFrame, root: str, key: str, broadcast_bytes: int = 64 << 20) -> None:
-    """Merge staged rows (unique keys) into the table; the first run creates it."""
+    Only the buckets that the rows fall into are read and written anew; the
+    others keep their files. ``order_by``: see ``upsert``.
+    """
     spark = staged.sparkSession
     if delta_available():
-        from delta.tables import DeltaTable
+        _merge_delta(staged, root, key, order_by)
+        return
+    version, manifest = published(spark, root)
+    n = manifest["buckets"] if manifest else buckets
+    folders = dict(manifest["folders"]) if manifest else {}
+    bucket = F.pmod(F.xxhash64(key), F.lit(n)).cast("int").alias("_bucket")
+    touched = sorted(str(r["_bucket"]) for r in staged.select(bucket).distinct().collect())  # at most n
+    merged = staged
+    if manifest:
+        there = _table(spark, root, manifest, [b for b in touched if b in folders])
+        merged = upsert(there, staged, key, broadcast_bytes, order_by)
+    folder = fresh_folder(version + 1)
+    if touched:
+        merged.withColumn("_bucket", bucket).repartition("_bucket").write.partitionBy("_bucket").parquet(f"{root}/{folder}")
+    schema = manifest["schema"] if manifest else staged.schema.jsonValue()
+    publish(
+        spark, root, version + 1, {"buckets": n, "schema": schema, "folders": folders | dict.fromkeys(touched, folder)}
+    )
+
+
+def _merge_delta(staged: DataFrame, root: str, key: str, order_by: Sequence[str]) -> None:
+    from delta.tables import DeltaTable
 
-        if not DeltaTable.isDeltaTable(spark, root):
-            staged.write.format("delta").mode("overwrite").save(root)
-            return
-        (
-            DeltaTable.forPath(spark, root)
-            .alias("target")
-            .merge(staged.alias("source"), f"target.{key} = source.{key}")
-            .whenMatchedUpdateAll()
-            .whenNotMatchedInsertAll()
-            .execute()
-        )
+    spark = staged.sparkSession
+    if not DeltaTable.isDeltaTable(spark, root):
+        staged.write.format("delta").mode("overwrite").save(root)
         return
-    current = latest_snapshot(spark, root)
-    merged = staged if current is None else upsert(current, staged, key, broadcast_bytes)
-    write_snapshot(merged, root)
+
+    def order(side: str) -> str:
+        return f"struct({', '.join(f'{side}.{c}' for c in order_by)})"
+
+    newer = f"{order('source')} >= {order('target')}" if order_by else None
+    (
+        DeltaTable.forPath(spark, root)
+        .alias("target")
+        .merge(staged.alias("source"), f"target.{key} = source.{key}")
+        .whenMatchedUpdateAll(condition=newer)
+        .whenNotMatchedInsertAll()
+        .execute()
+    )

@@ -5,10 +5,11 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
-from strata.operators.contract import Contract, is_valid, observe_counts, quarantine_id, REASON_PREFIX
-from strata.functions.timestamps import utc_text
+from strata.operators.contract import ID_DIGITS, Contract, is_valid, observe_counts, rejection_columns
+from strata.sources.versions import fresh_folder, publish, published
 
 log = logging.getLogger(__name__)
 
@@ -33,6 +34,8 @@ def write_split(
     position: tuple[str, ...] = (),
     source_file: str | None = None,
     fmt: str = "parquet",
+    digits: int = ID_DIGITS,
+    batch: int | None = None,
 ) -> dict:
     """Land checked rows in one job, valid and quarantined in a folder each.
 
@@ -40,18 +43,20 @@ def write_split(
 
     The rows are scanned and parsed once; readers prune to their folder. A
     rerun overwrites. Returns the counts, taken during the write.
+
+    ``position`` are the columns that tell rows of one text apart, as topic,
+    partition and offset; without them a row's number in the batch does, which
+    also lands as ``_source_row``.
     """
     observed, seen = observe_counts(checked)
-    first = F.col("_errors")[0]
+    numbered = observed.withColumn("_source_row", F.monotonically_increasing_id())
     rejected = ~is_valid()
-    rows = observed.select(
+    record = rejection_columns(value, position or ("_source_row",), digits, batch)
+    rows = numbered.select(
         *[F.when(is_valid(), F.col(c)).alias(c) for c in contract.columns],
-        F.when(rejected, quarantine_id(value, position)).alias("quarantine_id"),
-        F.when(rejected, utc_text(F.current_timestamp())).alias("rejection_timestamp"),
-        F.when(rejected, F.concat(F.lit(REASON_PREFIX), first["message"])).alias("rejection_reason"),
-        F.when(rejected, first["field"]).alias("failed_field"),
-        F.when(rejected, F.col(value)).alias("raw_payload"),
+        *[F.when(rejected, column).alias(name) for name, column in record.items()],
         (F.col(source_file) if source_file else F.lit(None).cast("string")).alias("_source_file"),
+        "_source_row",
         F.when(rejected, "quarantined").otherwise("valid").alias("_status"),
     )
     rows.write.mode("overwrite").partitionBy("_status").format(fmt).save(path)
@@ -61,15 +66,15 @@ def write_split(
 def landing_schema(contract: Contract) -> str:
     """Schema of a landing folder; given to the reader, as a batch may hold no row."""
     texts = ", ".join(f"{c} string" for c in (*QUARANTINE_COLUMNS, "_source_file", "_status"))
-    return f"{contract.sql_schema}, {texts}"
+    return f"{contract.sql_schema}, {texts}, _source_row bigint"
 
 
 def read_valid(
     spark: SparkSession, path: str, contract: Contract, with_source: bool = False, fmt: str = "parquet"
 ) -> DataFrame:
-    """The contract columns of the valid rows, with the file they came from on demand."""
+    """The contract columns of the valid rows, with the file and place they came from on demand."""
     rows = spark.read.schema(landing_schema(contract)).format(fmt).load(path)
-    source = ["_source_file"] if with_source else []
+    source = ["_source_file", "_source_row"] if with_source else []
     return rows.where("_status = 'valid'").select(*contract.columns, *source)
 
 
@@ -83,7 +88,10 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def send_to_kafka(df: DataFrame, bootstrap: str, topic: str) -> bool:
-    """Send each row as JSON; a failed send is logged and reported, not raised."""
+    """Send each row as JSON; a failed delivery is logged and reported, not raised.
+
+    A missing connector or a wrong option is a fault of the set-up and is raised.
+    """
     try:
         (
             df.select(F.to_json(F.struct(*df.columns)).alias("value"))
@@ -93,6 +101,8 @@ def send_to_kafka(df: DataFrame, bootstrap: str, topic: str) -> bool:
             .save()
         )
         return True
+    except AnalysisException:
+        raise
     except Exception:
         log.exception("rows were not sent to topic %s", topic)
         return False
@@ -123,7 +133,7 @@ def append_batch(
 
 
 def bronze_schema(contract: Contract) -> str:
-    audit = "_source_file string, _ingested_at timestamp, _source string, ingestion_date date, _batch_id bigint"
+    audit = "_source_file string, _source_row bigint, _ingested_at timestamp, _source string, ingestion_date date, _batch_id bigint"
     return f"{contract.sql_schema}, {audit}"
 
 
@@ -159,35 +169,24 @@ def append_enforced(df: DataFrame, path: str) -> None:
     df.select(*target.columns).write.mode("append").parquet(path)
 
 
-def _snapshots(spark: SparkSession, root: str) -> list[int]:
-    """Versions under ``root`` whose write was finished."""
-    jvm = spark._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(root)
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(folder):
-        return []
-    found = []
-    for status in fs.listStatus(folder):
-        name = status.getPath().getName()
-        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
-            found.append(int(name[2:]))
-    return sorted(found)
-
-
 def latest_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
-    versions = _snapshots(spark, root)
-    return spark.read.parquet(f"{root}/v={versions[-1]}") if versions else None
+    _, manifest = published(spark, root)
+    return spark.read.parquet(f"{root}/{manifest['folder']}") if manifest else None
 
 
-def write_snapshot(df: DataFrame, root: str) -> int:
-    """Write a new version beside the older ones and return its row count.
+def write_snapshot(df: DataFrame, root: str, enforce: bool = False) -> int:
+    """Publish a new version of a table that is written whole; returns its row count.
 
-    The version being read is never overwritten, and a version counts only once
-    its write is finished, so a lost job leaves the table as it was.
+    With ``enforce`` its columns and types must equal the last version's.
     """
     spark = df.sparkSession
-    versions = _snapshots(spark, root)
+    version, manifest = published(spark, root)
+    if enforce and manifest:
+        problems = schema_diff(T.StructType.fromJson(manifest["schema"]), df.schema)
+        if problems:
+            raise SchemaMismatchError(f"version of {root} refused: {problems}")
+    folder = fresh_folder(version + 1)
     seen = Observation("snapshot")
-    counted = df.observe(seen, F.count(F.lit(1)).alias("n"))
-    counted.write.mode("overwrite").parquet(f"{root}/v={versions[-1] + 1 if versions else 1}")
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(f"{root}/{folder}")
+    publish(spark, root, version + 1, {"folder": folder, "schema": df.schema.jsonValue()})
     return seen.get["n"]

@@ -231,17 +231,17 @@ def test_second_contract(spark):
     letters = dead_letter_rows(check(events(spark, payloads), ARTICLE_RECORD)).collect()
     assert len(letters) == 6
     assert {r["error_type"] for r in letters} == {"ValidationError"}
-    assert all(r["quarantine_id"].startswith("dlq_") and len(r["quarantine_id"]) == 12 for r in letters)
+    assert all(r["quarantine_id"].startswith("dlq_") and len(r["quarantine_id"]) == 36 for r in letters)
 
 
 def test_quarantine_record(spark):
     checked = check(events(spark, [{**GOOD, "views": -1}]), ARTICLE_EVENT)
     first, again = (quarantine_rows(checked, position=("n",)).first() for _ in range(2))
     assert first["quarantine_id"] == again["quarantine_id"]
-    assert first["quarantine_id"].startswith("QLOG-") and len(first["quarantine_id"]) == 13
+    assert first["quarantine_id"].startswith("QLOG-") and len(first["quarantine_id"]) == 37
     assert first["rejection_timestamp"].endswith("Z")
     assert json.loads(first["raw_payload"])["views"] == -1
-    assert len(quarantine_rows(checked, digits=32).first()["quarantine_id"]) == 37
+    assert len(quarantine_rows(checked, digits=8).first()["quarantine_id"]) == 13
 
 
 def test_counts_ride_on_another_action(spark):

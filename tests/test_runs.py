@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
 
 from strata.config import Settings
@@ -14,8 +15,15 @@ from strata.plans.retrieval import hybrid_search
 from strata.session import shared_dir, spread, work_path
 from strata.sources.readers import read_events, stream_lines
 from strata.sources.silver import read_silver
-from strata.sources.writers import read_quarantine, read_valid, send_to_kafka, write_split
-from strata.streaming.contract_stream import stream_contract, stream_silver
+from strata.sources.writers import (
+    SchemaMismatchError,
+    read_quarantine,
+    read_valid,
+    send_to_kafka,
+    write_snapshot,
+    write_split,
+)
+from strata.streaming.contract_stream import quarantined, stream_contract, stream_silver
 from tests.helpers import EVENTS
 
 CATEGORIES = {
@@ -51,8 +59,8 @@ def test_whole_run_on_the_sample(spark, tmp_path):
     assert (summary["total_processed"], summary["valid_count"], summary["quarantine_count"]) == (8, 5, 3)
     assert summary["bronze_count"] == 5
     assert summary["gate"]["passed_checks"] == 5
-    assert keyed(spark.read.parquet(f"{root}/gold/category_metrics")) == CATEGORIES
-    assert keyed(spark.read.parquet(f"{root}/gold/author_metrics")) == AUTHORS
+    assert keyed(medallion.read_gold(spark, root, "category_metrics")) == CATEGORIES
+    assert keyed(medallion.read_gold(spark, root, "author_metrics")) == AUTHORS
     silver = read_silver(spark, f"{root}/silver")
     assert dict(silver.dtypes)["published_timestamp"] == "timestamp"
     assert silver.where(F.col("_source_file").endswith("events.json")).count() == 5
@@ -142,16 +150,18 @@ def test_stream_equals_batch_and_resumes(spark, tmp_path):
     assert read_quarantine(spark, out, ARTICLE_EVENT).where("failed_field = 'unknown'").count() == 1
 
 
-def test_stream_sends_dead_letters_without_a_broker(spark, tmp_path):
-    """Kafka is not there: the rows stay in the landing folder and the stream goes on."""
+def test_a_missing_connector_is_raised(spark, tmp_path):
+    """Kafka is not installed: that is no failed delivery, and the rows stay in the landing folder."""
     folder, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
     write_lines(spark, folder)
     stream = stream_contract(
         stream_lines(spark, folder), ARTICLE_EVENT, out, checkpoint, dead_letters=Settings()
     )
-    stream.awaitTermination()
+    with pytest.raises(StreamingQueryException):
+        stream.awaitTermination()
     assert read_quarantine(spark, out, ARTICLE_EVENT).count() == 3
-    assert send_to_kafka(spark.range(1), "localhost:1", "topic") is False
+    with pytest.raises(AnalysisException):
+        send_to_kafka(spark.range(1), "localhost:1", "topic")
 
 
 def test_stream_fed_silver(spark, tmp_path):
@@ -173,3 +183,79 @@ def test_spread_leaves_many_splits_alone(spark):
     many = spark.range(0, 100, 1, slots * 2)
     assert spread(many) is many
     assert spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == slots
+
+
+def test_array_files_are_split_like_text(spark, tmp_path):
+    elements = [{"id": i, "t": 'a [x], {"q"} \\ é ' * (i % 7), "n": [1, {"z": []}], "e": None} for i in range(900)]
+    elements += [1, "x, [", None, [1, 2], {}]
+    texts = {
+        "indented": json.dumps(elements, indent=2), "compact": json.dumps(elements), "empty": "[\n]\n", "blank": "\n",
+        "object": json.dumps({"a": [1]}, indent=2),
+    }
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for name, text in texts.items():
+            (tmp_path / f"{name}.json").write_text(text)
+            want = json.loads(text) if text.strip() else []
+            want = want if isinstance(want, list) else [want]
+            for size in ("128m", "20k"):
+                spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+                rows = read_events(spark, str(tmp_path / f"{name}.json"), "array").collect()
+                assert sorted(json.dumps(json.loads(r["value"])) for r in rows) == sorted(map(json.dumps, want)), (name, size)
+                assert all(r["_source_file"].endswith(f"{name}.json") for r in rows)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_a_broken_array_is_quarantined(spark, tmp_path):
+    (tmp_path / "broken.json").write_text('[\n {"a": 1},\n {"b": \n')
+    rows = [r["value"] for r in read_events(spark, str(tmp_path / "broken.json"), "array").collect()]
+    assert len(rows) == 2 and json.loads(rows[0]) == {"a": 1}
+    checked = check(spark.createDataFrame([(r,) for r in rows], "value string"), ARTICLE_EVENT)
+    assert checked.where("_errors[0].field = 'unknown'").count() == 1
+
+
+def test_equal_rejects_get_ids_of_their_own(spark, tmp_path):
+    events = spark.createDataFrame([("bad",)] * 500 + [("worse",)] * 3, "value string").repartition(3)
+    for batch in (1, 2):
+        medallion.ingest(events, ARTICLE_EVENT, medallion.Layout(str(tmp_path)), batch)
+    ids = [r["quarantine_id"] for b in (1, 2) for r in read_quarantine(spark, f"{tmp_path}/landing/batch={b}", ARTICLE_EVENT).collect()]
+    assert len(ids) == len(set(ids)) == 1006
+
+
+def test_stream_fed_silver_keeps_its_rejects(spark, tmp_path):
+    folder, silver, staging, checkpoint = (str(tmp_path / n) for n in ("in", "silver", "staging", "checkpoint"))
+    write_lines(spark, folder)
+    stream_silver(stream_lines(spark, folder, max_files=1), ARTICLE_EVENT, silver, staging, checkpoint).awaitTermination()
+    assert quarantined(spark, ARTICLE_EVENT, staging).count() == 3
+
+
+def versions(spark, **changes):
+    good = json.loads(valid_rows(check(sample(spark), ARTICLE_EVENT), ARTICLE_EVENT).toJSON().first())
+    return spark.createDataFrame([(json.dumps({**good, **c}),) for c in changes["rows"]], "value string")
+
+
+def test_the_later_version_in_a_batch_wins(spark, tmp_path):
+    rows = [{"title": "Zeta old", "published_timestamp": "2026-01-01T00:00:00Z"},
+            {"title": "Alpha new", "published_timestamp": "2026-02-01T00:00:00Z"}]
+    medallion.run(versions(spark, rows=rows), str(tmp_path), 1)
+    assert [r["title"] for r in read_silver(spark, f"{tmp_path}/silver").collect()] == ["Alpha new"]
+
+
+def test_a_replay_brings_no_old_row_back(spark, tmp_path):
+    root = str(tmp_path)
+    first, second = versions(spark, rows=[{}]), versions(spark, rows=[{"views": 7}])
+    for events, batch in ((first, 1), (second, 2), (first, 1)):
+        medallion.run(events, root, batch)
+    assert [r["views"] for r in read_silver(spark, f"{root}/silver").collect()] == [7]
+
+
+def test_gold_keeps_its_columns_and_versions(spark, tmp_path):
+    root = str(tmp_path)
+    medallion.run(sample(spark), root, 1)
+    silver = read_silver(spark, f"{root}/silver")
+    with pytest.raises(SchemaMismatchError):
+        write_snapshot(silver.select("article_id"), f"{root}/gold/category_metrics", enforce=True)
+    assert keyed(medallion.read_gold(spark, root, "category_metrics")) == CATEGORIES
+    assert medallion.read_gold(spark, root, "daily_velocity").count() == 5
+    assert medallion.read_gold(spark, root, "category_word_counts").count() == 4

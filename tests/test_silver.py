@@ -3,11 +3,12 @@ from __future__ import annotations
 from datetime import datetime
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession, functions as F
 
 from strata.operators.merge import dedup_latest, standardize, upsert
 from strata.operators.sizing import measured_bytes
 from strata.sources.silver import merge_silver, read_silver
+from strata.sources.versions import ConcurrentWriteError, fresh_folder, publish, published
 from strata.sources.writers import (
     SchemaMismatchError,
     append_batch,
@@ -89,12 +90,44 @@ def test_merge_twice_is_merge_once(spark, tmp_path):
         assert rows(read_silver(spark, root)) == [("a", 1), ("b", 20), ("c", 30)]
 
 
+def folders(root) -> dict:
+    return published(SparkSession.active(), root)[1]["folders"]
+
+
+def test_only_touched_buckets_are_written(spark, tmp_path):
+    root = str(tmp_path / "silver")
+    merge_silver(spark.range(200).selectExpr("concat('k', id) AS k", "1 AS v"), root, "k", buckets=8)
+    before = folders(root)
+    merge_silver(spark.createDataFrame([("k5", 9)], KEYED), root, "k")
+    after = folders(root)
+    assert len(before) == 8 and sum(before[b] != after[b] for b in before) == 1
+    assert read_silver(spark, root).where("v = 9").count() == 1 and read_silver(spark, root).count() == 200
+
+
+def test_of_two_writers_the_second_fails(spark, tmp_path):
+    root = str(tmp_path / "silver")
+    publish(spark, root, 1, {"a": 1})
+    with pytest.raises(ConcurrentWriteError):
+        publish(spark, root, 1, {"a": 2})
+    assert published(spark, root) == (1, {"a": 1})
+
+
+def test_an_older_row_does_not_replace_a_later_one(spark):
+    target = spark.createDataFrame([("a", 2, 20), ("b", 1, 10), (None, 1, 0)], "k string, n int, v int")
+    source = spark.createDataFrame([("a", 1, 99), ("b", 1, 11), ("c", 1, 30), (None, 0, 1)], "k string, n int, v int")
+    for limit in (0, 1 << 20):
+        got = upsert(target, source, "k", limit, ("n",))
+        assert sorted(map(str, map(tuple, got.collect()))) == sorted(
+            map(str, [("a", 2, 20), ("b", 1, 11), (None, 1, 0), ("c", 1, 30), (None, 0, 1)])
+        )
+
+
 def test_unfinished_snapshot_is_not_read(spark, tmp_path):
     root = str(tmp_path / "table")
     assert write_snapshot(spark.createDataFrame([("a", 1)], KEYED), root) == 1
-    spark.createDataFrame([("z", 9)], KEYED).write.option(
-        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false"
-    ).parquet(f"{root}/v=2")
+    spark.createDataFrame([("z", 9)], KEYED).write.parquet(f"{root}/{fresh_folder(2)}")
+    assert rows(latest_snapshot(spark, root)) == [("a", 1)]
+    (tmp_path / "table" / "_versions" / "2.json").write_text('{"folder')  # its writer was lost
     assert rows(latest_snapshot(spark, root)) == [("a", 1)]
     write_snapshot(spark.createDataFrame([("b", 2)], KEYED), root)
     assert rows(latest_snapshot(spark, root)) == [("b", 2)]
