@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, functions as F
 NO_CONTEXT = "No relevant context documents were found in the knowledge base to answer this query."
 OPENING = "Based strictly on the retrieved knowledge base documents:\n\n"
 RESPONSE_HEAD = "### Query Response\n"
+DEFAULTS = {
+    "doc_id": "DOC-UNKNOWN", "chunk_id": "C0", "title": "Untitled Document", "author": "Unknown Author", "text": ""
+}
 CITATIONS_HEAD = "\n\n### Referenced Citations\n"
 
 
@@ -36,19 +39,22 @@ def grounded_answers(reranked: DataFrame, queries: DataFrame) -> DataFrame:
         F.max("fused_count").alias("rrf_fused_count"),
         F.count(F.lit(1)).alias("final_reranked_count"),
     )
+    def named(hit, field: str):
+        return F.coalesce(hit[field].cast("string"), F.lit(DEFAULTS[field]))
+
     excerpts = F.transform(
         "hits",
-        lambda h: F.format_string('Key Excerpt %d: "%s" [%d]', h["citation_num"], h["text"], h["citation_num"]),
+        lambda h: F.format_string('Key Excerpt %d: "%s" [%d]', h["citation_num"], named(h, "text"), h["citation_num"]),
     )
     references = F.transform(
         "hits",
         lambda h: F.format_string(
             "  - [%d] Document '%s' by %s (ID: %s, Chunk: %s)",
             h["citation_num"],
-            h["title"],
-            h["author"],
-            h["doc_id"],
-            h["chunk_id"],
+            named(h, "title"),
+            named(h, "author"),
+            named(h, "doc_id"),
+            named(h, "chunk_id"),
         ),
     )
     answer = F.concat(
@@ -71,8 +77,11 @@ def grounded_answers(reranked: DataFrame, queries: DataFrame) -> DataFrame:
         "rerank_score",
     )
 
-    def picked(fields: tuple[str, ...]):
-        every = F.transform("hits", lambda h: F.struct(*[h[f].alias(f) for f in fields]))
+    def picked(fields: tuple[str, ...], defaults: bool = False):
+        def value(hit, f: str):
+            return named(hit, f) if defaults and f in DEFAULTS else hit[f]
+
+        every = F.transform("hits", lambda h: F.struct(*[value(h, f).alias(f) for f in fields]))
         return F.coalesce(every, F.filter(every, lambda _: F.lit(False)), F.array())
 
     joined = queries.select("query_id", "query").join(lists, "query_id", "left")
@@ -81,7 +90,7 @@ def grounded_answers(reranked: DataFrame, queries: DataFrame) -> DataFrame:
         "query_id",
         "query",
         F.coalesce(answer, F.lit(NO_CONTEXT)).alias("answer"),
-        picked(citation_fields).alias("citations"),
+        picked(citation_fields, defaults=True).alias("citations"),
         picked(chunk_fields).alias("retrieved_chunks"),
         F.when(F.col("hits").isNotNull(), F.struct(*counts)).alias("search_evaluation"),
     )

@@ -111,6 +111,22 @@ def _cut(places: dict[tuple[str, int], tuple[int, int, int]]):
     return rows
 
 
+def as_array(rows: DataFrame) -> DataFrame:
+    """Lines of indented array files from JSON texts in ``value``; each partition is one file."""
+
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = "["
+        for batch in batches:
+            out = []
+            for text in batch.column(0).to_pylist():
+                out += [before, "  " + text]
+                before = ","
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
+        yield pa.RecordBatch.from_arrays([pa.array(["]"] if before == "," else ["[", "]"])], names=["value"])
+
+    return rows.select("value").mapInArrow(lines, "value string")
+
+
 def read_array(spark: SparkSession, path: str) -> DataFrame:
     """(value, _source_file): each element of the array files under ``path``, on one line.
 

@@ -10,7 +10,7 @@ from strata.operators.merge import upsert
 from strata.session import delta_available
 from strata.sources.versions import fresh_folder, publish, published
 
-BUCKETS = 64  # of a new table; a large one wants as many as keep a bucket at some hundred MB
+BUCKETS = 16  # of a new table; a large one wants as many as keep a bucket at some hundred MB
 
 
 def _table(spark: SparkSession, root: str, manifest: dict, buckets: Sequence[str]) -> DataFrame:

@@ -7,10 +7,10 @@ import pytest
 
 import __spark_entry__ as entry
 from check_queries import TABLES, rows_of
-from strata.plans import catalog, oracle
+from strata.plans import cases, catalog, oracle
 from tests.helpers import SAMPLE
 
-QUERIES, ORACLE = catalog.registered(), oracle.oracle_sql()
+QUERIES, ORACLE = catalog.registered(), oracle.oracle_sql() | cases.TWINS
 
 
 @pytest.fixture(scope="module")
