@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from strata.functions.text import check_window, chunk_count, step_pieces, window_at
 
+UNKNOWN_DOC = "DOC-UNKNOWN"
 ORDER = ("doc_id", "chunk_index")  # corpus order, which breaks every tie
 
 
@@ -31,7 +32,7 @@ def chunk_documents(docs: DataFrame, size: int = 500, overlap: int = 50, style:
         return F.coalesce(F.col(column), F.lit(value)).alias(column)
 
     cut = docs.where(F.length(text) > 0).select(
-        F.coalesce(F.col("article_id"), F.lit("DOC-UNKNOWN")).alias("doc_id"),
+        F.coalesce(F.col("article_id"), F.lit(UNKNOWN_DOC)).alias("doc_id"),
         default("title", ""),
         default("author", ""),
         default("category", ""),

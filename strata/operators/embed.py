@@ -2,22 +2,28 @@
 
 from __future__ import annotations
 
-import hashlib
+import sys
+import types
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from strata.functions.text import tokens
+
 Embedder = Callable[[Column], Column]
 
 
 def model_embedder(load: Callable[[], Callable[[list[str]], np.ndarray]]) -> Embedder:
-    """An embedder around a model; ``load`` runs once per Python worker task."""
+    """An embedder around a model; ``load`` runs once per Python worker."""
+    key = uuid.uuid4().hex  # the worker keeps the model under it from task to task
 
     @F.pandas_udf("array<float>")
     def embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encode = load()
+        models = sys.modules.setdefault("_strata_models", types.ModuleType("_strata_models")).__dict__
+        encode = models[key] if key in models else models.setdefault(key, load())
         for texts in batches:
             vectors = np.asarray(encode(texts.fillna("").tolist()), dtype=np.float32)
             yield pd.Series(list(vectors))
@@ -29,31 +35,28 @@ def hashing_embedder(dim: int = 64) -> Embedder:
     """Term counts hashed into ``dim`` buckets, scaled to unit length.
 
     A token's bucket is the first 32 bits of its MD5 modulo ``dim``; a text
-    without tokens gets the zero vector. Needs no model and no fitted state.
+    without tokens gets the zero vector. Needs no model, no fitted state and no
+    Python worker.
     """
 
-    def load() -> Callable[[list[str]], np.ndarray]:
-        buckets: dict[str, int] = {}
+    def embed(text: Column) -> Column:
+        buckets = F.transform(
+            tokens(text), lambda t: F.pmod(F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("bigint"), F.lit(dim))
+        )
+        every = F.sequence(F.lit(0).cast("bigint"), F.lit(dim - 1).cast("bigint"))
 
-        def bucket(token: str) -> int:
-            found = buckets.get(token)
-            if found is None:
-                found = int(hashlib.md5(token.encode()).hexdigest()[:8], 16) % dim
-                if len(buckets) < 1_000_000:  # bounded memory; a miss is only recomputed
-                    buckets[token] = found
-            return found
+        def counts(found: Column) -> Column:
+            return F.transform(every, lambda d: (F.size(found) - F.size(F.array_remove(found, d))).cast("double"))
 
-        def encode(texts: list[str]) -> np.ndarray:
-            words = [text.lower().split() for text in texts]
-            rows = np.repeat(np.arange(len(texts)), [len(w) for w in words])
-            columns = np.fromiter((bucket(t) for w in words for t in w), dtype=np.int64, count=len(rows))
-            counts = np.bincount(rows * dim + columns, minlength=len(texts) * dim).reshape(len(texts), dim)
-            norms = np.sqrt((counts * counts).sum(axis=1, keepdims=True).astype(np.float64))
-            return counts / np.where(norms == 0, 1, norms)
+        def unit(vector: Column) -> Column:
+            norm = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda acc, x: acc + x * x))
+            return F.transform(F.array(norm), lambda n: F.transform(vector, lambda x: F.when(n > 0, x / n).otherwise(0.0)))
 
-        return encode
+        # one-element arrays bind a value, so that it is computed once and not for each element
+        found = F.get(F.transform(F.array(F.coalesce(buckets, F.array().cast("array<bigint>"))), counts), F.lit(0))
+        return F.get(F.get(F.transform(F.array(found), unit), F.lit(0)), F.lit(0)).cast("array<float>")
 
-    return model_embedder(load)
+    return embed
 
 
 def embed_column(df: DataFrame, embedder: Embedder, text: str = "text") -> DataFrame:

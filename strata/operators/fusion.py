@@ -48,14 +48,13 @@ def with_payload(
 ) -> DataFrame:
     """Hits with their query text and chunk columns; a hit without its chunk is dropped.
 
-    ``rows`` bounds the hits (queries times k); only within the byte limit are
-    they broadcast to the chunk scan.
+    ``rows`` bounds the hits (queries times k). Within the byte limit the hits, of
+    fixed width, are broadcast to the chunk scan; the query texts, of any
+    length, are joined to what comes out of it.
     """
-    worded = hits.join(queries.select("query_id", "query"), "query_id")
-    if rows * HIT_BYTES <= broadcast_bytes:
-        worded = F.broadcast(worded)
+    wanted = F.broadcast(hits) if rows * HIT_BYTES <= broadcast_bytes else hits
     payload = chunks.select("chunk_id", "title", "author", "category", "text", "citation_label")
-    return payload.join(worded, "chunk_id")
+    return payload.join(wanted, "chunk_id").join(queries.select("query_id", "query"), "query_id")
 
 
 def _rerank(scored: DataFrame, k: int) -> DataFrame:

@@ -9,12 +9,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from strata.operators.answer import grounded_answers
+from strata.operators.bm25 import term_table
+from strata.operators.chunks import chunk_documents
 from strata.operators.contract import ARTICLE_EVENT, check
 from strata.operators.lineage import LineageLog
 from strata.operators.quality import RECORD_SUITE, SILVER_SUITE, check_rows, summarize
 from strata.plans import medallion
 from strata.plans.catalog import ARTICLES, READING, hybrid, query, questions
-from strata.plans.oracle import ARTICLES as ARTICLES_SQL, CHECKED, HYBRID
+from strata.plans.oracle import ARTICLES as ARTICLES_SQL, CHECKED, CORPUS, HYBRID
+from strata.plans.retrieval import build_index, refresh_index
 from strata.session import work_path
 from strata.sources.articles import articles, as_json, table
 from strata.sources.json_array import as_array
@@ -190,6 +193,31 @@ TWINS["silver_replay"] = f"""WITH {CHECKED}
 SELECT article_id, views + CASE WHEN category = 'de' THEN 7 ELSE 0 END AS views, title FROM judged WHERE first_error IS NULL"""
 
 
+@query("index_refresh")
+def index_refresh(spark, sf_dir):
+    """An index whose French documents changed, whose Spanish ones went and which is then refreshed."""
+    path = work_path(spark, "index")
+    rows = articles(spark, sf_dir, spread_out=True)
+    build_index(chunk_documents(rows), path)
+    changed = rows.where("category = 'fr'").withColumn("content", F.concat(F.lit("renewed text "), "content"))
+    gone = rows.where("category IN ('fr', 'es')").select(F.col("article_id").alias("doc_id"))
+    index = refresh_index(chunk_documents(changed), gone, path)
+    stats = index.stats
+    return term_table(index.frequencies, stats).select(
+        "term", "df", F.round("idf", 9).alias("idf"), F.lit(stats.chunks).cast("long").alias("n_chunks"),
+        F.round(F.lit(stats.avgdl), 9).alias("avgdl"),
+    )
+
+
+_REFRESHED = CORPUS.replace("FROM documents d LEFT JOIN", "FROM kept d LEFT JOIN")
+assert _REFRESHED != CORPUS
+TWINS["index_refresh"] = f"""WITH kept AS (
+  SELECT * REPLACE (CASE WHEN lang = 'fr' THEN 'renewed text ' || text ELSE text END AS text)
+  FROM documents WHERE lang <> 'es'), {_REFRESHED}
+SELECT term, df, round(idf, 9) AS idf, (SELECT n FROM scalars) AS n_chunks, (SELECT round(avgdl, 9) FROM scalars) AS avgdl
+FROM terms"""
+
+
 @query("quality_failing")
 def quality_failing(spark, sf_dir):
     """The gate over lines whose key repeats, is missing or is out of range."""

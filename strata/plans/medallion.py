@@ -5,18 +5,20 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strata.config import Settings
 from strata.operators import gold
-from strata.operators.chunks import chunk_documents
+from strata.operators.chunks import UNKNOWN_DOC, chunk_documents
 from strata.operators.contract import ARTICLE_EVENT, Contract, check
 from strata.operators.embed import Embedder
 from strata.operators.lineage import LineageLog
 from strata.operators.merge import ROW_ORDER, dedup_latest, standardize
 from strata.operators.quality import SILVER_SUITE, Expectation, enforce
-from strata.plans.retrieval import Index, build_index
+from strata.operators.sizing import broadcast_if_small
+from strata.plans.retrieval import Index, build_index, refresh_index
 from strata.sources.silver import merge_silver, read_silver
+from strata.sources.versions import published
 from strata.sources.writers import (
     append_batch,
     bronze_schema,
@@ -80,6 +82,22 @@ GOLD_TABLES = {
 }
 
 
+def load_index(
+    silver: DataFrame, layout: Layout, batch_id: int, settings: Settings, embedder: Embedder | None
+) -> Index:
+    """Index the documents of this batch as silver has them now; those of other batches stay as they are."""
+    key = settings.business_key
+    spark = silver.sparkSession
+    if published(spark, layout.at("index"))[1] is None:
+        everything = chunk_documents(silver, settings.chunk_size, settings.chunk_overlap)
+        return build_index(everything, layout.at("index"), settings, embedder)
+    ids = spark.read.parquet(layout.at("staging", f"batch={batch_id}")).select(key).distinct()
+    changed = silver.join(broadcast_if_small(ids, settings.broadcast_bytes), key, "left_semi")
+    chunks = chunk_documents(changed, settings.chunk_size, settings.chunk_overlap)
+    doc_ids = ids.select(F.coalesce(key, F.lit(UNKNOWN_DOC)).alias("doc_id"))
+    return refresh_index(chunks, doc_ids, layout.at("index"), settings, embedder)
+
+
 def load_gold(silver: DataFrame, layout: Layout) -> None:
     """A new version of each gold table, with the columns of the last one."""
     for name, metrics in GOLD_TABLES.items():
@@ -134,9 +152,8 @@ def run(
         silver = read_silver(spark, layout.at("silver"))
         summary["gate"] = stage("quality_gate", ["silver"], [], lambda: enforce(silver, suite))
         stage("gold", ["silver"], ["gold"], lambda: load_gold(silver, layout))
-        chunks = chunk_documents(silver, settings.chunk_size, settings.chunk_overlap)
         return stage(
-            "index", ["silver"], ["index"], lambda: build_index(chunks, layout.at("index"), settings, embedder)
+            "index", ["silver"], ["index"], lambda: load_index(silver, layout, batch_id, settings, embedder)
         )
 
     index = stage(JOB, ["raw"], ["gold", "index"], stages)

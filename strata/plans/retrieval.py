@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from strata.config import Settings
 from strata.operators.bm25 import (
@@ -13,56 +13,146 @@ from strata.operators.bm25 import (
     bm25_topk,
     corpus_size,
     corpus_stats,
-    document_frequencies,
     with_tokens,
 )
 from strata.operators.dense import dense_topk
 from strata.operators.embed import Embedder, embed_column, hashing_embedder
 from strata.operators.fusion import rerank_keyword, rerank_model, rrf_fuse, with_keyword_score, with_payload
+from strata.operators.sizing import broadcast_if_small
+from strata.sources.versions import fresh_folder, publish, published
+
+
+INDEX_BUCKETS = 16  # of a new index; a large one wants as many as keep a bucket at some hundred MB
 
 
 @dataclass(frozen=True)
 class Index:
-    """A written index: chunks with tokens and vectors, term counts, scalars."""
+    """One version of a written index: chunks with tokens and vectors, term counts, scalars.
+
+    Its files are never overwritten, so an open index stays readable while a later
+    version is written.
+    """
 
     chunks: DataFrame
     frequencies: DataFrame
     stats: Bm25Stats
     embedder: Embedder
+    path: str = ""
+    version: int = 0
+
+
+def _bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int").alias("_bucket")
+
+
+def _part_paths(path: str, parts: dict, table: str) -> list[str]:
+    return [f"{path}/{part['folder']}/{table}/_bucket={b}" for b, part in sorted(parts.items())]
+
+
+def _read_parts(spark: SparkSession, path: str, parts: dict, table: str, schema: T.StructType) -> DataFrame:
+    paths = _part_paths(path, parts, table)
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
+def _publish(
+    rows: DataFrame, path: str, version: int, buckets: int, kept: dict, replaced: list[str], settings: Settings
+) -> None:
+    """Write the rows of some buckets, count their terms, and publish them with the buckets that stay.
+
+    Only vocabulary-sized work is done for the buckets that stay: their term counts
+    are added up anew.
+    """
+    spark = rows.sparkSession
+    folder = fresh_folder(version)
+    stored = rows.withColumn("_bucket", _bucket(buckets)).repartition(buckets, "_bucket")
+    stored.write.partitionBy("_bucket").parquet(f"{path}/{folder}/chunks")
+    schema = T.StructType([*rows.schema.fields, T.StructField("_bucket", T.IntegerType())])
+    written = spark.read.schema(schema).parquet(f"{path}/{folder}/chunks")
+    terms = written.select("_bucket", F.explode(F.array_distinct("tokens")).alias("term"))
+    terms.groupBy("_bucket", "term").agg(F.count(F.lit(1)).alias("df")).write.partitionBy("_bucket").parquet(
+        f"{path}/{folder}/terms"
+    )
+    sizes = written.groupBy("_bucket").agg(*corpus_size()).collect()  # a row a bucket
+    parts = {b: part for b, part in kept.items() if b not in replaced}
+    parts |= {
+        str(r["_bucket"]): {"folder": folder, "chunks": r["chunks"], "tokens": r["tokens"] or 0} for r in sizes
+    }
+    with_terms = {b: part for b, part in parts.items() if part["tokens"]}
+    every = _read_parts(spark, path, with_terms, "terms", T.StructType.fromDDL("term string, df bigint"))
+    every.groupBy("term").agg(F.sum("df").alias("df")).write.parquet(f"{path}/{folder}/vocabulary")
+    size = {"chunks": sum(p["chunks"] for p in parts.values()), "tokens": sum(p["tokens"] for p in parts.values())}
+    stats = corpus_stats(size, spark.read.schema("term string, df bigint").parquet(f"{path}/{folder}/vocabulary"), settings.bm25_epsilon)
+    publish(
+        spark,
+        path,
+        version,
+        {
+            "buckets": buckets,
+            "parts": parts,
+            "vocabulary": f"{folder}/vocabulary",
+            "stats": stats.__dict__,
+            "schema": rows.schema.jsonValue(),
+        },
+    )
 
 
 def build_index(
-    chunks: DataFrame, path: str, settings: Settings = Settings(), embedder: Embedder | None = None
+    chunks: DataFrame, path: str, settings: Settings = Settings(), embedder: Embedder | None = None,
+    buckets: int = INDEX_BUCKETS,
+) -> Index:
+    """Tokenise and embed every chunk once, and publish the tables queries read.
+
+    Chunks lie in buckets by a hash of their document, so that a later batch
+    rewrites only the buckets its documents fall into. Columnar storage lets BM25
+    read only the tokens and dense search only the vectors.
+    """
+    embedder = embedder or hashing_embedder(settings.embedding_dim)
+    spark = chunks.sparkSession
+    version, _ = published(spark, path)
+    _publish(embed_column(with_tokens(chunks), embedder), path, version + 1, buckets, {}, [], settings)
+    return open_index(spark, path, settings, embedder)
+
+
+def refresh_index(
+    chunks: DataFrame, doc_ids: DataFrame, path: str, settings: Settings = Settings(), embedder: Embedder | None = None
 ) -> Index:
-    """Tokenise and embed every chunk once, and write the tables queries read.
+    """Replace all chunks of some documents by the given ones, as a new version.
 
-    The corpus scalars are counted while the chunks are written. Columnar storage lets BM25 read only the tokens and dense search only the
-    vectors; the texts are read for the final candidates alone.
+    ``doc_ids`` (one column, ``doc_id``) names every document that changed or went;
+    ``chunks`` holds the chunks of those that are still there. Only these are
+    tokenised and embedded, and only their buckets are written.
     """
     embedder = embedder or hashing_embedder(settings.embedding_dim)
     spark = chunks.sparkSession
-    seen = Observation("index")
-    rows = embed_column(with_tokens(chunks), embedder).observe(seen, *corpus_size())
-    rows.write.mode("overwrite").parquet(f"{path}/chunks")
-    written = spark.read.parquet(f"{path}/chunks")
-    document_frequencies(written).write.mode("overwrite").parquet(f"{path}/terms")
-    stats = corpus_stats(seen.get, spark.read.parquet(f"{path}/terms"), settings.bm25_epsilon)
-    spark.range(1).select(*[F.lit(v).alias(c) for c, v in stats.__dict__.items()]).coalesce(1).write.mode(
-        "overwrite"
-    ).parquet(f"{path}/stats")
-    return Index(written, spark.read.parquet(f"{path}/terms"), stats, embedder)
+    version, manifest = published(spark, path)
+    if manifest is None:
+        return build_index(chunks, path, settings, embedder)
+    touched = sorted(str(r["_bucket"]) for r in doc_ids.select(_bucket(manifest["buckets"])).distinct().collect())
+    if not touched:
+        return open_index(spark, path, settings, embedder)
+    schema = T.StructType.fromJson(manifest["schema"])
+    there = {b: part for b, part in manifest["parts"].items() if b in touched}
+    changed = broadcast_if_small(doc_ids.select("doc_id").distinct(), settings.broadcast_bytes)
+    stay = _read_parts(spark, path, there, "chunks", schema).join(changed, "doc_id", "left_anti").select(*schema.names)
+    rows = stay.unionByName(embed_column(with_tokens(chunks), embedder).select(*schema.names))
+    _publish(rows, path, version + 1, manifest["buckets"], manifest["parts"], touched, settings)
+    return open_index(spark, path, settings, embedder)
 
 
 def open_index(
     spark: SparkSession, path: str, settings: Settings = Settings(), embedder: Embedder | None = None
 ) -> Index:
-    """A written index; its embedder must be the one it was built with."""
-    stats = Bm25Stats(**spark.read.parquet(f"{path}/stats").first().asDict())
+    """The latest version of a written index; its embedder must be the one it was built with."""
+    version, manifest = published(spark, path)
+    if manifest is None:
+        raise FileNotFoundError(f"no index was published under {path}")
     return Index(
-        spark.read.parquet(f"{path}/chunks"),
-        spark.read.parquet(f"{path}/terms"),
-        stats,
+        _read_parts(spark, path, manifest["parts"], "chunks", T.StructType.fromJson(manifest["schema"])),
+        spark.read.schema("term string, df bigint").parquet(f"{path}/{manifest['vocabulary']}"),
+        Bm25Stats(**manifest["stats"]),
         embedder or hashing_embedder(settings.embedding_dim),
+        path,
+        version,
     )
 
 

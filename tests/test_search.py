@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,9 +13,18 @@ from strata.operators.answer import NO_CONTEXT, grounded_answers
 from strata.operators.bm25 import ContainmentScorer, bm25_topk, corpus_size, corpus_stats, document_frequencies, keyword_topk, with_tokens
 from strata.operators.dense import dense_topk, first_k
 from strata.operators.embed import embed_column, hashing_embedder, model_embedder
-from strata.operators.fusion import rerank_keyword, rerank_model, rrf_fuse
-from strata.operators.topk import best_rows
-from strata.plans.retrieval import build_index, compare_methods, hybrid_search, open_index, retrieval_counts
+from strata.operators.chunks import ORDER
+from strata.operators.fusion import rerank_keyword, rerank_model, rrf_fuse, with_payload
+from strata.operators.topk import BestHits, best_rows
+from strata.plans.retrieval import (
+    build_index,
+    compare_methods,
+    hybrid_search,
+    open_index,
+    refresh_index,
+    retrieval_counts,
+)
+from strata.sources.versions import published
 from strata.config import Settings
 from tests import helpers
 from tests.helpers import CHUNK_SCHEMA, chunk_rows
@@ -275,3 +285,52 @@ def test_compare_methods(spark, index):
     assert set(rows) == {"dense", "bm25", "fused", "reranked"}
     assert rows["reranked"]["mrr"] == 1.0 and rows["reranked"]["shared_with_reranked"] == 6
     assert all(r["hits"] == 10 and r["queries"] == 2 for r in rows.values())
+
+
+def test_a_task_leaves_k_rows_a_query():
+    """However many queries a block holds: k x queries rows leave, and they are the best."""
+    rng = np.random.default_rng(7)
+    for n_queries in (10, 50_000, 1_000_000):
+        k, best, seen = 2, BestHits(pa.array(np.arange(n_queries)), 2, ["chunk_id", *ORDER]), []
+        for part in range(3):
+            scores = rng.integers(0, 5, size=(4, n_queries)).astype(float)
+            ids = [f"D{part}_{i}" for i in range(4)]
+            best.add(pa.table({"chunk_id": ids, "doc_id": ids, "chunk_index": [0] * 4}), scores)
+            seen.append(scores)
+        batches = list(best.batches())
+        assert sum(b.num_rows for b in batches) == k * n_queries
+        if n_queries == 10:
+            every = np.concatenate(seen)
+            names = [f"D{p}_{i}" for p in range(3) for i in range(4)]
+            got = pa.Table.from_batches(batches).to_pandas().groupby("query_id")["chunk_id"].apply(list)
+            for q in range(n_queries):
+                want = sorted(range(12), key=lambda i: (-every[i, q], names[i]))[:k]
+                assert sorted(got[q]) == sorted(names[i] for i in want)
+
+
+def test_query_texts_are_not_broadcast(spark, index):
+    queries = spark.createDataFrame([(i, "merge " * 20_000) for i in range(40)], "query_id int, query string")
+    hits_of = queries.select("query_id", F.lit("A_C0").alias("chunk_id"), F.lit(1).alias("rank"))
+    plan = with_payload(hits_of, queries, index.chunks, 40)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert len(joins) == 2 and "strategy" not in joins[0] and "strategy=broadcast" in joins[1]  # the texts' join is the outer one
+
+
+def test_refresh_touches_only_its_buckets(spark, tmp_path):
+    path = str(tmp_path / "index")
+    texts = {f"D{i}_C0": f"words number {i} of this text" for i in range(40)}
+    first = build_index(corpus(spark, texts), path, buckets=8)
+    parts = published(spark, path)[1]["parts"]
+    new = {"D3_C0": "quite other words", "D3_C1": "and a second chunk"}
+    ids = spark.createDataFrame([("D3",), ("D7",)], "doc_id string")
+    index = refresh_index(corpus(spark, new), ids, path)
+    after = published(spark, path)[1]["parts"]
+    moved = [b for b in parts if parts[b]["folder"] != after.get(b, {}).get("folder")]
+    assert 1 <= len(moved) <= 2 and index.version == first.version + 1
+    want = {c: t for c, t in texts.items() if c not in ("D3_C0", "D7_C0")} | new
+    assert {r["chunk_id"]: r["text"] for r in index.chunks.collect()} == want
+    assert first.chunks.count() == 40  # the open version stays readable
+    rebuilt = build_index(corpus(spark, want), str(tmp_path / "again"))
+    assert index.stats.chunks == rebuilt.stats.chunks
+    assert index.stats.mean_idf == pytest.approx(rebuilt.stats.mean_idf)
+    assert sorted(map(tuple, index.frequencies.collect())) == sorted(map(tuple, rebuilt.frequencies.collect()))
