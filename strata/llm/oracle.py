@@ -177,13 +177,15 @@ WITH docs AS MATERIALIZED (
     SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM twice, (SELECT unnest([0, 1, 2]) AS k) GROUP BY doc_id
 ), lines AS MATERIALIZED (
     SELECT doc_id, line, len(regexp_extract_all(line, {_quoted(quality.WORDS)})) AS n,
-           length(line) - length(regexp_replace(line, {_quoted(quality.MARKS)}, '', 'g')) AS marks
+           length(line) - length(regexp_replace(line, {_quoted(quality.MARKS)}, '', 'g')) AS marks,
+           length(line) - length(regexp_replace(line, {_quoted(quality.BARS)}, '', 'g')) AS bars
     FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM docs)
     WHERE regexp_matches(line, {_quoted(quality.WORDS)})
 ), judged AS (
     SELECT *, marks > length(line) * {_Q.most_marks}
         OR (n >= {_Q.least_words} AND NOT regexp_matches(line, {_quoted(quality.END_MARK)}) AND NOT regexp_matches(line, {_quoted(quality.HEADING)}))
-        OR (n <= {_Q.menu_words} AND (regexp_matches(line, {_quoted(quality.NAVIGATION)}) OR regexp_matches(line, {_quoted(quality.BARS)})))
+        OR (n <= {_Q.menu_words} AND regexp_matches(line, {_quoted(quality.NAVIGATION)}))
+        OR (bars >= 2 AND bars * {_Q.words_a_bar} >= n)
         OR regexp_matches(line, {_quoted(quality.BOILERPLATE)}) AS fails
     FROM lines
 ), by_doc AS (

@@ -38,7 +38,7 @@ MENU = (
     "|contact us|about us|read more|click here|search|share|tweet|print"
 )
 NAVIGATION = f"(?i)^[^a-z]*(({MENU})([^a-z]+|$))+$"
-BARS = "[|»›>][^|»›>]*[|»›>]"
+BARS = "[|»›>]"
 BOILERPLATE = (
     "(?i)all rights reserved|cookie policy|we use cookies|privacy policy|terms of (use|service)|enable javascript"
     "|subscribe to our newsletter|powered by wordpress|lorem ipsum"
@@ -52,7 +52,8 @@ class QualitySettings:
     window: int = 3
     least_words: int = 5  # of a line that must have an end mark
     most_marks: float = 0.15
-    menu_words: int = 12  # at most, of a navigation line
+    menu_words: int = 12  # at most, of a line of menu words
+    words_a_bar: int = 6  # at most, in a line of parts held apart by bars
     most_lost: float = 0.4
 
 
@@ -61,7 +62,8 @@ def line_fails(line: Column, n_words: Column, s: QualitySettings = QualitySettin
     marks = F.length(line) - F.length(F.regexp_replace(line, MARKS, ""))
     unended = (n_words >= s.least_words) & ~line.rlike(END_MARK) & ~line.rlike(HEADING)
     marked = marks > F.length(line) * s.most_marks
-    menu = (n_words <= s.menu_words) & (line.rlike(NAVIGATION) | line.rlike(BARS))
+    bars = F.length(line) - F.length(F.regexp_replace(line, BARS, ""))
+    menu = ((n_words <= s.menu_words) & line.rlike(NAVIGATION)) | ((bars >= 2) & (bars * s.words_a_bar >= n_words))
     return (n_words > 0) & (marked | unended | menu | line.rlike(BOILERPLATE))
 
 
