@@ -43,18 +43,32 @@ def rrf_fuse(dense: DataFrame, lexical: DataFrame, rrf_k: int = 60, k: int = 5)
     ).where(F.col("rank") <= k)
 
 
+def bucket_of(buckets: int) -> Column:
+    """The bucket of a chunk, by its document."""
+    return F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int")
+
+
 def with_payload(
-    hits: DataFrame, queries: DataFrame, chunks: DataFrame, rows: int, broadcast_bytes: int = 64 << 20
+    hits: DataFrame,
+    queries: DataFrame,
+    chunks: DataFrame,
+    rows: int,
+    broadcast_bytes: int = 64 << 20,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Hits with their query text and chunk columns; a hit without its chunk is dropped.
 
     ``rows`` bounds the hits (queries times k). Within the byte limit the hits, of
     fixed width, are broadcast to the chunk scan; the query texts, of any
-    length, are joined to what comes out of it.
+    length, are joined to what comes out of it. Where the chunks lie in ``buckets``
+    (partition column ``_bucket``), the scan skips those without a hit.
     """
-    wanted = F.broadcast(hits) if rows * HIT_BYTES <= broadcast_bytes else hits
-    payload = chunks.select("chunk_id", "title", "author", "category", "text", "citation_label")
-    return payload.join(wanted, "chunk_id").join(queries.select("query_id", "query"), "query_id")
+    keys = ["chunk_id"] if buckets is None else ["_bucket", "chunk_id"]
+    wanted = hits if buckets is None else hits.withColumn("_bucket", bucket_of(buckets))
+    wanted = F.broadcast(wanted) if rows * HIT_BYTES <= broadcast_bytes else wanted
+    payload = chunks.select(*keys, "title", "author", "category", "text", "citation_label")
+    found = payload.join(wanted, keys).select(*[c for c in payload.columns if c != "_bucket"], *[c for c in hits.columns if c != "chunk_id"])
+    return found.join(queries.select("query_id", "query"), "query_id")
 
 
 def _rerank(scored: DataFrame, k: int) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
@@ -17,7 +18,7 @@ from strata.operators.bm25 import (
 )
 from strata.operators.dense import dense_topk
 from strata.operators.embed import Embedder, embed_column, hashing_embedder
-from strata.operators.fusion import rerank_keyword, rerank_model, rrf_fuse, with_keyword_score, with_payload
+from strata.operators.fusion import bucket_of, rerank_keyword, rerank_model, rrf_fuse, with_keyword_score, with_payload
 from strata.operators.sizing import broadcast_if_small
 from strata.sources.versions import fresh_folder, publish, published
 
@@ -39,19 +40,22 @@ class Index:
     embedder: Embedder
     path: str = ""
     version: int = 0
+    buckets: int | None = None
 
 
 def _bucket(buckets: int) -> Column:
-    return F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int").alias("_bucket")
-
-
-def _part_paths(path: str, parts: dict, table: str) -> list[str]:
-    return [f"{path}/{part['folder']}/{table}/_bucket={b}" for b, part in sorted(parts.items())]
+    return bucket_of(buckets).alias("_bucket")
 
 
 def _read_parts(spark: SparkSession, path: str, parts: dict, table: str, schema: T.StructType) -> DataFrame:
-    paths = _part_paths(path, parts, table)
-    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+    """The rows of some buckets, with the bucket as a partition column that joins can prune by."""
+    whole = T.StructType([*schema.fields, T.StructField("_bucket", T.IntegerType())])
+    by_folder: dict[str, list[str]] = {}
+    for b, part in sorted(parts.items()):
+        root = f"{path}/{part['folder']}/{table}"
+        by_folder.setdefault(root, []).append(f"{root}/_bucket={b}")
+    reads = [spark.read.schema(whole).option("basePath", root).parquet(*paths) for root, paths in by_folder.items()]
+    return reduce(DataFrame.unionByName, reads) if reads else spark.createDataFrame([], whole)
 
 
 def _publish(
@@ -153,6 +157,7 @@ def open_index(
         embedder or hashing_embedder(settings.embedding_dim),
         path,
         version,
+        manifest["buckets"],
     )
 
 
@@ -181,7 +186,7 @@ def fused_candidates(index: Index, queries: DataFrame, settings: Settings = Sett
     fused = rrf_fuse(dense, lexical, settings.rrf_k, settings.fused_k)
     counted = fused.withColumn("fused_count", F.count(F.lit(1)).over(Window.partitionBy("query_id")))
     bound = queries.count() * settings.fused_k
-    return with_payload(counted, queries, index.chunks, bound, settings.broadcast_bytes)
+    return with_payload(counted, queries, index.chunks, bound, settings.broadcast_bytes, index.buckets)
 
 
 def hybrid_search(

@@ -67,4 +67,4 @@ def publish(spark: SparkSession, root: str, version: int, manifest: dict) -> Non
 
 def fresh_folder(version: int) -> str:
     """A folder name that no other writer uses."""
-    return f"data/v={version}-{uuid.uuid4().hex[:12]}"
+    return f"data/{version:06d}-{uuid.uuid4().hex[:12]}"

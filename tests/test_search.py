@@ -334,3 +334,17 @@ def test_refresh_touches_only_its_buckets(spark, tmp_path):
     assert index.stats.chunks == rebuilt.stats.chunks
     assert index.stats.mean_idf == pytest.approx(rebuilt.stats.mean_idf)
     assert sorted(map(tuple, index.frequencies.collect())) == sorted(map(tuple, rebuilt.frequencies.collect()))
+
+
+def test_the_payload_scan_skips_buckets(spark, tmp_path):
+    texts = {f"D{i}_C0": f"words number {i} of this text" for i in range(60)}
+    path = str(tmp_path / "index")
+    build_index(corpus(spark, texts), path, buckets=8)
+    index = refresh_index(corpus(spark, {"D5_C0": "words anew"}), spark.createDataFrame([("D5",)], "doc_id string"), path)
+    queries = asked(spark, {1: "number 7"})
+    found = hybrid_search(index, queries)
+    assert found.count() == 3
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line and "citation_label" in line]
+    assert len(scans) >= 2 and all("dynamicpruning" in line for line in scans)
+    assert "_bucket" not in found.columns
