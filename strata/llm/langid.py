@@ -44,7 +44,7 @@ class LangSettings:
     sample_bytes: int = 24 << 20  # for all languages together
     max_langs: int = 100  # the most frequent ones
     reject_share: float = 0.001
-    highest_bar: float = 0.5  # the rejection bar is never above this
+    highest_bar: float = 0.4  # the rejection bar is never above this
     seed: int = 11
 
 
