@@ -30,13 +30,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from strata.llm.common import PREFIX, worker_cache
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-_WORDS = re.compile(" *[^ \n]+| +|\n")
 
 
 @dataclass(frozen=True)
@@ -46,7 +46,7 @@ class PieceSettings:
     byte_weight: float = -12.0  # of each byte piece
     seed: int = 1
     longest: int = 1024
-    chars: int = 4_000_000  # sampled together
+    chars: int = 3_000_000  # sampled together
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -92,15 +92,38 @@ class Vocabulary:
                     table[code] = i
                 else:
                     table.setdefault(code, -1)
-        self.prefixes = np.array(sorted(table), dtype=np.uint64)
-        self.ids = np.array([table[int(k)] for k in self.prefixes], dtype=np.int64)
+        # An open hash table: key, and the id or -1; 0 is a free place, and the table ends in free places.
+        self.bits = max(12, (4 * len(table)).bit_length())
+        self.keys = np.zeros((1 << self.bits) + 64, dtype=np.uint64)
+        self.ids = np.full(len(self.keys), -2, dtype=np.int32)
+        for key, i in table.items():
+            at = int(self.place(np.array([key], dtype=np.uint64))[0])
+            while self.keys[at]:
+                at += 1
+            self.keys[at], self.ids[at] = key, i
+
+    def place(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The id of each key, -1 for a mere prefix of a piece, -2 if it is none."""
+        at = self.place(keys)
+        there = self.keys[at]
+        out = self.ids[at]
+        left = np.flatnonzero((there != keys) & (there != 0))
+        while len(left):
+            at[left] += 1
+            there = self.keys[at[left]]
+            out[left] = self.ids[at[left]]
+            left = left[(there != keys[left]) & (there != 0)]
+        return out
 
 
 class Lattices:
     """The lattices of several words, filtered forward and ready to be sampled.
 
     Nodes are the places before, between and after a word's characters; the edges into
-    a node lie side by side, and ``cumulative`` rises by one over each node's edges.
+    a node lie side by side from ``into``, and ``cumulative`` rises to 1 over them.
     """
 
     def __init__(self, words: list[str], v: Vocabulary, s: PieceSettings):
@@ -120,34 +143,36 @@ class Lattices:
         while len(at):
             n += 1
             h = h * _STEP + codes[at + n - 1] + np.uint64(1)
-            place = np.minimum(np.searchsorted(v.prefixes, h), len(v.prefixes) - 1)
-            known = v.prefixes[place] == h
-            found = known & (v.ids[place] >= 0)
+            ids = v.find(h)
+            found = np.flatnonzero(ids >= 0)
             starts.append(at[found])
-            lengths.append(np.full(found.sum(), n))
-            pieces.append(v.ids[place[found]])
+            lengths.append(np.full(len(found), n))
+            pieces.append(ids[found].astype(np.int64))
             if n == 1:
                 alone[at[found]] = True
-            go_on = known & (room[at] > n)
+            go_on = np.flatnonzero((ids > -2) & (room[at] > n))
             at, h = at[go_on], h[go_on]
         rest = np.flatnonzero(~alone)
         starts.append(rest)
         lengths.append(np.ones(len(rest), dtype=np.int64))
         pieces.append(-1 - codes[rest].astype(np.int64))  # a character in bytes
-        char, length, piece = np.concatenate(starts), np.concatenate(lengths), np.concatenate(pieces)
-        value = np.maximum(-1 - piece, 0)  # the character's code point
+        # Long pieces first: they are the likelier ones, so sampling finds its edge sooner.
+        char, length, piece = (np.concatenate(x[::-1]) for x in (starts, lengths, pieces))
+        weight = v.weights[np.maximum(piece, 0)]
+        spelled = np.flatnonzero(piece < 0)
+        value = -1 - piece[spelled]
         n_bytes = 1 + (value > 0x7F) + (value > 0x7FF) + (value > 0xFFFF)
-        weight = np.where(piece >= 0, v.weights[np.maximum(piece, 0)], n_bytes * s.byte_weight * s.sharpness)
+        weight[spelled] = n_bytes * (s.byte_weight * s.sharpness)
         start = char + word[char]
         end_local = local[char] + length
         order = np.argsort(end_local * n_nodes + start + length, kind="stable")
-        self.start, self.piece, weight = start[order], piece[order], weight[order]
-        end, end_local = (start + length)[order], end_local[order]
+        end, end_local, weight = (start + length)[order], end_local[order], weight[order]
+        self.start, self.piece = start[order].astype(np.int32), piece[order].astype(np.int32)
         groups = np.concatenate([[0], np.flatnonzero(np.diff(end)) + 1]) if len(end) else np.empty(0, dtype=np.int64)
         counts = np.diff(np.append(groups, len(end)))
         nodes = end[groups]
-        self.rank = np.full(n_nodes, -1, dtype=np.int64)
-        self.rank[nodes] = np.arange(len(nodes))
+        self.into = np.zeros(n_nodes, dtype=np.int64)
+        self.into[nodes] = groups
         total = np.zeros(n_nodes)
         stops = np.append(np.flatnonzero(np.diff(end_local[groups])) + 1, len(groups)) if len(groups) else []
         done = 0
@@ -158,12 +183,12 @@ class Lattices:
             top = np.maximum.reduceat(reach, cuts)
             total[nodes[done:stop]] = top + np.log(np.add.reduceat(np.exp(reach - np.repeat(top, many)), cuts))
             done = stop
-        share = np.exp(total[self.start] + weight - total[end])
+        weight += total[self.start]
+        weight -= total[end]
+        share = np.exp(weight, out=weight)
         summed = np.cumsum(share)
-        inside = summed - np.repeat(summed[groups] - share[groups], counts)
-        rank = np.repeat(np.arange(len(groups)), counts).astype(np.float64)
-        self.cumulative = rank + np.clip(inside, 0, 1)
-        self.cumulative[groups + counts - 1] = np.arange(len(groups)) + 1.0
+        self.cumulative = (summed - np.repeat(summed[groups] - share[groups], counts)).astype(np.float32)
+        self.cumulative[groups + counts - 1] = 2.0  # the last edge takes what rounding leaves
 
     def sample(self, words: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Sampled pieces of the words side by side, and their numbers; ``keys`` seed each word's draws."""
@@ -172,7 +197,12 @@ class Lattices:
         step = 0
         while len(active):
             u = _mixed(keys[active] + np.array([step], dtype=np.uint64) * _STEP) >> np.uint64(36)
-            at = np.searchsorted(self.cumulative, self.rank[node] + u / 2.0**28, side="right")
+            u = (u / 2.0**28).astype(np.float32)
+            at = self.into[node]
+            left = np.flatnonzero(self.cumulative[at] <= u)
+            while len(left):
+                at[left] += 1
+                left = left[self.cumulative[at[left]] <= u[left]]
             owners.append(active)
             drawn.append(self.piece[at])
             node = self.start[at]
@@ -191,10 +221,7 @@ class Lattices:
 
 def split_words(text: str, longest: int) -> list[str]:
     """Words with their blanks, after the blank that encoding begins with."""
-    words = _WORDS.findall(" " + text)
-    if max(map(len, words)) <= longest:
-        return words
-    return [w[i : i + longest] for w in words for i in range(0, len(w), longest)]
+    return re.findall(f" {{0,{longest}}}[^ \n]{{1,{longest}}}| {{1,{longest}}}|\n", " " + text)
 
 
 def _bytes_of(pieces: np.ndarray, v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
@@ -213,14 +240,22 @@ def _bytes_of(pieces: np.ndarray, v: Vocabulary) -> tuple[np.ndarray, np.ndarray
     return out, n
 
 
+class _Numbers(dict):
+    """Numbers words in the order they come."""
+
+    def __missing__(self, word: str) -> int:
+        value = self[word] = len(self)
+        return value
+
+
 def sample_texts(texts: list[str], keys: np.ndarray, v: Vocabulary, s: PieceSettings) -> tuple[np.ndarray, np.ndarray]:
     """Ids of the texts side by side, and how many each has."""
-    numbers: dict[str, int] = {}
+    numbers = _Numbers()
     of, per_text = [], []
     for text in texts:
         words = split_words(text, s.longest) if text else []
         per_text.append(len(words))
-        of += [numbers.setdefault(w, len(numbers)) for w in words]
+        of += map(numbers.__getitem__, words)
     counts = np.zeros(len(texts), dtype=np.int64)
     if not of:
         return np.empty(0, dtype=np.int32), counts
@@ -239,64 +274,89 @@ def _vocabulary(s: PieceSettings) -> Vocabulary:
     return worker_cache(("pieces", s.model, s.sharpness), lambda: Vocabulary(s))
 
 
+def _sampled(keys: pa.Array, texts: pa.Array, s: PieceSettings) -> pa.Array:
+    """Lists of sampled ids, a few million characters at a time."""
+    v = _vocabulary(s)
+    values = texts.to_pylist()
+    seeds = np.array(
+        [
+            (k if k is not None else xxhash.xxh3_64_intdigest((t or "").encode("utf-8", "replace"))) % 2**64
+            for k, t in zip(keys.to_pylist(), values, strict=True)
+        ],
+        dtype=np.uint64,
+    )
+    found, counts, start, size = [], [], 0, 0
+    for i, text in enumerate(values):
+        size += len(text or "")
+        if size >= s.chars or i + 1 == len(values):
+            ids, n = sample_texts([t or "" for t in values[start : i + 1]], seeds[start : i + 1], v, s)
+            found.append(ids)
+            counts.append(n)
+            start, size = i + 1, 0
+    offsets = np.concatenate([[0], np.cumsum(np.concatenate(counts))]) if counts else np.zeros(1)
+    flat = pa.array(np.concatenate(found) if found else np.empty(0, dtype=np.int32), pa.int32())
+    missing = pa.array([t is None for t in values], pa.bool_())
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat, mask=missing if len(values) else None)
+
+
+def _decoded(pieces: pa.Array, s: PieceSettings) -> pa.Array:
+    """Texts of lists of ids."""
+    v = _vocabulary(s)
+    out = []
+    for ids in pieces:
+        if not ids.is_valid:
+            out.append(None)
+            continue
+        ids = ids.values.to_numpy(zero_copy_only=False)
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(v.bytes)):
+            ids = ids[(ids >= 0) & (ids < len(v.bytes))]
+        out.append(b"".join(map(v.bytes.__getitem__, ids.tolist())).decode("utf-8", "replace")[1:])
+    return pa.array(out, pa.string())
+
+
+def _key(docs: DataFrame, id_col: str) -> Column:
+    text_key = isinstance(docs.schema[id_col].dataType, T.StringType)
+    return F.xxhash64(docs[id_col]) if text_key else docs[id_col].cast("long")
+
+
 def encode(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", out_col: str = "pieces",
     settings: PieceSettings = PieceSettings(),
 ) -> DataFrame:
     """``docs`` with a column of sampled piece ids."""
-    s = settings
-    id_type = docs.schema[id_col].dataType
-    key = docs[id_col].cast("long") if not isinstance(id_type, T.StringType) else F.xxhash64(docs[id_col])
 
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def sample(keys: pa.Array, texts: pa.Array) -> pa.Array:
-        v = _vocabulary(s)
-        values = texts.to_pylist()
-        seeds = np.array(
-            [
-                (k if k is not None else xxhash.xxh3_64_intdigest((t or "").encode("utf-8", "replace"))) % 2**64
-                for k, t in zip(keys.to_pylist(), values, strict=True)
-            ],
-            dtype=np.uint64,
-        )
-        found, counts, start, size = [], [], 0, 0
-        for i, text in enumerate(values):
-            size += len(text or "")
-            if size >= s.chars or i + 1 == len(values):
-                ids, n = sample_texts([t or "" for t in values[start : i + 1]], seeds[start : i + 1], v, s)
-                found.append(ids)
-                counts.append(n)
-                start, size = i + 1, 0
-        offsets = np.concatenate([[0], np.cumsum(np.concatenate(counts))]) if counts else np.zeros(1)
-        flat = pa.array(np.concatenate(found) if found else np.empty(0, dtype=np.int32), pa.int32())
-        missing = pa.array([t is None for t in values], pa.bool_())
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat, mask=missing if len(values) else None)
-
-    return docs.withColumn(out_col, sample(key, docs[text_col]))
+        return _sampled(keys, texts, settings)
+
+    return docs.withColumn(out_col, sample(_key(docs, id_col), docs[text_col]))
 
 
 def decode(pieces: Column, settings: PieceSettings = PieceSettings()) -> Column:
     """The text of a column of piece ids; ids outside the vocabulary and control pieces are left out."""
-    s = settings
 
     @F.arrow_udf(T.StringType())
     def join(pieces: pa.Array) -> pa.Array:
-        v = _vocabulary(s)
-        out = []
-        for ids in pieces:
-            ids = ids.as_py() if not ids.is_valid else ids.values.to_numpy(zero_copy_only=False)
-            if ids is None:
-                out.append(None)
-                continue
-            raw = b"".join([v.bytes[i] for i in ids.tolist() if 0 <= i < len(v.bytes)])
-            out.append(raw.decode("utf-8", "replace")[1:])
-        return pa.array(out, pa.string())
+        return _decoded(pieces, settings)
 
     return join(pieces)
 
 
-def sampled_with_check(docs: DataFrame, id_col: str, text_col: str, settings: PieceSettings = PieceSettings()) -> DataFrame:
-    """``docs`` with ``pieces`` and ``lossless``: whether decoding them gives the text again."""
-    coded = encode(docs, id_col, text_col, f"{PREFIX}pieces", settings)
-    again = decode(F.col(f"{PREFIX}pieces"), settings)
-    return coded.withColumn("lossless", again.eqNullSafe(F.col(text_col))).withColumnRenamed(f"{PREFIX}pieces", "pieces")
+def sampled_with_check(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: PieceSettings = PieceSettings()
+) -> DataFrame:
+    """``docs`` with ``pieces`` and ``lossless``: whether decoding them gave the text again.
+
+    One function does both: a decode upon an encode would sample each text twice.
+    """
+
+    @F.arrow_udf(T.StructType().add("pieces", T.ArrayType(T.IntegerType())).add("lossless", T.BooleanType()))
+    def both(keys: pa.Array, texts: pa.Array) -> pa.Array:
+        coded = _sampled(keys, texts, settings)
+        again = pc.equal(_decoded(coded, settings), texts.cast(pa.string()))
+        same = pc.if_else(pc.is_null(again), pc.and_(pc.is_null(texts), pc.is_null(coded)), again)
+        return pa.StructArray.from_arrays([coded, same], names=["pieces", "lossless"])
+
+    found = docs.withColumn(f"{PREFIX}found", both(_key(docs, id_col), docs[text_col]))
+    found = found.withColumn("pieces", F.col(f"{PREFIX}found.pieces")).withColumn("lossless", F.col(f"{PREFIX}found.lossless"))
+    return found.drop(f"{PREFIX}found")
