@@ -25,7 +25,7 @@ RUNTIME_CONF = {
     "spark.sql.variant.allowDuplicateKeys": "true",  # the last duplicate key wins
 }
 
-_local_root: str | None = None
+_local_root: tempfile.TemporaryDirectory | None = None
 
 
 def delta_available() -> bool:
@@ -61,7 +61,8 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only a local-mode session without that setting gets a temporary folder.
+    Only a local-mode session without that setting gets a temporary folder, which
+    goes when the process ends.
     """
     global _local_root
     named = spark.conf.get("spark.checkpoint.dir", None)
@@ -70,8 +71,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if _local_root is None:
-        _local_root = tempfile.mkdtemp(prefix="strata-")
-    return _local_root
+        _local_root = tempfile.TemporaryDirectory(prefix="strata-", ignore_cleanup_errors=True)
+    return _local_root.name
 
 
 def work_path(spark: SparkSession, name: str) -> str:
