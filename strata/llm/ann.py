@@ -10,7 +10,9 @@
    than ``k`` rows.
 4. Queries meet the rows of their parts in groups of bounded size (a part is split into
    blocks by a hash of the id, queries too), where exact inner products in double
-   precision rank them; each group leaves ``k`` rows a query at most.
+   precision rank them. The most probable part of a query is searched first; its k-th
+   score is a bar, and of the other parts only rows that reach the bar leave their
+   group, ``k`` a query at most. What is merged so hardly grows with the parts searched.
 
 A part that holds a third of all rows, such as one vector many times, is more blocks,
 not a larger task. The classifier is fitted on the sample alone; every row is indexed.
@@ -38,10 +40,10 @@ from strata.llm.common import long_id, staged
 class AnnSettings:
     k: int = 20
     sample_rows: int = 6000  # vectors the graph and the network see
-    neighbours: int = 12  # in the graph
+    neighbours: int = 40  # in the graph
     part_rows: int = 2048  # rows aimed at in a part
     most_parts: int = 256
-    mass: float = 0.97
+    mass: float = 0.93  # about the recall to expect
     least_probes: int = 3
     block_rows: int = 8192  # rows, and queries, in a group
     hidden: int = 128
@@ -231,7 +233,7 @@ HITS = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("vec
 
 
 def _best(k: int):
-    """The ``k`` best rows of a group for each of its queries, by exact inner products."""
+    """The ``k`` best rows of a group for each of its queries, by exact inner products, that reach the query's bar."""
 
     def best(rows: pa.Table, queries: pa.Table) -> pa.Table:
         empty = pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
@@ -239,6 +241,7 @@ def _best(k: int):
             return empty
         ids, x = rows.column("vec_id").to_numpy(), matrix(rows.column("vector"))
         query_ids, q = queries.column("query_id").to_numpy(), matrix(queries.column("query"))
+        least = queries.column("bar").to_numpy()
         slack = 1e-12 * np.linalg.norm(x, axis=1).max()
         found = []
         for start in range(0, len(q), 256):
@@ -247,13 +250,15 @@ def _best(k: int):
             rough[part_ids[:, None] == ids[None, :]] = -np.inf
             n = min(k, len(ids))
             bar = np.partition(rough, len(ids) - n, axis=1)[:, len(ids) - n]
-            bar = bar - slack * np.linalg.norm(part, axis=1)
+            bar = np.maximum(bar, least[start : start + 256]) - slack * np.linalg.norm(part, axis=1)
             at_query, at_row = np.nonzero((rough >= bar[:, None]) & np.isfinite(rough))
             score = np.empty(len(at_row))
             for i in range(0, len(at_row), 1 << 16):  # summed alike for each pair: equal vectors tie
                 score[i : i + (1 << 16)] = np.einsum(
                     "ij,ij->i", part[at_query[i : i + (1 << 16)]], x[at_row[i : i + (1 << 16)]]
                 )
+            reach = score >= least[start + at_query]
+            at_query, at_row, score = at_query[reach], at_row[reach], score[reach]
             order = np.lexsort((ids[at_row], -score, at_query))
             at_query, at_row, score = at_query[order], at_row[order], score[order]
             first = np.searchsorted(at_query, at_query)
@@ -287,10 +292,11 @@ def nearest(
     sizes = {r["part"]: r["count"] for r in index.groupBy("part").count().collect()}  # one row a part
     queries = rows.where(is_query).mapInArrow(_route(sent, sizes, s), f"vec_id long, {vector}, parts array<int>")
     queries = staged(
-        queries.select(F.col("vec_id").alias("query_id"), F.col("vector").alias("query"), F.explode("parts").alias("part")),
+        queries.select(
+            F.col("vec_id").alias("query_id"), F.col("vector").alias("query"), F.posexplode("parts").alias("place", "part")
+        ),
         "queries",
     )
-    asked = {r["part"]: r["count"] for r in queries.groupBy("part").count().collect()}
 
     def blocks(counts: dict[int, int]) -> Column:
         """How many blocks a part's rows make; an array by part, as a foldable literal."""
@@ -300,17 +306,29 @@ def nearest(
     def every(n: Column) -> Column:
         return F.explode(F.sequence(F.lit(0), n - 1))
 
-    left = (
-        index.withColumn("block", F.pmod(F.xxhash64("vec_id"), blocks(sizes)).cast("int"))
-        .withColumn("queries", every(blocks(asked)))
-        .groupBy("part", "block", "queries")
-    )
-    right = (
-        queries.withColumn("queries", F.pmod(F.xxhash64("query_id"), blocks(asked)).cast("int"))
-        .withColumn("block", every(blocks(sizes)))
-        .groupBy("part", "block", "queries")
-    )
-    hits = left.cogroup(right).applyInArrow(_best(s.k), HITS)
+    def search(wanted: DataFrame) -> DataFrame:
+        """Hits of (query_id, query, part, bar)."""
+        asked = {r["part"]: r["count"] for r in wanted.groupBy("part").count().collect()}
+        left = (
+            index.withColumn("block", F.pmod(F.xxhash64("vec_id"), blocks(sizes)).cast("int"))
+            .withColumn("queries", every(blocks(asked)))
+            .groupBy("part", "block", "queries")
+        )
+        right = (
+            wanted.withColumn("queries", F.pmod(F.xxhash64("query_id"), blocks(asked)).cast("int"))
+            .withColumn("block", every(blocks(sizes)))
+            .groupBy("part", "block", "queries")
+        )
+        return left.cogroup(right).applyInArrow(_best(s.k), HITS)
+
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= s.k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+
+    def ranked(hits: DataFrame) -> DataFrame:
+        return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= s.k)
+
+    nothing = F.lit(float("-inf"))
+    first = staged(ranked(search(queries.where("place = 0").drop("place").withColumn("bar", nothing))).drop("rank"), "first-hits")
+    bars = first.groupBy("query_id").agg(F.when(F.count("*") == s.k, F.min("score")).alias("bar"))
+    rest = queries.where("place > 0").join(bars, "query_id", "left").withColumn("bar", F.coalesce("bar", nothing))
+    found = first.unionByName(search(rest.select("query_id", "query", "part", "bar")))
+    return ranked(found).select("query_id", "rank", "vec_id", "score")
