@@ -22,6 +22,7 @@ no ``random`` span is found; an empty table gives no row.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -116,18 +117,28 @@ def labelled_samples(docs: DataFrame, text_col: str = "text", settings: SecretSe
     )
 
 
+def _characters(token: Column) -> Column:
+    """Character codes of a blank and the token; split at once, as cutting out each one walks the token anew."""
+    return F.transform(F.split(F.concat(F.lit(" "), token), ""), lambda c: F.ascii(c))
+
+
+def _side_by_side(codes: Column, make: Callable[[Column, Column], Column]) -> Column:
+    """``make`` of each character and the next one."""
+    return F.zip_with(F.slice(codes, 1, F.size(codes) - 1), F.slice(codes, 2, F.size(codes) - 1), make)
+
+
 def train(samples: DataFrame, settings: SecretSettings = SecretSettings()) -> list[int] | None:
     """128 x 128 rounded log-likelihood ratios of one character after another; None without both labels.
 
     A token's first character follows a blank.
     """
     s = settings
-    padded = samples.where("token IS NOT NULL").select("is_random", F.concat(F.lit(" "), "token").alias("token"))
-    pairs = padded.select(
+    known = samples.where("length(token) > 0").select("is_random", _characters(F.col("token")).alias("codes"))
+    pairs = known.select(
         "is_random",
-        F.explode(F.transform(F.sequence(F.lit(1), F.length("token") - 1), lambda i: F.substring("token", i, 2))).alias("pair"),
+        F.inline(_side_by_side(F.col("codes"), lambda a, b: F.struct(a.alias("a"), b.alias("b")))),
     )
-    counts = pairs.groupBy("is_random", F.ascii("pair").alias("a"), F.ascii(F.substring("pair", 2, 1)).alias("b")).count()
+    counts = pairs.groupBy("is_random", "a", "b").count()
     rows = counts.where("a < 128 AND b < 128").collect()  # two labels of 128 x 128 pairs at most
     if len({r["is_random"] for r in rows}) < 2:
         return None
@@ -145,14 +156,13 @@ def train(samples: DataFrame, settings: SecretSettings = SecretSettings()) -> li
 def _ratio(token: Column, table: list[int]) -> Column:
     """The token's log-likelihood ratio in thousandths."""
     ratios = F.split(F.lit(",".join(map(str, table))), ",").cast("array<int>")
-    padded = F.concat(F.lit(" "), token)
-    places = F.sequence(F.lit(1), F.length(token))
-    return F.aggregate(
-        places,
-        F.lit(0).cast("long"),
-        lambda acc, i: acc
-        + F.get(ratios, F.ascii(F.substring(padded, i, 1)) * 128 + F.ascii(F.substring(padded, i + 1, 1))).cast("long"),
-    )
+
+    def total(codes: Column) -> Column:
+        each = _side_by_side(codes, lambda a, b: F.get(ratios, a * 128 + b))
+        return F.aggregate(each, F.lit(0).cast("long"), lambda acc, x: acc + x)
+
+    # a one-element array binds the codes, so that they are made once
+    return F.get(F.transform(F.array(_characters(token)), total), F.lit(0))
 
 
 def find_secrets(
