@@ -8,7 +8,7 @@ identifiers, tied to the patterns before them.
 1. One pass gives each document's base spans, candidates and patterns; it is staged.
 2. Patterns that stand before at least ``support`` different seeds are looked up in
    the whole corpus, through a Bloom filter of fixed size, to count how often they
-   occur at all.
+   occur at all, with a blank after them or glued to what follows (``ref=``, ``<``).
 3. Spark scores the graph of patterns and instances in rounds: a pattern is as
    reliable as the share of its occurrences followed by reliable instances, an
    instance as reliable as its patterns together; seeds stay at 1.
@@ -29,6 +29,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -50,7 +51,11 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGITS = re.compile("[0-9]+")
 _NOT_DIGIT = re.compile("[^0-9]+")
 _EDGES = "\"'`()[]{}<>.,;:!?#*$%&|="
-_ANY_DIGIT = str.maketrans("123456789", "000000000")
+_ANY_DIGIT = str.maketrans("123456789ς", "000000000σ")  # a final sigma too, as what follows a word decides on it
+_LEFT = 200  # characters before a place that are looked at
+# where a seed or a candidate can begin inside a token, as ``_tokens`` gives it
+_SPLIT = re.compile(r"(?<=[^a-z0-9._%+-])|(?<=[" + re.escape(_EDGES) + r"])|(?<![0-9])(?=[0-9])|(?=\+)")
+_AFTER_DOMAIN = re.compile("(?=[._%])")  # an address can begin where the last one's domain ends
 
 
 @dataclass(frozen=True)
@@ -144,6 +149,26 @@ class _Words(dict):
         return value
 
 
+class _Glued(dict):
+    """Hashes of a token's beginnings before which a seed or a candidate can stand: ``ref=`` of ``ref=00000``."""
+
+    limit = 500_000
+
+    def __init__(self, words: _Words):
+        self.words = words
+
+    def __missing__(self, token: str) -> list[int]:
+        ends = {m.start() for m in _SPLIT.finditer(token)}
+        if "@" in token:
+            ends |= {m.start() for m in _AFTER_DOMAIN.finditer(token, token.index("@"))}
+        value = [self.words[token[max(0, end - _LEFT) : end]] for end in sorted(ends - {0, len(token)})]
+        if len(token) <= _LEFT:
+            if len(self) >= self.limit:
+                self.clear()
+            self[token] = value
+        return value
+
+
 def _tokens(text: str) -> list[str]:
     return text.lower().translate(_ANY_DIGIT).split()
 
@@ -155,7 +180,7 @@ def _pair(first: np.ndarray, second: np.ndarray) -> np.ndarray:
 
 def _patterns(text: str, start: int, words: _Words) -> list[int]:
     """Hashes of the one and the two words before ``start``, on its line."""
-    left = text[max(0, start - 200) : start]
+    left = text[max(0, start - _LEFT) : start]
     left = left[left.rfind("\n") + 1 :]
     before = _tokens(left)[-2:]
     if not before:
@@ -239,16 +264,21 @@ def _find(s: PiiSettings):
 
 
 def _occurrences(sent):
-    """How often each pattern of the filter occurs: (pattern, n), summed in each batch."""
+    """How often each pattern of the filter occurs, as whole words or glued to what follows: (pattern, n), summed in each batch."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, held = _Words(), sent.value
+        glued = _Glued(words)
         for batch in batches:
             found = []
             for text in batch.column(0):
                 tokens = _tokens(text.as_py() or "")
                 one = np.fromiter(map(words.__getitem__, tokens), dtype=np.uint64, count=len(tokens))
-                for hashes in (one, _pair(one[:-1], one[1:])):
+                inside = list(map(glued.__getitem__, tokens))
+                part = np.fromiter(chain.from_iterable(inside), dtype=np.uint64)
+                at = np.repeat(np.arange(len(tokens)), np.fromiter(map(len, inside), dtype=np.int64, count=len(tokens)))
+                after = at > 0
+                for hashes in (one, _pair(one[:-1], one[1:]), part, _pair(one[at[after] - 1], part[after])):
                     found.append(hashes[bloom.passes(held, hashes.view(np.int64))])
             keys, counts = np.unique(np.concatenate(found) if found else np.empty(0, np.uint64), return_counts=True)
             yield pa.RecordBatch.from_arrays(
@@ -273,7 +303,8 @@ def _reliable_patterns(texts: DataFrame, found: DataFrame, s: PiiSettings) -> Da
     sent = spark.sparkContext.broadcast(bloom.build(usual, s.filter_bits))
     seen = texts.mapInArrow(_occurrences(sent), "pattern long, n long")
     seen = seen.groupBy("pattern").agg(F.sum("n").alias("seen")).join(usual, "pattern", "leftsemi")
-    graph = staged(edges.join(seen, "pattern"), "pii-graph")
+    counted = usual.join(seen, "pattern", "left").select("pattern", F.coalesce("seen", F.lit(0)).alias("seen"))
+    graph = staged(edges.join(counted, "pattern"), "pii-graph")
     known = graph.groupBy("instance").agg(F.max("seed").cast("double").alias("trust"))
     patterns = None
     for _ in range(s.rounds):

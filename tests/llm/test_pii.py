@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from strata.llm import pii
 from strata.llm.pii import PiiSettings, base_spans, find_pii, luhn, mask_pii
 
 
@@ -68,6 +69,28 @@ def test_context_spans(spark):
     assert mask_pii(docs).columns == docs.columns and mask_pii(docs).count() == docs.count()
 
 
+def test_patterns_glued_to_what_follows(spark):
+    texts = [t.format(f"mail{i}@example.com") for t in ("see ref={} now", 'Ref: "{}" c', "user <{}> d") for i in range(4)]
+    texts += ["see ref=QX-48213 now", 'Ref: "QX-48213" c', "user <QX-48213> d", "(ZZ-55512)"]
+    texts += [f"so ({word}) the" for word in ("one", "two", "three", "four", "five", "six")] + [f"in ({i}x@example.com) by" for i in range(3)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    got = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["spans"]] for r in find_pii(docs).collect()}
+    for i, start in ((12, 8), (13, 6), (14, 6)):
+        assert got[i] == [("context", start, start + 8)], texts[i]
+    assert got[15] == []  # most tokens behind the bracket are plain words
+
+
+@pytest.mark.parametrize("text", [*TEXTS, 'x ref=QX-48213 "a.b@c.de" (+1 743 555 3824) ΑΣ:x1@y.zw ip1.2.3.4 a@b.c%d@e.fg é12345-6 é=<99999>'])
+def test_every_pattern_is_counted(text):
+    words = pii._Words()
+    tokens = pii._tokens(text[:3000])
+    known = {words[t] for t in tokens} | {h for t in tokens for h in pii._Glued(words)[t]}
+    base = base_spans(text[:3000])
+    starts = [a for _, a, _ in base] + [a for a, _ in pii.candidates(text[:3000], base, PiiSettings())]
+    for found in (pii._patterns(text[:3000], a, words) for a in starts):
+        assert not found or found[0] % 2**64 in known
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert find_pii(docs).count() == 0 and mask_pii(docs).count() == 0
