@@ -6,9 +6,8 @@ judge every other token of letters and digits: a token whose log-likelihood
 ratio reaches ``least_ratio`` becomes a span of kind ``random``.
 
 The models are fitted on labelled samples: by default the strings the base rules
-find (random) and long words without digits (ordinary), from some ``sample_rows``
-documents drawn by a hash of the text. The counts come to the driver as at most
-128 x 128 x 2 numbers and go back as one array of rounded ratios, so scores are
+find (random) and long words without digits (ordinary), from all documents. The
+counts combine before the shuffle, come to the driver as at most 128 x 128 x 2 numbers and go back as one array of rounded ratios, so scores are
 whole numbers.
 
 Positions come from the pieces between matches: no row is multiplied and
@@ -46,11 +45,9 @@ WORD = "[A-Za-z_]{8,}"
 
 @dataclass(frozen=True)
 class SecretSettings:
-    sample_rows: int = 20_000
     smoothing: float = 0.5
     symbols: int = 64  # of the tokens' alphabet
     least_ratio: int = 8000  # thousandths of a natural logarithm
-    seed: int = 7
 
 
 def _matches(text: Column, pattern: str) -> Column:
@@ -99,14 +96,9 @@ def base_spans(df: DataFrame, text: Column) -> DataFrame:
     return _found(_found(df, text, ACCESS, "access"), text, HEX, "hex")
 
 
-def labelled_samples(docs: DataFrame, text_col: str = "text", settings: SecretSettings = SecretSettings()) -> DataFrame:
-    """(token, is_random): strings of the base rules, and long words, of a bounded sample of documents."""
-    s = settings
+def labelled_samples(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(token, is_random): strings of the base rules, and long words, of all documents."""
     texts = docs.select(docs[text_col].alias("text")).where("text IS NOT NULL")
-    rows = texts.count()
-    if rows > s.sample_rows:
-        draw = F.pmod(F.xxhash64(F.lit(s.seed), "text"), F.lit(1_000_000_007))
-        texts = texts.where(draw < int(1_000_000_007 * s.sample_rows / rows))
     values = F.transform(_matches(F.col("text"), ASSIGN), lambda x: F.regexp_extract(x, ASSIGN, 2))
     random = F.concat(
         F.filter(values, lambda x: F.length(x) >= LEAST_VALUE), _matches(F.col("text"), ACCESS), _matches(F.col("text"), HEX)

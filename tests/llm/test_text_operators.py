@@ -215,6 +215,14 @@ def test_secrets_without_samples(spark):
     assert secrets.find_secrets(docs).count() == 1 and secrets.find_secrets(docs.where("false")).count() == 0
 
 
+def test_secrets_learn_from_all_documents(spark):
+    docs = spark.range(30_000).selectExpr(
+        "id AS doc_id", "IF(id % 3 = 0, 'ordinary words', concat('configuration AKIA', lpad(id, 16, 'Z'))) AS text"
+    )
+    got = secrets.labelled_samples(docs).groupBy("is_random").count().collect()
+    assert dict(map(tuple, got)) == {True: 20_000, False: 50_000}
+
+
 def test_ratio_is_the_sum_over_characters(spark):
     rows = [("abcabc", False), ("abab", False), ("a9z9", True), ("9z9q", True)]
     table = secrets.train(spark.createDataFrame(rows, "token string, is_random boolean"))
