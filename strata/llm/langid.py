@@ -12,9 +12,11 @@ scored, in one pass and without a shuffle.
 
 The model is fitted on a bounded sample (``sample_rows`` texts and
 ``sample_bytes`` / number of languages bytes for each of at most ``max_langs``
-languages, the first by a hash of the id). A fifth of it sets the temperature
-that makes scores honest and the score below which a text is rejected:
-``reject_share`` of the rightly labelled texts may fall below it.
+languages, the first by a hash of the id). A fifth of it, as whole texts and as stretches of
+all lengths, sets the temperature that makes scores honest and the score below
+which a text is rejected. That bar is measured for each length, by the number of
+n-grams: in log-odds, it lies ``margin`` of the way from the score that all but
+``reject_share`` of the rightly labelled texts reach down to mere chance.
 
 Defined cases: a null text or one without a letter gives ``und``, score 0, and is
 rejected; so does every text if nothing could be learned. Rows without id or
@@ -44,7 +46,8 @@ class LangSettings:
     sample_bytes: int = 24 << 20  # for all languages together
     max_langs: int = 100  # the most frequent ones
     reject_share: float = 0.001
-    highest_bar: float = 0.4  # the rejection bar is never above this
+    margin: float = 0.5  # of the way from that score to chance
+    bar_texts: int = 200  # a bar is measured on, at least
     seed: int = 11
 
 
@@ -94,11 +97,10 @@ class LangModel:
     scores: np.ndarray  # buckets x languages
     bias: np.ndarray
     temperature: float
-    bar: float  # scores below are rejected
+    bars: tuple[np.ndarray, np.ndarray]  # lengths, as logarithms of n-grams; scores below are rejected
     settings: LangSettings
 
-    def logits(self, data: np.ndarray) -> np.ndarray:
-        found = features(data, self.settings)
+    def logits(self, found: np.ndarray) -> np.ndarray:
         if not len(found):
             return self.bias
         if len(found) > len(self.scores) // 4:
@@ -109,9 +111,10 @@ class LangModel:
         """(language, score, rejected) of one whole text."""
         if not self.langs or not has_letter(text):
             return UNKNOWN, 0.0, True
-        p = _softmax(self.logits(letters(text)) / self.temperature)
+        found = features(letters(text), self.settings)
+        p = _softmax(self.logits(found) / self.temperature)
         best = int(p.argmax())
-        return self.langs[best], float(p[best]), bool(p[best] < self.bar)
+        return self.langs[best], float(p[best]), bool(p[best] < np.interp(np.log2(len(found) + 1), *self.bars))
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -119,9 +122,9 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum()
 
 
-def _stretch(data: np.ndarray, random: np.random.Generator) -> np.ndarray:
-    """A run of 10 to 400 bytes, cut at blanks where there are some."""
-    length = int(10 * 40 ** random.random())
+def _stretch(data: np.ndarray, random: np.random.Generator, length: int = 0) -> np.ndarray:
+    """A run of ``length`` bytes, or else of 10 to 400, cut at blanks where there are some."""
+    length = length or int(10 * 40 ** random.random())
     if len(data) <= length:
         return data
     start = int(random.integers(0, len(data) - length))
@@ -130,13 +133,28 @@ def _stretch(data: np.ndarray, random: np.random.Generator) -> np.ndarray:
     return part[edges[0] : edges[-1] + 1] if len(edges) > 2 else part
 
 
+def _bars(sizes: np.ndarray, scores: np.ndarray, langs: int, s: LangSettings) -> tuple[np.ndarray, np.ndarray]:
+    """The rejection bar at each length, from the scores of rightly labelled texts."""
+    if langs < 2 or not len(scores):
+        return np.zeros(1), np.zeros(1)
+    chance = -np.log(langs - 1)
+    odds = np.log(scores) - np.log(np.maximum(1 - scores, 1e-15))
+    at = np.arange(int(sizes.min()), int(sizes.max()) + 2)
+    bars = []
+    for size in at:
+        far = np.abs(sizes - size)
+        near = far <= max(0.5, np.sort(far)[min(len(far), s.bar_texts) - 1])
+        bars.append(np.quantile(odds[near], s.reject_share))
+    return at.astype(float), 1 / (1 + np.exp(-(s.margin * chance + (1 - s.margin) * np.array(bars))))
+
+
 def fit(texts: list[str], labels: list[str], s: LangSettings = LangSettings()) -> LangModel:
     """Train on labelled texts, the last fifth of them kept for calibration."""
     pairs = [(letters(t), lang) for t, lang in zip(texts, labels, strict=True) if has_letter(t)]
     langs = tuple(sorted({lang for _, lang in pairs}))
     buckets = 1 << s.bucket_bits
     if not langs:
-        return LangModel((), np.zeros((buckets, 1)), np.zeros(1), 1.0, 1.0, s)
+        return LangModel((), np.zeros((buckets, 1)), np.zeros(1), 1.0, _bars(np.empty(0), np.empty(0), 0, s), s)
     random = np.random.default_rng(s.seed)
     at = {lang: i for i, lang in enumerate(langs)}
     order = random.permutation(len(pairs))
@@ -164,9 +182,14 @@ def fit(texts: list[str], labels: list[str], s: LangSettings = LangSettings()) -
                 soft -= rate * np.outer(hidden, error)
                 bias -= 0.1 * rate * error
                 embed[found] -= (rate * min(len(found), 50)) * np.outer(weight, back)
-    model = LangModel(langs, embed @ soft, bias, 1.0, 0.0, s)
-    logits = np.array([model.logits(d) for d, _ in calibration])
-    right = np.array([at[lang] for _, lang in calibration])
+    model = LangModel(langs, embed @ soft, bias, 1.0, _bars(np.empty(0), np.empty(0), 0, s), s)
+    lengths = [8 << i for i in range(10) for _ in range(2)]
+    parts = calibration + [(_stretch(d, random, n), lang) for d, lang in calibration for n in lengths if len(d) > n]
+    logits, sizes = np.empty((len(parts), len(langs))), np.empty(len(parts))
+    for i, (part, _) in enumerate(parts):
+        found = features(part, s)
+        logits[i], sizes[i] = model.logits(found), np.log2(len(found) + 1)
+    right = np.array([at[lang] for _, lang in parts])
 
     def scored(t: float) -> np.ndarray:
         x = logits / t
@@ -178,9 +201,9 @@ def fit(texts: list[str], labels: list[str], s: LangSettings = LangSettings()) -
 
     temperature = min(np.geomspace(0.25, 8, 41), key=loss)
     p = scored(temperature)
-    sure = p.max(axis=1)[p.argmax(axis=1) == right]
-    bar = min(float(np.quantile(sure, s.reject_share)), s.highest_bar) if len(sure) else 0.0
-    return LangModel(langs, model.scores, bias, float(temperature), bar, s)
+    sure = p.argmax(axis=1) == right
+    bars = _bars(sizes[sure], p.max(axis=1)[sure], len(langs), s)
+    return LangModel(langs, model.scores, bias, float(temperature), bars, s)
 
 
 def train(

@@ -45,6 +45,17 @@ def test_language_id_on_held_out_rows(spark):
     assert langid.keep_known(docs, model).columns == docs.columns
 
 
+def test_a_language_never_learned_is_rejected():
+    rows = lang_rows(600)
+    model = langid.fit([t for _, t, lang in rows if lang != "fr"], [lang for _, _, lang in rows if lang != "fr"])
+    other = lang_rows(600, seed=2)
+    foreign = [model.predict(t)[2] for _, t, lang in other if lang == "fr" and len(t) > 100]
+    own = [model.predict(t)[2] for _, t, lang in other if lang != "fr"]
+    assert np.mean(foreign) >= 0.9 and np.mean(own) <= 0.01
+    assert not model.predict("house")[2]  # a short text has a lower bar
+    assert not langid.fit(["the house"], ["en"]).predict("la casa")[2]  # one language: nothing to tell apart
+
+
 def test_language_id_without_labels(spark):
     docs = spark.createDataFrame([(1, "the house", None)], "doc_id long, text string, lang string")
     model = langid.train(docs)
