@@ -10,9 +10,10 @@ As everything after the average is linear, prediction needs one table
 (buckets x languages): the product of embeddings and softmax. Whole texts are
 scored, in one pass and without a shuffle.
 
-The model is fitted on a bounded sample (``sample_rows`` texts and
-``sample_bytes`` / number of languages bytes for each of at most ``max_langs``
-languages, the first by a hash of the id). A fifth of it, as whole texts and as stretches of
+The model is fitted on a bounded sample: ``sample_rows`` texts of each language, the
+first by a hash of the id, in ``sample_bytes`` / number of languages bytes. If they
+need more, the longest are cut to a stretch at a random place, all to the same
+bytes, ``least_bytes`` at least; no text is left out for its length. A fifth of it, as whole texts and as stretches of
 all lengths, sets the temperature that makes scores honest and the score below
 which a text is rejected. That bar is measured for each length, by the number of
 n-grams: in log-odds, it lies ``margin`` of the way from the score that all but
@@ -44,7 +45,7 @@ class LangSettings:
     rate: float = 0.5
     sample_rows: int = 800  # for each language
     sample_bytes: int = 24 << 20  # for all languages together
-    max_langs: int = 100  # the most frequent ones
+    least_bytes: int = 400  # of each text, whatever the number of languages
     reject_share: float = 0.001
     margin: float = 0.5  # of the way from that score to chance
     bar_texts: int = 200  # a bar is measured on, at least
@@ -206,6 +207,17 @@ def fit(texts: list[str], labels: list[str], s: LangSettings = LangSettings()) -
     return LangModel(langs, model.scores, bias, float(temperature), bars, s)
 
 
+def _share(sizes: pd.Series, budget: int) -> int:
+    """The bytes to which the longest texts are cut, so that all keep within the budget together."""
+    ordered = np.sort(sizes.to_numpy())
+    for i, size in enumerate(ordered):
+        share = max(0, budget) // (len(ordered) - i)
+        if size > share:
+            return int(share)
+        budget -= int(size)
+    return int(ordered[-1])
+
+
 def train(
     labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
     settings: LangSettings = LangSettings(),
@@ -215,7 +227,7 @@ def train(
     rows = labelled.select(
         labelled[id_col].alias("id"), labelled[text_col].alias("text"), labelled[lang_col].cast("string").alias("lang")
     ).where("id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL")
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(s.max_langs).collect()
+    counts = rows.groupBy("lang").count().collect()
     langs = {r["lang"]: r["count"] for r in counts}
     if not langs:
         return fit([], [], s)
@@ -228,12 +240,21 @@ def train(
         sized.where(F.col("draw") <= F.try_element_at(bars, F.col("lang")))
         .withColumn("place", F.row_number().over(first))
         .where(F.col("place") <= s.sample_rows)
-        .withColumn("bytes", F.sum("size").over(first.rowsBetween(Window.unboundedPreceding, 0)))
-        .where((F.col("bytes") <= s.sample_bytes // len(langs)) | (F.col("place") == 1))
-        .select("id")
-        .distinct()
+        .select("id", "lang", "size")
+        .toPandas()
+    )
+    budget = s.sample_bytes // len(langs)
+    shares = {lang: max(s.least_bytes, _share(sizes, budget)) for lang, sizes in picked.groupby("lang")["size"]}
+    spark = labelled.sparkSession
+    ids = spark.createDataFrame([(i,) for i in picked["id"].unique().tolist()], rows.select("id").schema)
+    share = F.try_element_at(F.create_map(*[F.lit(x) for pair in shares.items() for x in pair]), F.col("lang"))
+    chars, size = F.length("text"), F.octet_length("text")
+    length = F.floor(chars * F.least(F.lit(1.0), share / size)).cast("int")
+    start = F.pmod(F.xxhash64(F.lit(s.seed), F.lit("start"), "id"), chars - length + 1).cast("int") + 1
+    sample = rows.join(F.broadcast(ids), "id").select(
+        "id", "lang", F.when(size > share, F.substring("text", start, length)).otherwise(F.col("text")).alias("text")
     )
-    sample = rows.join(F.broadcast(picked), "id").select("id", "lang", "text").dropDuplicates(["id"]).toPandas()
+    sample = sample.dropDuplicates(["id"]).toPandas()
     sample = sample.sort_values("id")
     return fit(sample["text"].tolist(), sample["lang"].tolist(), s)
 

@@ -56,6 +56,21 @@ def test_a_language_never_learned_is_rejected():
     assert not langid.fit(["the house"], ["en"]).predict("la casa")[2]  # one language: nothing to tell apart
 
 
+def test_long_texts_take_no_place_in_the_sample(spark, monkeypatch):
+    long = " ".join(WORDS["fr"] * 400)
+    rows = [(i, long if i % 6 == 1 else t, lang) for i, t, lang in lang_rows(240)]
+    rows += [(1000 + i, f"wort{chr(97 + i // 26)}{chr(97 + i % 26)}", f"l{i:03}") for i in range(110)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    taken = {}
+    monkeypatch.setattr(langid, "fit", lambda texts, labels, s: taken.update(texts=texts, labels=labels))
+    langid.train(docs, settings=langid.LangSettings(sample_bytes=113 * 60_000))
+    assert sorted(taken["labels"]) == sorted(lang for *_, lang in rows)  # 113 languages, each with all its texts
+    sizes = [len(t.encode()) for t, lang in zip(taken["texts"], taken["labels"]) if lang == "fr"]
+    assert len(sizes) == 80 and sum(sizes) <= 60_000 and max(sizes) < len(long)
+    whole = {t for _, t, _ in rows}
+    assert all(t in whole or t in long for t in taken["texts"])
+
+
 def test_language_id_without_labels(spark):
     docs = spark.createDataFrame([(1, "the house", None)], "doc_id long, text string, lang string")
     model = langid.train(docs)
