@@ -259,7 +259,11 @@ def _confirm(s: MinHashSettings):
 
 
 def _texts(given: DataFrame, ids: DataFrame) -> DataFrame:
-    """Texts of the ids, and by chance of a few others, by a scan with a filter."""
+    """Texts with a word of the ids, and by chance of a few others, by a scan with a filter.
+
+    An id may be repeated with a null or an empty text, which is linked to nothing.
+    """
+    given = given.where(F.col("doc_id").isNotNull() & F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     return staged(keep_passing(given, ids), "candidate-texts")
 
 

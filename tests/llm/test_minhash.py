@@ -86,6 +86,18 @@ def test_empty_and_unlinked(spark):
     assert sorted((r["doc_id"], r["component_id"], r["kept"], r["n_shingles"]) for r in rows) == [(1, 1, True, 0), (2, 2, True, 0)]
 
 
+def test_an_id_repeated_with_a_null_and_a_linked_text(spark):
+    rows = corpus(4, 3, 8, 4)
+    ids = [i for i, _ in rows]
+    rows += [(i, t) for i in ids for t in (None, "", " ")] + [(None, None), (None, rows[0][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    settings = MinHashSettings(words=4, tile=4)
+    got = near_duplicates(docs, settings=settings).collect()
+    want = plain_components(rows, 4)
+    counted = {r["doc_id"]: r["component_id"] for r in got if r["n_shingles"] > 0 and r["doc_id"] is not None}
+    assert len(got) == len(rows) and counted == want
+
+
 def test_components_of_chains_and_stars(spark):
     r = random.Random(2)
     links = [(i, i + 1) for i in range(100, 160)] + [(5, i) for i in range(10, 60)] + [(300, 200), (200, 300), (7, 7)]
