@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from strata.llm import ann, langid, line_dedup, minhash, packing, pieces, pii, quality, secrets, urls
+from strata.llm import ann, bpe, langid, line_dedup, manifest, minhash, packing, pieces, pii, quality, resample, secrets, urls
 from strata.llm.common import PREFIX, table
 
 
@@ -101,3 +101,27 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(pii.digest(F.col("base")).cast("binary"), 256).alias("base_sha256"),
         pii.digest(F.col("spans")).alias("spans"),
     )
+
+
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    ids, text = F.col(f"{PREFIX}ids"), F.col(f"{PREFIX}decoded")
+    return coded.select(
+        "doc_id",
+        F.floor(F.octet_length(ids) / 4).cast("long").alias("n_tokens"),
+        F.sha2(ids, 256).alias("ids_sha256"),
+        F.sha2(text.cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    drawn = resample.resample(docs, table(spark, sf_dir, "benchmark"))
+    names = ("n_features", "weight", "score", "rank")
+    return drawn.select("doc_id", *[F.col(f"{PREFIX}{name}").alias(name) for name in names])
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.crc32(docs["doc_id"].cast("string").cast("binary")) % 5 == 0
+    return manifest.manifest(docs, tampered).drop("copied").withColumnRenamed("id", "doc_id")

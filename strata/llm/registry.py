@@ -22,6 +22,9 @@ QUERIES: dict[str, Query] = {
     "op8_sentencepiece": q.op8_sentencepiece,
     "op9_line_dedup": q.op9_line_dedup,
     "op10_pii": q.op10_pii,
+    "op11_bpe": q.op11_bpe,
+    "op12_importance": q.op12_importance,
+    "op13_manifest": q.op13_manifest,
 }
 
 ORACLE: dict[str, str] = {
