@@ -15,8 +15,9 @@ rule for every character it is used for, which a test checks); all others by the
 library's own normalizer and pre-tokenizer. Special tokens written in a text become
 their ids, as in the library.
 
-Work is linear in the text. A task holds one block of texts (``block_chars``
-characters, or one text), its index, and at most ``cached_words`` finished words.
+Work is linear in the text. A task holds the word numbers of one block of texts
+(``block_chars`` characters, or one text), the index of its new words, and the ids of the
+words met before, which it forgets after a block with which they exceed ``known_words``.
 
 Defined cases: null and empty texts, and texts of blanks alone, have no ids and decode
 to the empty text; very long words go through the same index; repeated rows are coded
@@ -28,8 +29,10 @@ from __future__ import annotations
 import heapq
 import json
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import count, islice
 
 import numpy as np
 import pandas as pd
@@ -72,9 +75,8 @@ NOT_PLAIN = "[^\\x00-\\u012f\\u0131-\\u017f\\u2010-\\u2027\\u2030-\\u205e\\u20ac
 @dataclass(frozen=True)
 class BpeSettings:
     vocabulary: str | None = None  # a tokenizers file; by default word_bpe_49k.json of public_tokenizers
-    block_chars: int = 4_000_000
-    cached_words: int = 400_000
-    longest_cached: int = 64  # longer words are coded anew in each block
+    block_chars: int = 16_000_000
+    known_words: int = 400_000  # kept from block to block
 
 
 def byte_symbols() -> list[str]:
@@ -84,6 +86,113 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in shown else chr(next(hidden)) for b in range(256)]
 
 
+class _Partners:
+    """The merges of each symbol on one side, by the symbol on the other side."""
+
+    def __init__(self, of: np.ndarray, other: np.ndarray, size: int):
+        self.rank = np.lexsort((other, of)) if len(of) else np.empty(0, dtype=np.int64)
+        self.other = other[self.rank].astype(np.int32)
+        self.edges = np.searchsorted(of[self.rank], np.arange(size + 1)).tolist()
+
+    def ranks(self, symbol: int, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(which of ``others`` merge with ``symbol``, the ranks of these merges)."""
+        a, b = self.edges[symbol], self.edges[symbol + 1]
+        if a == b:
+            return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+        partners = self.other[a:b]
+        at = np.minimum(np.searchsorted(partners, others), b - a - 1)
+        known = np.flatnonzero(partners[at] == others)
+        return known, self.rank[a + at[known]]
+
+
+FEW = 16  # positions that are merged one by one; more are merged by array operations
+
+
+def _merged(codec: Codec, data: np.ndarray, lasts: np.ndarray) -> np.ndarray:
+    """Symbols of words after all merges, -1 where a symbol went into its left neighbour.
+
+    ``data``: the bytes of all words, ``lasts``: the place of each word's last byte.
+    """
+    n = len(data)
+    sym = np.empty(n + 1, dtype=np.int32)  # place n stands for no neighbour
+    sym[:n] = codec.byte_ids[data]
+    sym[lasts] = codec.last_ids[data[lasts]]
+    sym[n] = -2
+    after = np.arange(1, n + 2, dtype=np.int32)
+    after[lasts] = n
+    before = np.arange(-1, n, dtype=np.int32)
+    before[0] = n
+    before[lasts[:-1] + 1] = n
+    one_sym, one_after, one_before = memoryview(sym), memoryview(after), memoryview(before)
+
+    index: dict[int, list] = {}  # rank -> positions of its pair, single or in arrays
+    active: list[int] = []
+    rank_of, merges, size = codec.ranks.get, codec.merges, codec.size
+
+    def note(known: int, place: object) -> None:
+        places = index.get(known)
+        if places is None:
+            index[known] = [place]
+            heapq.heappush(active, known)
+        else:
+            places.append(place)
+
+    def note_all(known: np.ndarray, places: np.ndarray) -> None:
+        if len(known) <= FEW:
+            for k, place in zip(known.tolist(), places.tolist(), strict=True):
+                note(k, place)
+            return
+        order = np.argsort(known, kind="stable")
+        known, places = known[order], places[order]
+        edges = np.flatnonzero(np.diff(known, prepend=-1))
+        for k, group in zip(known[edges].tolist(), np.split(places, edges[1:]), strict=True):
+            note(k, group)
+
+    def merge_one(p: int, left: int, right: int, new: int) -> None:
+        q = one_after[p]
+        if one_sym[p] != left or one_sym[q] != right:
+            return
+        r, back = one_after[q], one_before[p]
+        one_sym[p], one_sym[q], one_after[p] = new, -1, r
+        if r < n:
+            one_before[r] = p
+            known = rank_of(new * size + one_sym[r])
+            if known is not None:
+                note(known, p)
+        if back < n:
+            known = rank_of(one_sym[back] * size + new)
+            if known is not None:
+                note(known, back)
+
+    pairs = np.flatnonzero(after[:n] < n)
+    keys = sym[pairs].astype(np.int64) * size + sym[after[pairs]]
+    kinds, kind_of = np.unique(keys, return_inverse=True)
+    known = np.array([rank_of(k, -1) for k in kinds.tolist()], dtype=np.int64)[kind_of]
+    note_all(known[known >= 0], pairs[known >= 0].astype(np.int32))
+
+    while active:
+        now = heapq.heappop(active)
+        left, right, new = merges[now]
+        held = index.pop(now)
+        arrays = [x for x in held if type(x) is not int]
+        places = np.sort(np.concatenate([*arrays, np.array([x for x in held if type(x) is int], dtype=np.int32)]))
+        if len(places) <= FEW or left == right:  # like symbols may overlap: from left to right
+            for p in places.tolist():
+                merge_one(p, left, right, new)
+            continue
+        p = places[(sym[places] == left) & (sym[after[places]] == right)]
+        q = after[p]
+        r = after[q]
+        sym[p], sym[q], after[p] = new, -1, r
+        before[r] = p
+        which, found = codec.after_left.ranks(new, sym[r])
+        note_all(found, p[which])
+        back = before[p]
+        which, found = codec.before_right.ranks(new, sym[back])
+        note_all(found, back[which])
+    return sym[:n]
+
+
 class Codec:
     """Encodes and decodes with one vocabulary file."""
 
@@ -115,15 +224,18 @@ class Codec:
         for rank, pair in enumerate(model["merges"]):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
             a, b, new = vocab[left], vocab[right], vocab[left + right]
-            if max(made.get(a, -1), made.get(b, -1)) >= rank or new in made:
-                raise ValueError(f"merge {rank} of {path} comes before a merge that makes its parts")
-            made[new] = rank
+            if made.setdefault(new, rank) != rank:
+                raise ValueError(f"merges {made[new]} and {rank} of {path} make one symbol")
             self.merges.append((a, b, new))
+        for rank, (a, b, _) in enumerate(self.merges):
+            if max(made.get(a, -1), made.get(b, -1)) >= rank:
+                raise ValueError(f"merge {rank} of {path} comes before a merge that makes its parts")
         self.ranks = {a * self.size + b: rank for rank, (a, b, _) in enumerate(self.merges)}
-        keys = np.fromiter(self.ranks, dtype=np.int64, count=len(self.ranks))
-        self.key_order = np.argsort(keys)
-        self.keys = keys[self.key_order]
-        self.cache: dict[str, bytes] = {}
+        left, right, _ = np.array(self.merges, dtype=np.int64).reshape(-1, 3).T
+        self.after_left = _Partners(left, right, self.size)
+        self.before_right = _Partners(right, left, self.size)
+        self.codes: defaultdict[str, int] = defaultdict(count().__next__)  # number of each word met
+        self.coded: list[bytes] = []  # ids of each numbered word
 
     def words(self, text: str) -> list[str]:
         """Words of a text without special tokens."""
@@ -132,70 +244,17 @@ class Codec:
         normal = self.library.normalizer.normalize_str(text)
         return [normal[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(normal)]
 
-    def _ranks_of(self, keys: np.ndarray) -> np.ndarray:
-        """Rank of each pair key, -1 if no merge knows it."""
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, self.key_order[at], -1)
-
     def merge_words(self, words: list[str]) -> list[bytes]:
         """Ids of each word as little-endian unsigned 32-bit numbers."""
-        coded = [w.encode() for w in words]
-        sizes = np.array([len(w) for w in coded], dtype=np.int64)
-        data = np.frombuffer(b"".join(coded), dtype=np.uint8)
+        raw = [w.encode() for w in words]
+        sizes = np.array([len(w) for w in raw], dtype=np.int64)
+        data = np.frombuffer(b"".join(raw), dtype=np.uint8)
         if not len(data):
             return [b""] * len(words)
         stops = np.cumsum(sizes)
-        symbols = self.byte_ids[data]
-        lasts = stops[sizes > 0] - 1
-        symbols[lasts] = self.last_ids[data[lasts]]
-
-        inside = np.ones(len(data), dtype=bool)  # positions with a right neighbour in their word
-        inside[lasts] = False
-        first = np.flatnonzero(inside)
-        rank = self._ranks_of(symbols[first] * self.size + symbols[first + 1])
-        first, rank = first[rank >= 0], rank[rank >= 0]
-        order = np.argsort(rank, kind="stable")
-        first, rank = first[order], rank[order]
-        edges = np.flatnonzero(np.diff(rank, prepend=-1)) if len(rank) else np.empty(0, dtype=np.int64)
-        index = {
-            int(rank[a]): first[a:b].tolist() for a, b in zip(edges, np.append(edges[1:], len(rank)), strict=True)
-        }
-        active = sorted(index)  # a sorted list is a heap
-        after = np.where(inside, np.arange(1, len(data) + 1), -1).tolist()
-        before = np.arange(-1, len(data) - 1)
-        before[lasts[:-1] + 1] = -1
-        before, sym = before.tolist(), symbols.tolist()
-        ranks, merges, size = self.ranks.get, self.merges, self.size
-
-        def note(known: int, at: int) -> None:
-            places = index.get(known)
-            if places is None:
-                index[known] = [at]
-                heapq.heappush(active, known)
-            else:
-                places.append(at)
-
-        while active:
-            now = heapq.heappop(active)
-            left, right, new = merges[now]
-            for p in sorted(index.pop(now)):
-                q = after[p]
-                if sym[p] != left or q < 0 or sym[q] != right:
-                    continue
-                r, back = after[q], before[p]
-                sym[p], sym[q], after[p] = new, -1, r
-                if r >= 0:
-                    before[r] = p
-                    known = ranks(new * size + sym[r])
-                    if known is not None:
-                        note(known, p)
-                if back >= 0:
-                    known = ranks(sym[back] * size + new)
-                    if known is not None:
-                        note(known, back)
-        left_over = np.array(sym, dtype=np.int64)
-        alive = left_over >= 0
-        ids = left_over[alive].astype("<u4").tobytes()
+        sym = _merged(self, data, stops[sizes > 0] - 1)
+        alive = sym >= 0
+        ids = sym[alive].astype("<u4").tobytes()
         ends = np.concatenate([[0], np.cumsum(alive)])[stops] * 4
         starts = np.concatenate([[0], ends[:-1]])
         return [ids[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
@@ -204,40 +263,39 @@ class Codec:
         """Stretches of a text and, at odd places, the special tokens between them."""
         return self.split_special(text) if self.split_special and "<|" in text else [text]
 
-    def encode_block(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text; the pairs of all its new words share one index."""
-        split = [
-            [part if k % 2 else self.words(part) for k, part in enumerate(self._parts(text))] if text else []
-            for text in texts
-        ]
-        if len(self.cache) > self.s.cached_words:
-            self.cache.clear()
-        cache = self.cache
-        new = {w for parts in split for part in parts if type(part) is list for w in part}.difference(cache)
-        new = list(new)
-        fresh = dict(zip(new, self.merge_words(new), strict=True))
-        cache.update(fresh)
-        out = [
-            b"".join([b"".join(map(cache.__getitem__, p)) if type(p) is list else self.special[p] for p in parts])
-            for parts in split
+    def _numbered(self, text: str | None) -> list[np.ndarray | bytes]:
+        """A text's words by number, and the ids of the special tokens between them."""
+        if not text:
+            return []
+        number = self.codes.__getitem__
+        return [
+            self.special[part] if k % 2 else np.array(list(map(number, self.words(part))), dtype=np.int32)
+            for k, part in enumerate(self._parts(text))
         ]
-        for w in new:
-            if len(w) > self.s.longest_cached:
-                del cache[w]
+
+    def _finish(self, block: list[list[np.ndarray | bytes]]) -> list[bytes]:
+        """Ids of a block's texts; the pairs of all its new words share one index."""
+        new = list(islice(self.codes, len(self.coded), None))
+        self.coded += self.merge_words(new)
+        ids = self.coded.__getitem__
+        out = [b"".join([p if type(p) is bytes else b"".join(map(ids, p.tolist())) for p in parts]) for parts in block]
+        if len(self.codes) > self.s.known_words or sum(map(len, new)) > self.s.block_chars:
+            self.codes = defaultdict(count().__next__)
+            self.coded = []
         return out
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text, block by block."""
         out: list[bytes] = []
-        block: list[str | None] = []
+        block: list[list[np.ndarray | bytes]] = []
         held = 0
         for text in texts:
-            if held and held + len(text or "") > self.s.block_chars:
-                out += self.encode_block(block)
-                block, held = [], 0
-            block.append(text)
+            block.append(self._numbered(text))
             held += len(text or "")
-        return out + self.encode_block(block)
+            if held >= self.s.block_chars:
+                out += self._finish(block)
+                block, held = [], 0
+        return out + self._finish(block)
 
     def decode(self, ids: bytes | None) -> str:
         """Tokens joined by a blank, special ones too; ids that the vocabulary lacks are left out."""
@@ -252,16 +310,20 @@ def _codec(s: BpeSettings) -> Codec:
     return worker_cache(("bpe", s), lambda: Codec(s))
 
 
-def ids_column(text: Column, settings: BpeSettings = BpeSettings()) -> Column:
-    """Ids of a text column as little-endian unsigned 32-bit numbers; empty for a null text."""
+def coded_column(text: Column, settings: BpeSettings = BpeSettings(), decoded: bool = False) -> Column:
+    """Struct of a text column's ``ids``, as little-endian unsigned 32-bit numbers, and, if ``decoded``, their ``text``."""
+    kind = "ids binary, text string" if decoded else "ids binary"
 
-    @F.pandas_udf(T.BinaryType())
-    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf(kind)
+    def coded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         codec = _codec(settings)
         for texts in batches:
-            yield pd.Series(codec.encode(texts.tolist()), dtype=object)
+            rows = {"ids": codec.encode(texts.tolist())}
+            if decoded:
+                rows["text"] = [codec.decode(i) for i in rows["ids"]]
+            yield pd.DataFrame(rows, dtype=object)
 
-    return encoded(text)
+    return coded(text)
 
 
 def text_column(ids: Column, settings: BpeSettings = BpeSettings()) -> Column:
@@ -282,7 +344,16 @@ def encode(
     """``docs`` with the ids of their texts in the new column ``out``."""
     if out in docs.columns:
         raise ValueError(f"the column {out} exists already")
-    return docs.withColumn(out, ids_column(docs[text_col], settings))
+    return docs.withColumn(out, coded_column(docs[text_col], settings)["ids"])
+
+
+def round_trip(
+    docs: DataFrame, text_col: str = "text", out: str = f"{PREFIX}coded", settings: BpeSettings = BpeSettings()
+) -> DataFrame:
+    """``docs`` with the new struct ``out`` of the texts' ``ids`` and of the ``text`` these decode to, in one pass."""
+    if out in docs.columns:
+        raise ValueError(f"the column {out} exists already")
+    return docs.withColumn(out, coded_column(docs[text_col], settings, decoded=True))
 
 
 def decode(

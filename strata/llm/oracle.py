@@ -207,3 +207,124 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND lost <= {_Q.most_lost} AS kept
 FROM failed
 """
+
+# CRC-32 in SQL: the 256 entries by their rule (eight halvings with the reversed polynomial), then a fold over bytes.
+CRC_TABLE = """
+crc_table AS MATERIALIZED (
+    SELECT list(entry ORDER BY b) AS entries FROM (
+        SELECT b, list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) AS entry
+        FROM (SELECT unnest(range(256)) AS b)
+    )
+)"""
+
+
+def _crc32(bytes_list: str) -> str:
+    """Unsigned CRC-32 of a list of byte values (BIGINT); ``crc_table`` must be in FROM."""
+    step = "lambda c, b: xor(c >> 8, entries[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce({bytes_list}, {step}, 4294967295::BIGINT), 4294967295)"
+
+
+def _bytes(text: str) -> str:
+    digits = f"hex(encode({text}))"
+    return f"[('0x' || {digits}[2 * i - 1:2 * i])::BIGINT FOR i IN range(1, len({digits}) // 2 + 1)]"
+
+
+IMPORTANCE = f"""
+WITH {CRC_TABLE}, words AS MATERIALIZED (
+    SELECT 0 AS target, doc_id AS id, unnest(regexp_extract_all({ASCII_LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS w
+    FROM documents
+    UNION ALL
+    SELECT 1, item_id, unnest(regexp_extract_all({ASCII_LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'))
+    FROM benchmark
+), different AS MATERIALIZED (
+    SELECT w, {_bytes("w")} AS b FROM (SELECT DISTINCT w FROM words)
+), hashed AS MATERIALIZED (
+    SELECT w, {_crc32("b")} % 10000 AS bucket FROM different, crc_table
+), counted AS MATERIALIZED (
+    SELECT bucket, count(*) FILTER (WHERE target = 0) AS s, count(*) FILTER (WHERE target = 1) AS t
+    FROM words JOIN hashed USING (w) GROUP BY bucket
+), totals AS (
+    SELECT coalesce(sum(s), 0)::DOUBLE AS all_s, coalesce(sum(t), 0)::DOUBLE AS all_t FROM counted
+), gains AS MATERIALIZED (
+    SELECT bucket, floor(1000 * ln((t + 1.0::DOUBLE) * (all_s + 10000) / ((s + 1.0::DOUBLE) * (all_t + 10000))))::BIGINT AS gain
+    FROM counted, totals
+), weights AS (
+    SELECT id AS doc_id, count(*)::BIGINT AS n, sum(gain)::BIGINT AS weight
+    FROM words JOIN hashed USING (w) JOIN gains USING (bucket) WHERE target = 0 GROUP BY id
+), scored AS MATERIALIZED (
+    SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+           coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('2024:' || doc_id)[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+    FROM documents LEFT JOIN weights USING (doc_id)
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+           count(*) OVER (PARTITION BY n_features >= 20) AS eligible
+    FROM scored
+)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN n_features >= 20 AND place <= 10 * eligible // 100 THEN place END AS rank
+FROM placed
+"""
+
+
+def _value(column: str) -> str:
+    text = f"CAST({column} AS VARCHAR)"
+    return f"coalesce(strlen({text}) || ':' || {text}, '-')"
+
+
+def _merkle(tree: str, levels: int) -> str:
+    """CTEs of a forest from ``{tree}0`` (k, i, h): its levels, each node with its siblings left and right."""
+    parts = []
+    for level in range(levels):
+        below = f"{tree}{level}"
+        parts.append(
+            f"""{below}s AS MATERIALIZED (
+    SELECT x.k, x.i, x.h, max(x.n) AS n, coalesce(string_agg(y.h, '' ORDER BY y.i) FILTER (WHERE y.i < x.i), '') AS l,
+           coalesce(string_agg(y.h, '' ORDER BY y.i) FILTER (WHERE y.i > x.i), '') AS r
+    FROM (SELECT *, count(*) OVER (PARTITION BY k) AS n FROM {below}) x
+    JOIN {below} y ON x.k IS NOT DISTINCT FROM y.k AND x.i // 16 = y.i // 16
+    GROUP BY x.k, x.i, x.h
+), {tree}{level + 1} AS MATERIALIZED (
+    SELECT k, i // 16 AS i, CASE WHEN max(n) = 1 THEN max(h) ELSE sha256(string_agg(h, '' ORDER BY i)) END AS h
+    FROM {below}s GROUP BY k, i // 16
+)"""
+        )
+    return ", ".join(parts)
+
+
+# Levels of the SQL twin: keys of up to 16 ** 5 rows, up to 16 ** 3 keys.
+LEAF_LEVELS, KEY_LEVELS = 5, 3
+
+
+def _manifest() -> str:
+    tampered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    others = "||".join(_value(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    joins, proof, folded = "", [], "changed"
+    for tree, levels, key, place in (("a", LEAF_LEVELS, "d.source", "d.i"), ("b", KEY_LEVELS, "0", "d.key_place")):
+        for level in range(levels):
+            s = f"{tree}{level}s"
+            joins += f"\nJOIN {s} ON {s}.k IS NOT DISTINCT FROM {key} AND {s}.i = {place} // {16**level}"
+            proof.append(f"CASE WHEN {s}.n > 1 THEN {s}.l || {s}.r ELSE '' END")
+            folded = f"CASE WHEN {s}.n > 1 THEN sha256({s}.l || {folded} || {s}.r) ELSE {folded} END"
+    return f"""
+WITH {CRC_TABLE}, leaves AS MATERIALIZED (
+    SELECT doc_id, source, sha256({others} || {_value("text")}) AS leaf,
+           CASE WHEN {_crc32(_bytes("CAST(doc_id AS VARCHAR)"))} % 5 = 0 THEN sha256({others} || {_value(tampered)}) END AS tampered,
+           row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST) - 1 AS i
+    FROM documents, crc_table
+), a0 AS (SELECT source AS k, i, leaf AS h FROM leaves), {_merkle("a", LEAF_LEVELS)},
+keys AS MATERIALIZED (
+    SELECT k AS source, h AS subroot, row_number() OVER (ORDER BY encode(k) NULLS FIRST) - 1 AS key_place FROM a{LEAF_LEVELS}
+), b0 AS (SELECT 0 AS k, key_place AS i, subroot AS h FROM keys), {_merkle("b", KEY_LEVELS)},
+d AS (
+    SELECT leaves.*, subroot, key_place, coalesce(tampered, leaf) AS changed
+    FROM leaves JOIN keys ON leaves.source IS NOT DISTINCT FROM keys.source
+), folded AS (
+    SELECT doc_id, leaf, subroot, b{KEY_LEVELS}.h AS root, sha256({" || ".join(proof)}) AS proof_sha256, {folded} AS folded_root
+    FROM d {joins}
+    JOIN b{KEY_LEVELS} ON true
+)
+SELECT *, folded_root = root AS verified FROM folded
+"""
+
+
+MANIFEST = _manifest()

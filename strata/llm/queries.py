@@ -104,8 +104,8 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text")))
-    ids, text = F.col(f"{PREFIX}ids"), F.col(f"{PREFIX}decoded")
+    coded = bpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    ids, text = F.col(f"{PREFIX}coded.ids"), F.col(f"{PREFIX}coded.text")
     return coded.select(
         "doc_id",
         F.floor(F.octet_length(ids) / 4).cast("long").alias("n_tokens"),

@@ -33,6 +33,8 @@ ORACLE: dict[str, str] = {
     "op3_quality": oracle.QUALITY,
     "op7_minhash": oracle.NEAR_DUPLICATES,
     "op9_line_dedup": oracle.LINE_DEDUP,
+    "op12_importance": oracle.IMPORTANCE,
+    "op13_manifest": oracle.MANIFEST,
 }
 
 
