@@ -10,7 +10,8 @@ class Settings:
     """Settings of a medallion run and of retrieval.
 
     ``broadcast_bytes`` bounds what may be sent whole to every task; anything
-    measured larger takes the shuffled way instead.
+    measured larger takes the shuffled way instead. ``bucket_bytes`` and ``task_bytes``
+    bound the buckets of silver and index and the tasks that write them.
     """
 
     source_name: str = "kafka_ingestion_boundary"
@@ -29,6 +30,8 @@ class Settings:
     bm25_epsilon: float = 0.25
     embedding_dim: int = 64
     broadcast_bytes: int = 64 * 1024 * 1024
+    bucket_bytes: int = 256 * 1024 * 1024  # of silver and index, on disk; more of them are split
+    task_bytes: int = 256 * 1024 * 1024  # in memory, written by one task
     kafka_bootstrap: str = "localhost:9092"
     kafka_raw_topic: str = "raw-events"
     kafka_dlq_topic: str = "quarantine-dlq"

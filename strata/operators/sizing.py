@@ -21,10 +21,14 @@ def _value_bytes(name: str, dtype: T.DataType) -> Column:
     return F.coalesce(size, F.lit(0)).cast("long") + FIXED_BYTES
 
 
+def row_bytes(df: DataFrame) -> Column:
+    """An upper estimate of a row's size in memory."""
+    return sum((_value_bytes(f.name, f.dataType) for f in df.schema.fields), F.lit(ROW_OVERHEAD).cast("long"))
+
+
 def measured_bytes(df: DataFrame) -> int:
     """An upper estimate of the rows' size in memory; one aggregate job."""
-    row = sum((_value_bytes(f.name, f.dataType) for f in df.schema.fields), F.lit(ROW_OVERHEAD))
-    return df.agg(F.coalesce(F.sum(row), F.lit(0)).alias("n")).first()["n"]
+    return df.agg(F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("n")).first()["n"]
 
 
 def fits(df: DataFrame, limit: int) -> bool:

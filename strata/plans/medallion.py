@@ -70,7 +70,8 @@ def load_silver(spark, contract: Contract, layout: Layout, batch_id: int, settin
     folder = layout.at("staging", f"batch={batch_id}")
     staged.write.mode("overwrite").parquet(folder)
     merge_silver(
-        spark.read.parquet(folder), layout.at("silver"), settings.business_key, settings.broadcast_bytes, ROW_ORDER
+        spark.read.parquet(folder), layout.at("silver"), settings.business_key, settings.broadcast_bytes, ROW_ORDER,
+        bucket_bytes=settings.bucket_bytes, task_bytes=settings.task_bytes,
     )
 
 

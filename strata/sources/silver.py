@@ -7,10 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from strata.operators.merge import upsert
+from strata.operators.sizing import row_bytes
 from strata.session import delta_available
-from strata.sources.versions import fresh_folder, publish, published
+from strata.sources.buckets import PACKED, address, bytes_by_bucket, laid_out, split, wanted
+from strata.sources.versions import ConcurrentWriteError, fresh_folder, publish, published
 
-BUCKETS = 16  # of a new table; a large one wants as many as keep a bucket at some hundred MB
+BUCKETS = 16  # of a new table; more once their bytes ask for it
+RETRIES = 8  # of a merge whose version somebody else published first
 
 
 def _table(spark: SparkSession, root: str, manifest: dict, buckets: Sequence[str]) -> DataFrame:
@@ -39,32 +42,89 @@ def merge_silver(
     broadcast_bytes: int = 64 << 20,
     order_by: Sequence[str] = (),
     buckets: int = BUCKETS,
+    bucket_bytes: int = 256 << 20,
+    task_bytes: int = 256 << 20,
 ) -> None:
     """Merge staged rows (unique keys, a stored table) into the table; the first run creates it.
 
     Only the buckets that the rows fall into are read and written anew; the
-    others keep their files. ``order_by``: see ``upsert``.
+    others keep their files. ``order_by``: see ``upsert``. ``buckets`` is the least
+    number of them; once they hold more than ``bucket_bytes`` on disk on average they
+    are split, one after the other. A task writes about ``task_bytes`` (in memory),
+    a bucket of more is written by several.
+
+    A writer that finds its version taken keeps its files where the other one wrote
+    other buckets, and merges again where the other one wrote one of its own.
     """
     spark = staged.sparkSession
     if delta_available():
         _merge_delta(staged, root, key, order_by)
         return
-    version, manifest = published(spark, root)
-    n = manifest["buckets"] if manifest else buckets
-    folders = dict(manifest["folders"]) if manifest else {}
-    bucket = F.pmod(F.xxhash64(key), F.lit(n)).cast("int").alias("_bucket")
-    touched = sorted(str(r["_bucket"]) for r in staged.select(bucket).distinct().collect())  # at most n
+    done: tuple[dict, dict] | None = None  # the manifest merged with, and what became of it
+    for attempt in range(RETRIES):
+        version, manifest = published(spark, root)
+        if done is None or not _untouched(done, manifest):
+            done = manifest or {}, _merged_buckets(staged, root, key, manifest, version + 1, broadcast_bytes, order_by, buckets, bucket_bytes, task_bytes)
+        try:
+            publish(spark, root, version + 1, _with_buckets(manifest, done[1]))
+            return
+        except ConcurrentWriteError:
+            if attempt == RETRIES - 1:
+                raise
+
+
+def _untouched(done: tuple[dict, dict], now: dict | None) -> bool:
+    """Whether the buckets that were merged are still those that were read."""
+    before, change = done
+    if now is None:
+        return not before
+    if not before or now["buckets"] != before["buckets"]:
+        return False
+    return all(now["folders"].get(b) == before["folders"].get(b) for b in {*change["read"], *change["written"]})
+
+
+def _with_buckets(manifest: dict | None, change: dict) -> dict:
+    """The manifest with the merged buckets in the place of those that were read."""
+    kept = {part: {b: v for b, v in (manifest or {}).get(part, {}).items() if b not in change["read"]} for part in ("folders", "bytes")}
+    return {
+        "buckets": change["buckets"],
+        "schema": change["schema"],
+        "folders": kept["folders"] | dict.fromkeys(change["written"], change["folder"]),
+        "bytes": kept["bytes"] | change["written"],
+    }
+
+
+def _merged_buckets(
+    staged, root, key, manifest, version, broadcast_bytes, order_by, buckets, bucket_bytes, task_bytes
+) -> dict:
+    """Write the buckets that the rows fall into, and those that are split; what was read and written."""
+    spark = staged.sparkSession
+    old_n = manifest["buckets"] if manifest else max(1, buckets)
+    held = {int(b): size for b, size in (manifest or {}).get("bytes", {}).items()}
+    sized = staged.select(address(key, old_n).alias("b"), row_bytes(staged).alias("n")).groupBy("b").agg(F.sum("n").alias("n"))
+    incoming = {r["b"]: r["n"] for r in sized.collect()}  # at most a row a bucket
+    n = wanted(old_n, sum(held.values()) + sum(incoming.values()) // PACKED, bucket_bytes)
+    moved = split(old_n, n)
+    read = {*incoming, *(moved if manifest else ())}
     merged = staged
     if manifest:
-        there = _table(spark, root, manifest, [b for b in touched if b in folders])
+        there = _table(spark, root, manifest, sorted(str(b) for b in read if str(b) in manifest["folders"]))
         merged = upsert(there, staged, key, broadcast_bytes, order_by)
-    folder = fresh_folder(version + 1)
-    if touched:
-        merged.withColumn("_bucket", bucket).repartition("_bucket").write.partitionBy("_bucket").parquet(f"{root}/{folder}")
-    schema = manifest["schema"] if manifest else staged.schema.jsonValue()
-    publish(
-        spark, root, version + 1, {"buckets": n, "schema": schema, "folders": folders | dict.fromkeys(touched, folder)}
-    )
+    sizes: dict[int, int] = {}
+    for b in read:
+        parts = [b, *moved.get(b, ())]
+        sizes |= dict.fromkeys(parts, (held.get(b, 0) * PACKED + incoming.get(b, 0)) // len(parts) + 1)
+    folder = fresh_folder(version)
+    if read:
+        written = laid_out(merged, n, sizes, task_bytes, key, key).drop("_share")
+        written.write.partitionBy("_bucket").parquet(f"{root}/{folder}")
+    return {
+        "buckets": n,
+        "schema": manifest["schema"] if manifest else staged.schema.jsonValue(),
+        "folder": folder,
+        "read": {str(b) for b in read},
+        "written": {str(b): size for b, size in bytes_by_bucket(spark, f"{root}/{folder}").items()},
+    }
 
 
 def _merge_delta(staged: DataFrame, root: str, key: str, order_by: Sequence[str]) -> None:

@@ -63,7 +63,8 @@ def stream_silver(
         rows = standardize(with_audit(valid, settings.source_name)).withColumn("_batch_id", F.lit(batch_id).cast("long"))
         folder = f"{staging}/rows/batch_id={batch_id}"
         dedup_latest(rows, settings.business_key, ROW_ORDER).write.mode("overwrite").parquet(folder)
-        merge_silver(spark.read.parquet(folder), silver, settings.business_key, settings.broadcast_bytes, ROW_ORDER)
+        merge_silver(spark.read.parquet(folder), silver, settings.business_key, settings.broadcast_bytes, ROW_ORDER,
+                     bucket_bytes=settings.bucket_bytes, task_bytes=settings.task_bytes)
 
     return _drain(events, merge, checkpoint)
 
