@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, functions as F
 
 # Fixed value: runs of Unicode whitespace and the four separator controls, which
@@ -28,6 +30,12 @@ def first_line(text: Column) -> Column:
     return F.substring_index(text, "\n", 1)
 
 
+def one_of(column: str, values: Sequence[str]) -> Column:
+    """Whether a text column has one of many values; one parsed expression, as a Column for each takes a call each."""
+    quoted = ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values)
+    return F.expr(f"{column} IN ({quoted})") if values else F.lit(False)
+
+
 def word_count(text: Column) -> Column:
     return F.size(tokens(text))
 

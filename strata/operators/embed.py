@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from strata.functions.text import tokens
@@ -35,26 +36,27 @@ def hashing_embedder(dim: int = 64) -> Embedder:
     """Term counts hashed into ``dim`` buckets, scaled to unit length.
 
     A token's bucket is the first 32 bits of its MD5 modulo ``dim``; a text
-    without tokens gets the zero vector. Needs no model, no fitted state and no
-    Python worker.
+    without tokens gets the zero vector. The JVM hashes each token once, an Arrow
+    batch is counted by one ``bincount``; no model and no fitted state.
     """
 
+    @F.arrow_udf("array<float>")
+    def unit(buckets: pa.Array) -> pa.Array:
+        lists = buckets.combine_chunks() if isinstance(buckets, pa.ChunkedArray) else buckets
+        n = len(lists)
+        rows = np.repeat(np.arange(n), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+        cells = rows * dim + lists.flatten().to_numpy(zero_copy_only=False)
+        counts = np.bincount(cells, minlength=n * dim).reshape(n, dim).astype(np.float64)
+        norms = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
+        values = np.divide(counts, norms, out=np.zeros_like(counts), where=norms > 0).astype(np.float32)
+        return pa.ListArray.from_arrays(pa.array(np.arange(0, n * dim + 1, dim), pa.int32()), pa.array(values.ravel()))
+
     def embed(text: Column) -> Column:
-        buckets = F.transform(
-            tokens(text), lambda t: F.pmod(F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("bigint"), F.lit(dim))
+        return unit(
+            F.transform(
+                tokens(text), lambda t: F.pmod(F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("bigint"), F.lit(dim)).cast("int")
+            )
         )
-        every = F.sequence(F.lit(0).cast("bigint"), F.lit(dim - 1).cast("bigint"))
-
-        def counts(found: Column) -> Column:
-            return F.transform(every, lambda d: (F.size(found) - F.size(F.array_remove(found, d))).cast("double"))
-
-        def unit(vector: Column) -> Column:
-            norm = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda acc, x: acc + x * x))
-            return F.transform(F.array(norm), lambda n: F.transform(vector, lambda x: F.when(n > 0, x / n).otherwise(0.0)))
-
-        # one-element arrays bind a value, so that it is computed once and not for each element
-        found = F.get(F.transform(F.array(F.coalesce(buckets, F.array().cast("array<bigint>"))), counts), F.lit(0))
-        return F.get(F.get(F.transform(F.array(found), unit), F.lit(0)), F.lit(0)).cast("array<float>")
 
     return embed
 

@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from strata.functions.text import distinct_matches, tokens
+from strata.functions.text import distinct_matches, one_of, tokens
 from strata.operators.chunks import ORDER
+from strata.operators.sizing import broadcast_if_small
+from strata.sources.buckets import address
 
-HIT_BYTES = 256  # upper estimate of one hit row without its text
+LOOKED_UP = 5_000  # chunks that are sought by a filter
 
 
 def rrf_fuse(dense: DataFrame, lexical: DataFrame, rrf_k: int = 60, k: int = 5) -> DataFrame:
@@ -43,31 +45,32 @@ def rrf_fuse(dense: DataFrame, lexical: DataFrame, rrf_k: int = 60, k: int = 5)
     ).where(F.col("rank") <= k)
 
 
-def bucket_of(buckets: int) -> Column:
-    """The bucket of a chunk, by its document."""
-    return F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int")
+PAYLOAD = ("title", "author", "category", "text", "citation_label")
 
 
-def with_payload(
-    hits: DataFrame,
-    queries: DataFrame,
-    chunks: DataFrame,
-    rows: int,
-    broadcast_bytes: int = 64 << 20,
-    buckets: int | None = None,
-) -> DataFrame:
-    """Hits with their query text and chunk columns; a hit without its chunk is dropped.
+def looked_up(chunks: DataFrame, hits: DataFrame, buckets: int | None, broadcast_bytes: int = 64 << 20) -> DataFrame:
+    """The chunks that ``hits`` (a stored table) name, read by their keys.
 
-    ``rows`` bounds the hits (queries times k). Within the byte limit the hits, of
-    fixed width, are broadcast to the chunk scan; the query texts, of any
-    length, are joined to what comes out of it. Where the chunks lie in ``buckets``
-    (partition column ``_bucket``), the scan skips those without a hit.
+    Up to ``LOOKED_UP`` distinct chunks become a filter: the scan opens the files of
+    their buckets only, and in these the row groups whose bounds and Bloom filter
+    have one of the ids. What is read grows with the hits, not with the index. More
+    hits are joined, by broadcast if they are measured to be small.
     """
-    keys = ["chunk_id"] if buckets is None else ["_bucket", "chunk_id"]
-    wanted = hits if buckets is None else hits.withColumn("_bucket", bucket_of(buckets))
-    wanted = F.broadcast(wanted) if rows * HIT_BYTES <= broadcast_bytes else wanted
-    payload = chunks.select(*keys, "title", "author", "category", "text", "citation_label")
-    found = payload.join(wanted, keys).select(*[c for c in payload.columns if c != "_bucket"], *[c for c in hits.columns if c != "chunk_id"])
+    at = address("doc_id", buckets) if buckets else F.lit(0)
+    keys = hits.select("chunk_id", at.alias("_bucket")).distinct()
+    few = keys.limit(LOOKED_UP + 1).collect()
+    payload = chunks if buckets else chunks.withColumn("_bucket", F.lit(0))
+    if len(few) <= LOOKED_UP:
+        held = F.col("_bucket").isin(sorted({r["_bucket"] for r in few}))
+        found = payload.where(held & one_of("chunk_id", sorted({r["chunk_id"] for r in few})))
+    else:
+        found = payload.join(broadcast_if_small(keys, broadcast_bytes), ["_bucket", "chunk_id"], "left_semi")
+    return found.select("chunk_id", *PAYLOAD)
+
+
+def with_payload(hits: DataFrame, queries: DataFrame, payload: DataFrame) -> DataFrame:
+    """Hits with their query text and chunk columns; a hit without its chunk is dropped."""
+    found = payload.join(hits, "chunk_id").select("chunk_id", *PAYLOAD, *[c for c in hits.columns if c != "chunk_id"])
     return found.join(queries.select("query_id", "query"), "query_id")
 
 

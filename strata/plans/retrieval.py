@@ -9,47 +9,46 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from strata.config import Settings
-from strata.operators.bm25 import (
-    Bm25Stats,
-    bm25_topk,
-    corpus_size,
-    corpus_stats,
-    with_tokens,
-)
+from strata.operators.bm25 import Bm25Stats, corpus_stats, with_tokens
 from strata.operators.dense import dense_topk
 from strata.operators.embed import Embedder, embed_column, hashing_embedder
-from strata.operators.fusion import bucket_of, rerank_keyword, rerank_model, rrf_fuse, with_keyword_score, with_payload
-from strata.operators.sizing import broadcast_if_small
+from strata.operators.fusion import looked_up, rerank_keyword, rerank_model, rrf_fuse, with_keyword_score, with_payload
+from strata.operators.postings import POSTINGS, is_size, postings, postings_topk, sizes_of, with_places
+from strata.operators.sizing import broadcast_if_small, row_bytes
+from strata.session import work_path
+from strata.sources.buckets import PACKED, address, bytes_by_bucket, laid_out, split, wanted
 from strata.sources.versions import fresh_folder, publish, published
 
-
-INDEX_BUCKETS = 16  # of a new index; a large one wants as many as keep a bucket at some hundred MB
+INDEX_BUCKETS = 16  # of a new index; more once their bytes ask for it
+TERM_RUNS = 8  # of signed term counts; more are added up into one
+# Row groups of the files that are looked into by key, with a Bloom filter of the key.
+BLOOM_KEYS = 50_000  # of a row group
+POINT_READ = {"parquet.block.size": str(4 << 20), "parquet.page.size": str(256 << 10)}
 
 
 @dataclass(frozen=True)
 class Index:
-    """One version of a written index: chunks with tokens and vectors, term counts, scalars.
+    """One version of a written index: chunks with tokens and vectors, postings, term counts, scalars.
 
     Its files are never overwritten, so an open index stays readable while a later
     version is written.
     """
 
     chunks: DataFrame
+    postings: DataFrame
     frequencies: DataFrame
     stats: Bm25Stats
     embedder: Embedder
     path: str = ""
     version: int = 0
     buckets: int | None = None
-
-
-def _bucket(buckets: int) -> Column:
-    return bucket_of(buckets).alias("_bucket")
+    segments: int = 0
 
 
 def _read_parts(spark: SparkSession, path: str, parts: dict, table: str, schema: T.StructType) -> DataFrame:
-    """The rows of some buckets, with the bucket as a partition column that joins can prune by."""
-    whole = T.StructType([*schema.fields, T.StructField("_bucket", T.IntegerType())])
+    """The rows of some buckets, with the bucket as a partition column that filters and joins can prune by."""
+    fields = [f for f in schema.fields if f.name != "_bucket"]
+    whole = T.StructType([*fields, T.StructField("_bucket", T.IntegerType())])
     by_folder: dict[str, list[str]] = {}
     for b, part in sorted(parts.items()):
         root = f"{path}/{part['folder']}/{table}"
@@ -58,48 +57,85 @@ def _read_parts(spark: SparkSession, path: str, parts: dict, table: str, schema:
     return reduce(DataFrame.unionByName, reads) if reads else spark.createDataFrame([], whole)
 
 
+def _bloomed(df: DataFrame, column: str, path: str) -> None:
+    writer = df.write.partitionBy("_bucket").options(**POINT_READ)
+    writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+    writer.option(f"parquet.bloom.filter.expected.ndv#{column}", str(BLOOM_KEYS)).parquet(path)
+
+
+def _frequencies(spark: SparkSession, path: str, runs: list[str]) -> DataFrame:
+    """(term, df): the sum of the signed counts of all runs."""
+    reads = [spark.read.schema("term string, df bigint").parquet(f"{path}/{run}") for run in runs]
+    if len(reads) == 1:
+        return reads[0]
+    every = reduce(DataFrame.unionByName, reads)
+    return every.groupBy("term").agg(F.sum("df").alias("df")).where("df > 0")
+
+
 def _publish(
-    rows: DataFrame, path: str, version: int, buckets: int, kept: dict, replaced: list[str], settings: Settings
+    rows: DataFrame, path: str, version: int, manifest: dict | None, read: set[int], n: int, sizes: dict[int, int], settings: Settings
 ) -> None:
-    """Write the rows of some buckets, count their terms, and publish them with the buckets that stay.
+    """Write the rows of some buckets with their postings, and publish them with the buckets that stay.
 
-    Only vocabulary-sized work is done for the buckets that stay: their term counts
-    are added up anew.
+    The counts of the terms are a run of differences: those of the written buckets less
+    those of the buckets that were read. A batch so writes terms in proportion to itself.
     """
     spark = rows.sparkSession
     folder = fresh_folder(version)
-    stored = rows.withColumn("_bucket", _bucket(buckets)).repartition(buckets, "_bucket")
-    stored.write.partitionBy("_bucket").parquet(f"{path}/{folder}/chunks")
-    schema = T.StructType([*rows.schema.fields, T.StructField("_bucket", T.IntegerType())])
-    written = spark.read.schema(schema).parquet(f"{path}/{folder}/chunks")
-    terms = written.select("_bucket", F.explode(F.array_distinct("tokens")).alias("term"))
-    terms.groupBy("_bucket", "term").agg(F.count(F.lit(1)).alias("df")).write.partitionBy("_bucket").parquet(
-        f"{path}/{folder}/terms"
-    )
-    sizes = written.groupBy("_bucket").agg(*corpus_size()).collect()  # a row a bucket
-    parts = {b: part for b, part in kept.items() if b not in replaced}
-    parts |= {
-        str(r["_bucket"]): {"folder": folder, "chunks": r["chunks"], "tokens": r["tokens"] or 0} for r in sizes
-    }
-    with_terms = {b: part for b, part in parts.items() if part["tokens"]}
-    every = _read_parts(spark, path, with_terms, "terms", T.StructType.fromDDL("term string, df bigint"))
-    every.groupBy("term").agg(F.sum("df").alias("df")).write.parquet(f"{path}/{folder}/vocabulary")
-    size = {"chunks": sum(p["chunks"] for p in parts.values()), "tokens": sum(p["tokens"] for p in parts.values())}
-    stats = corpus_stats(size, spark.read.schema("term string, df bigint").parquet(f"{path}/{folder}/vocabulary"), settings.bm25_epsilon)
+    root = f"{path}/{folder}"
+    stored = with_places(laid_out(rows, n, sizes, settings.task_bytes, "doc_id", "chunk_id"))
+    _bloomed(stored, "chunk_id", f"{root}/chunks")
+    schema = T.StructType([f for f in stored.schema.fields if f.name != "_bucket"])
+    chunk_bytes = bytes_by_bucket(spark, f"{root}/chunks")
+    chunks = _read_parts(spark, path, {str(b): {"folder": folder} for b in chunk_bytes}, "chunks", schema)
+    found = postings(chunks).sortWithinPartitions("_bucket", "term")  # where the chunks are read: no shuffle
+    _bloomed(found, "term", f"{root}/postings")
+
+    post_schema = T.StructType.fromDDL(POSTINGS)
+    written = {str(b): {"folder": folder} for b in chunk_bytes}
+    now = _read_parts(spark, path, written, "postings", post_schema)
+    gone = {b: part for b, part in (manifest or {}).get("parts", {}).items() if int(b) in read}
+    totals = sizes_of(now).groupBy("_bucket").agg(
+        F.sum("df").alias("chunks"), F.sum("tokens").alias("tokens"),
+        F.count_distinct("_share", "_segment").alias("segments"),
+    )
+    for r in totals.collect():  # a row a bucket
+        b = str(r["_bucket"])
+        written[b] |= {"chunks": r["chunks"], "tokens": r["tokens"] or 0, "segments": r["segments"], "bytes": chunk_bytes[int(b)]}
+    counted = now.where(~is_size()).select("term", F.col("df").cast("long").alias("df"))
+    if gone:
+        before = _read_parts(spark, path, gone, "postings", post_schema).where(~is_size())
+        counted = counted.unionByName(before.select("term", (-F.col("df").cast("long")).alias("df")))
+    run = counted.groupBy("term").agg(F.sum("df").alias("df")).where("df <> 0")
+    run.sortWithinPartitions("term").write.options(**POINT_READ).parquet(f"{root}/terms")
+    runs = [*(manifest or {}).get("terms", []), f"{folder}/terms"]
+    if len(runs) > TERM_RUNS:
+        _frequencies(spark, path, runs).sortWithinPartitions("term").write.options(**POINT_READ).parquet(f"{root}/all-terms")
+        runs = [f"{folder}/all-terms"]
+    parts = {b: part for b, part in (manifest or {}).get("parts", {}).items() if b not in gone} | written
+    size = {key: sum(p[key] for p in parts.values()) for key in ("chunks", "tokens", "segments")}
+    stats = corpus_stats(size, _frequencies(spark, path, runs), settings.bm25_epsilon)
     publish(
         spark,
         path,
         version,
         {
-            "buckets": buckets,
+            "buckets": n,
             "parts": parts,
-            "vocabulary": f"{folder}/vocabulary",
+            "terms": runs,
+            "segments": size["segments"],
             "stats": stats.__dict__,
-            "schema": rows.schema.jsonValue(),
+            "schema": schema.jsonValue(),
         },
     )
 
 
+def _sizes(rows: DataFrame, n: int) -> dict[int, int]:
+    """Bytes in memory of the rows of each bucket."""
+    sized = rows.select(address("doc_id", n).alias("b"), row_bytes(rows).alias("n")).groupBy("b").agg(F.sum("n").alias("n"))
+    return {r["b"]: r["n"] for r in sized.collect()}  # a row a bucket
+
+
 def build_index(
     chunks: DataFrame, path: str, settings: Settings = Settings(), embedder: Embedder | None = None,
     buckets: int = INDEX_BUCKETS,
@@ -107,13 +143,18 @@ def build_index(
     """Tokenise and embed every chunk once, and publish the tables queries read.
 
     Chunks lie in buckets by a hash of their document, so that a later batch
-    rewrites only the buckets its documents fall into. Columnar storage lets BM25
-    read only the tokens and dense search only the vectors.
+    rewrites only the buckets its documents fall into. Columnar storage lets dense
+    search read only the vectors; BM25 reads the postings of its terms. ``buckets``
+    is the least number of them.
     """
     embedder = embedder or hashing_embedder(settings.embedding_dim)
     spark = chunks.sparkSession
     version, _ = published(spark, path)
-    _publish(embed_column(with_tokens(chunks), embedder), path, version + 1, buckets, {}, [], settings)
+    sizes = _sizes(chunks, buckets)
+    n = wanted(buckets, sum(sizes.values()) // PACKED, settings.bucket_bytes)
+    if n != buckets:
+        sizes = _sizes(chunks, n)
+    _publish(embed_column(with_tokens(chunks), embedder), path, version + 1, None, set(), n, sizes, settings)
     return open_index(spark, path, settings, embedder)
 
 
@@ -124,22 +165,34 @@ def refresh_index(
 
     ``doc_ids`` (one column, ``doc_id``) names every document that changed or went;
     ``chunks`` holds the chunks of those that are still there. Only these are
-    tokenised and embedded, and only their buckets are written.
+    tokenised and embedded, and only their buckets, and those that are split as the
+    index has grown, are written.
     """
     embedder = embedder or hashing_embedder(settings.embedding_dim)
     spark = chunks.sparkSession
     version, manifest = published(spark, path)
     if manifest is None:
         return build_index(chunks, path, settings, embedder)
-    touched = sorted(str(r["_bucket"]) for r in doc_ids.select(_bucket(manifest["buckets"])).distinct().collect())
+    old_n = manifest["buckets"]
+    touched = {r["b"] for r in doc_ids.select(address("doc_id", old_n).alias("b")).distinct().collect()}
     if not touched:
         return open_index(spark, path, settings, embedder)
+    incoming = _sizes(chunks, old_n)
+    held = {int(b): part["bytes"] for b, part in manifest["parts"].items()}
+    n = wanted(old_n, sum(held.values()) + sum(incoming.values()) // PACKED, settings.bucket_bytes)
+    moved = split(old_n, n)
+    read = touched | set(incoming) | set(moved)
+    sizes: dict[int, int] = {}
+    for b in read:
+        parts = [b, *moved.get(b, ())]
+        sizes |= dict.fromkeys(parts, (held.get(b, 0) * PACKED + incoming.get(b, 0)) // len(parts) + 1)
     schema = T.StructType.fromJson(manifest["schema"])
-    there = {b: part for b, part in manifest["parts"].items() if b in touched}
+    names = [f.name for f in schema.fields if f.name not in ("_share", "_place")]
+    there = {b: part for b, part in manifest["parts"].items() if int(b) in read}
     changed = broadcast_if_small(doc_ids.select("doc_id").distinct(), settings.broadcast_bytes)
-    stay = _read_parts(spark, path, there, "chunks", schema).join(changed, "doc_id", "left_anti").select(*schema.names)
-    rows = stay.unionByName(embed_column(with_tokens(chunks), embedder).select(*schema.names))
-    _publish(rows, path, version + 1, manifest["buckets"], manifest["parts"], touched, settings)
+    stay = _read_parts(spark, path, there, "chunks", schema).join(changed, "doc_id", "left_anti").select(*names)
+    rows = stay.unionByName(embed_column(with_tokens(chunks), embedder).select(*names))
+    _publish(rows, path, version + 1, manifest, read, n, sizes, settings)
     return open_index(spark, path, settings, embedder)
 
 
@@ -152,12 +205,14 @@ def open_index(
         raise FileNotFoundError(f"no index was published under {path}")
     return Index(
         _read_parts(spark, path, manifest["parts"], "chunks", T.StructType.fromJson(manifest["schema"])),
-        spark.read.schema("term string, df bigint").parquet(f"{path}/{manifest['vocabulary']}"),
+        _read_parts(spark, path, manifest["parts"], "postings", T.StructType.fromDDL(POSTINGS)),
+        _frequencies(spark, path, manifest["terms"]),
         Bm25Stats(**manifest["stats"]),
         embedder or hashing_embedder(settings.embedding_dim),
         path,
         version,
         manifest["buckets"],
+        manifest["segments"],
     )
 
 
@@ -167,11 +222,13 @@ def search_dense(index: Index, queries: DataFrame, settings: Settings = Settings
 
 
 def search_bm25(index: Index, queries: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    return bm25_topk(
+    return postings_topk(
+        index.postings,
         index.chunks,
         queries,
         index.frequencies,
         index.stats,
+        index.segments,
         settings.bm25_k,
         settings.bm25_k1,
         settings.bm25_b,
@@ -180,13 +237,18 @@ def search_bm25(index: Index, queries: DataFrame, settings: Settings = Settings(
 
 
 def fused_candidates(index: Index, queries: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Dense and BM25 hits fused, with the chunk columns; ``fused_count`` per query."""
+    """Dense and BM25 hits fused, with the chunk columns; ``fused_count`` per query.
+
+    The fused hits are written once; their keys then look up the chunks.
+    """
     dense = search_dense(index, queries, settings)
     lexical = search_bm25(index, queries, settings)
     fused = rrf_fuse(dense, lexical, settings.rrf_k, settings.fused_k)
     counted = fused.withColumn("fused_count", F.count(F.lit(1)).over(Window.partitionBy("query_id")))
-    bound = queries.count() * settings.fused_k
-    return with_payload(counted, queries, index.chunks, bound, settings.broadcast_bytes, index.buckets)
+    path = work_path(queries.sparkSession, "fused")
+    counted.write.parquet(path)
+    hits = queries.sparkSession.read.schema(counted.schema).parquet(path)
+    return with_payload(hits, queries, looked_up(index.chunks, hits, index.buckets, settings.broadcast_bytes))
 
 
 def hybrid_search(

@@ -23,6 +23,8 @@ RUNTIME_CONF = {
     # two groups (Spark 4.1, union of two ranked lists, then a group-by and a join).
     "spark.sql.unionOutputPartitioning": "false",
     "spark.sql.variant.allowDuplicateKeys": "true",  # the last duplicate key wins
+    # Look-ups by key compare each key with a row group's bounds, not just the least and greatest one.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "300",
 }
 
 _local_root: tempfile.TemporaryDirectory | None = None

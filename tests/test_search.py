@@ -14,7 +14,7 @@ from strata.operators.bm25 import ContainmentScorer, bm25_topk, corpus_size, cor
 from strata.operators.dense import dense_topk, first_k
 from strata.operators.embed import embed_column, hashing_embedder, model_embedder
 from strata.operators.chunks import ORDER
-from strata.operators.fusion import rerank_keyword, rerank_model, rrf_fuse, with_payload
+from strata.operators.fusion import looked_up, rerank_keyword, rerank_model, rrf_fuse, with_payload
 from strata.operators.topk import BestHits, best_rows
 from strata.plans.retrieval import (
     build_index,
@@ -310,10 +310,11 @@ def test_a_task_leaves_k_rows_a_query():
 
 def test_query_texts_are_not_broadcast(spark, index):
     queries = spark.createDataFrame([(i, "merge " * 20_000) for i in range(40)], "query_id int, query string")
-    hits_of = queries.select("query_id", F.lit("A_C0").alias("chunk_id"), F.lit(1).alias("rank"))
-    plan = with_payload(hits_of, queries, index.chunks, 40)._jdf.queryExecution().optimizedPlan().toString()
-    joins = [line for line in plan.splitlines() if "Join" in line]
-    assert len(joins) == 2 and "strategy" not in joins[0] and "strategy=broadcast" in joins[1]  # the texts' join is the outer one
+    hits_of = queries.select("query_id", F.lit("ART-101_C0").alias("chunk_id"), F.lit("ART-101").alias("doc_id"), F.lit(1).alias("rank"))
+    found = with_payload(hits_of, queries, looked_up(index.chunks, hits_of, index.buckets))
+    joins = [line for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line]
+    assert len(joins) == 2 and not any("strategy" in line for line in joins)
+    assert found.count() == 40
 
 
 def test_refresh_touches_only_its_buckets(spark, tmp_path):
@@ -346,5 +347,5 @@ def test_the_payload_scan_skips_buckets(spark, tmp_path):
     assert found.count() == 3
     plan = found._jdf.queryExecution().executedPlan().toString()
     scans = [line for line in plan.splitlines() if "FileScan parquet" in line and "citation_label" in line]
-    assert len(scans) >= 2 and all("dynamicpruning" in line for line in scans)
+    assert scans and all("_bucket" in line.split("PartitionFilters")[1] and "chunk_id" in line.split("PushedFilters")[1] for line in scans)
     assert "_bucket" not in found.columns
