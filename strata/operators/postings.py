@@ -129,6 +129,28 @@ def sizes_of(posting_rows: DataFrame) -> DataFrame:
     return posting_rows.where(is_size()).select(*PLACE, "df", "tokens")
 
 
+def _number(packed: str, at: Column) -> Column:
+    """The number at a place of a packed column."""
+    digits = F.hex(F.reverse(F.substring(packed, at * 4 + 1, 4)))
+    return F.conv(digits, 16, 10).cast("int")
+
+
+def posting_entries(posting_rows: DataFrame) -> DataFrame:
+    """(term, _bucket, _share, place, tf): a row for each chunk that has a term."""
+    at = F.explode(F.sequence(F.lit(0), F.col("df") - 1)).alias("at")
+    rows = posting_rows.select("term", *PLACE, "places", "tfs", at)
+    place = F.col("_segment") * SEGMENT + _number("places", F.col("at"))
+    return rows.select("term", "_bucket", "_share", place.alias("place"), _number("tfs", F.col("at")).alias("tf"))
+
+
+def bound_entries(posting_rows: DataFrame) -> DataFrame:
+    """(term, _bucket, _share, _segment, block, most, least): a row for each block that has a term."""
+    blocks = F.floor(F.octet_length("bounds") / 12).cast("int")
+    rows = posting_rows.select("term", *PLACE, "bounds", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("at"))
+    names = ("block", "most", "least")
+    return rows.select("term", *PLACE, *[_number("bounds", F.col("at") * 3 + i).alias(n) for i, n in enumerate(names)])
+
+
 @dataclass(frozen=True)
 class QueryTerms:
     """The terms of a block of queries: which query weighs which term how much."""

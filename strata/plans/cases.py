@@ -214,8 +214,7 @@ assert _REFRESHED != CORPUS
 TWINS["index_refresh"] = f"""WITH kept AS (
   SELECT * REPLACE (CASE WHEN lang = 'fr' THEN 'renewed text ' || text ELSE text END AS text)
   FROM documents WHERE lang <> 'es'), {_REFRESHED}
-SELECT term, df, round(idf, 9) AS idf, (SELECT n FROM scalars) AS n_chunks, (SELECT round(avgdl, 9) FROM scalars) AS avgdl
-FROM terms"""
+SELECT term, df, round(idf, 9) AS idf, n AS n_chunks, round(avgdl, 9) AS avgdl FROM terms CROSS JOIN scalars"""
 
 
 @query("quality_failing")

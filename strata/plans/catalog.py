@@ -33,6 +33,7 @@ from strata.operators.embed import embed_column
 from strata.operators.fusion import rerank_keyword, rrf_fuse
 from strata.operators.lineage import lineage_events
 from strata.operators.merge import dedup_latest, standardize, upsert
+from strata.operators.postings import bound_entries, is_size, posting_entries
 from strata.operators.quality import check_rows, summarize
 from strata.operators.sizing import measured_bytes
 from strata.operators.topk import topk_hits
@@ -506,6 +507,16 @@ def bm25_stats(spark, sf_dir):
     )
 
 
+@query("bm25_postings")
+def bm25_postings(spark, sf_dir):
+    """Of each term: chunks, occurrences, and the bounds of its blocks put together."""
+    rows = shared_index(spark, sf_dir).postings.where(~is_size())
+    entry = posting_entries(rows).groupBy("term")
+    bounds = bound_entries(rows).groupBy("term").agg(F.max("most").alias("most"), F.min("least").alias("least"))
+    counts = entry.agg(F.count(F.lit(1)).alias("df"), F.sum("tf").cast("long").alias("occurrences"))
+    return counts.join(bounds, "term")
+
+
 @query("bm25_topk")
 def bm25_top(spark, sf_dir):
     return hits(search_bm25(shared_index(spark, sf_dir), questions(spark, sf_dir)))

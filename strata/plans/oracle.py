@@ -72,12 +72,12 @@ lists AS MATERIALIZED (SELECT chunk_id, doc_id, chunk_index, {words('text')} AS
 sizes AS MATERIALIZED (SELECT chunk_id, doc_id, chunk_index, len(tokens) AS dl FROM lists),
 tf AS MATERIALIZED (SELECT chunk_id, term, count(*) AS tf FROM (SELECT chunk_id, unnest(tokens) AS term FROM lists) GROUP BY ALL),
 scalars AS MATERIALIZED (SELECT count(*) AS n, avg(dl) AS avgdl FROM sizes),
+counted AS MATERIALIZED (SELECT term, count(*) AS df FROM tf GROUP BY term),
 raw AS MATERIALIZED (
-  SELECT term, count(*) AS df, ln((SELECT n FROM scalars) - count(*) + 0.5::DOUBLE) - ln(count(*) + 0.5::DOUBLE) AS idf
-  FROM tf GROUP BY term),
+  SELECT term, df, ln(n - df + 0.5::DOUBLE) - ln(df + 0.5::DOUBLE) AS idf FROM counted CROSS JOIN scalars),
 mean AS MATERIALIZED (SELECT avg(idf) AS mean_idf FROM raw),
 terms AS (
-  SELECT term, df, CASE WHEN idf < 0 THEN 0.25::DOUBLE * (SELECT mean_idf FROM mean) ELSE idf END AS idf FROM raw),
+  SELECT term, df, CASE WHEN idf < 0 THEN 0.25::DOUBLE * mean_idf ELSE idf END AS idf FROM raw CROSS JOIN mean),
 questions AS (SELECT item_id AS query_id, text AS query FROM benchmark),
 asked AS (SELECT query_id, unnest({words('query')}) AS term FROM questions)"""
 )
@@ -336,9 +336,11 @@ UNION ALL SELECT chunk_id, title, author, category, '[Article ID: ' || doc_id ||
     "embed_chunks": f"""WITH {CORPUS} {CHUNK_VECTORS}
 SELECT chunk_id, bucket::INTEGER AS dimension, round(w, 4) AS weight FROM chunk_vectors""",
     "bm25_stats": f"""WITH {CORPUS}
-SELECT term, df, round(idf, 9) AS idf, (SELECT n FROM scalars) AS n_chunks,
-  (SELECT round(avgdl, 9) FROM scalars) AS avgdl, (SELECT round(mean_idf, 9) FROM mean) AS mean_idf
-FROM terms""",
+SELECT term, df, round(idf, 9) AS idf, n AS n_chunks, round(avgdl, 9) AS avgdl, round(mean_idf, 9) AS mean_idf
+FROM terms CROSS JOIN scalars CROSS JOIN mean""",
+    "bm25_postings": f"""WITH {CORPUS}
+SELECT term, count(*) AS df, sum(tf)::BIGINT AS occurrences, max(tf)::INTEGER AS most, min(dl)::INTEGER AS least
+FROM tf JOIN sizes USING (chunk_id) GROUP BY term""",
     "bm25_topk": BM25_TOP,
     "bm25_topk_blocks": BM25_TOP,
     "keyword_topk": "WITH " + CORPUS + KEYWORD + f" SELECT {HIT_COLUMNS} FROM keyword",
