@@ -277,6 +277,14 @@ def _confirmed(given: DataFrame, pairs: DataFrame, s: MinHashSettings) -> DataFr
     return staged(both.mapInArrow(_confirm(s), "a long, b long").distinct(), "links")
 
 
+def _ties(linkable: DataFrame, same_set: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes of one id: rows of one id are one document, whatever their texts."""
+    sets = F.struct("set1", "set2")
+    repeated = linkable.groupBy("doc_id").agg(F.min(sets).alias("low"), F.max(sets).alias("high")).where("low <> high")
+    rows = linkable.join(repeated.select("doc_id"), "doc_id", "leftsemi").join(same_set, ["set1", "set2"])
+    return rows.select(F.col("node").alias("a"), F.col("doc_id").alias("b")).where("a <> b").distinct()
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: MinHashSettings = MinHashSettings()
 ) -> DataFrame:
@@ -313,7 +321,7 @@ def near_duplicates(
         return pairs.join(b, "b").join(a, "a").where(near).select("a", "b")
 
     stars = members.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
-    links = _confirmed(given, promising(stars), s)
+    links = staged(_confirmed(given, promising(stars), s).unionByName(_ties(linkable, same_set)), "ties")
     found = staged(components(links), "components")
 
     open_rows = members.where("n > 2").join(found, "node", "left").select(

@@ -105,6 +105,7 @@ def _secret_spans(kind: str, pattern: str) -> str:
 
 _SETTINGS = secrets.SecretSettings()
 _ASSIGN = secrets.ASSIGN.replace("'", "''")
+_BASE = secrets.BASE.replace("'", "''")
 
 SECRETS = f"""
 WITH docs AS MATERIALIZED (
@@ -116,7 +117,7 @@ WITH docs AS MATERIALIZED (
     UNION ALL {_secret_spans("hex", secrets.HEX)}
 ), samples AS (
     SELECT true AS is_random, CASE WHEN kind = 'assign' THEN regexp_extract(value, '{_ASSIGN}', 2) ELSE value END AS token FROM base
-    UNION ALL SELECT false, unnest(regexp_extract_all(text, '{secrets.WORD}')) FROM docs
+    UNION ALL SELECT false, unnest(regexp_extract_all(regexp_replace(text, '{_BASE}', ' ', 'g'), '{secrets.IDENTIFIER}')) FROM docs
 ), pairs AS MATERIALIZED (
     SELECT is_random, pair[1] AS a, pair[2] AS b, count(*) AS n
     FROM (SELECT is_random, unnest([substr(' ' || token, i, 2) FOR i IN range(1, length(token) + 1)]) AS pair FROM samples)
@@ -125,11 +126,9 @@ WITH docs AS MATERIALIZED (
     SELECT is_random, a, sum(n) AS n FROM pairs GROUP BY ALL
 ), tokens AS MATERIALIZED (
     SELECT * FROM ({_secret_spans("random", secrets.TOKEN)})
-    WHERE regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]')
-      AND NOT regexp_matches(value, '{secrets.HEX}|{secrets.ACCESS}')
 ), free AS (
     SELECT * FROM tokens t WHERE NOT EXISTS (
-        SELECT 1 FROM base b WHERE b.kind = 'assign' AND b.doc_id = t.doc_id AND b.first < t.last AND b.last > t.first)
+        SELECT 1 FROM base b WHERE b.doc_id = t.doc_id AND b.first < t.last AND b.last > t.first)
 ), steps AS (
     SELECT doc_id, first, unnest([substr(' ' || value, i, 2) FOR i IN range(1, length(value) + 1)]) AS pair FROM free
 ), scored AS (

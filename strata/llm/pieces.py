@@ -186,8 +186,14 @@ class Lattices:
         weight += total[self.start]
         weight -= total[end]
         share = np.exp(weight, out=weight)
-        summed = np.cumsum(share)
-        self.cumulative = (summed - np.repeat(summed[groups] - share[groups], counts)).astype(np.float32)
+        summed = share  # within each node alone, so that the draws do not hang on the words beside it
+        more, step = np.flatnonzero(counts > 1), 1
+        while len(more):
+            at = groups[more] + step
+            summed[at] += summed[at - 1]
+            step += 1
+            more = more[counts[more] > step]
+        self.cumulative = summed.astype(np.float32)
         self.cumulative[groups + counts - 1] = 2.0  # the last edge takes what rounding leaves
 
     def sample(self, words: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -320,7 +326,7 @@ def _key(docs: DataFrame, id_col: str) -> Column:
 
 
 def encode(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", out_col: str = "pieces",
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", out_col: str = f"{PREFIX}pieces",
     settings: PieceSettings = PieceSettings(),
 ) -> DataFrame:
     """``docs`` with a column of sampled piece ids."""
@@ -345,7 +351,7 @@ def decode(pieces: Column, settings: PieceSettings = PieceSettings()) -> Column:
 def sampled_with_check(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: PieceSettings = PieceSettings()
 ) -> DataFrame:
-    """``docs`` with ``pieces`` and ``lossless``: whether decoding them gave the text again.
+    """``docs`` with ``_strata_pieces`` and ``_strata_lossless``: whether decoding them gave the text again.
 
     One function does both: a decode upon an encode would sample each text twice.
     """
@@ -358,5 +364,6 @@ def sampled_with_check(
         return pa.StructArray.from_arrays([coded, same], names=["pieces", "lossless"])
 
     found = docs.withColumn(f"{PREFIX}found", both(_key(docs, id_col), docs[text_col]))
-    found = found.withColumn("pieces", F.col(f"{PREFIX}found.pieces")).withColumn("lossless", F.col(f"{PREFIX}found.lossless"))
+    for name in ("pieces", "lossless"):
+        found = found.withColumn(f"{PREFIX}{name}", F.col(f"{PREFIX}found.{name}"))
     return found.drop(f"{PREFIX}found")

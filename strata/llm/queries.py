@@ -11,7 +11,13 @@ from strata.llm.common import PREFIX, table
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = pieces.sampled_with_check(docs, "doc_id", "text")
-    return coded.select("doc_id", F.size("pieces").cast("long").alias("n_pieces"), F.hash("pieces").alias("pieces_hash"), "lossless")
+    pieces_found, lossless = F.col(f"{PREFIX}pieces"), F.col(f"{PREFIX}lossless")
+    return coded.select(
+        "doc_id",
+        F.size(pieces_found).cast("long").alias("n_pieces"),
+        F.hash(pieces_found).alias("pieces_hash"),
+        lossless.alias("lossless"),
+    )
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

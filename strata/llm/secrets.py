@@ -2,11 +2,13 @@
 
 Base rules find assigned secrets, access keys and hex strings. Besides them, two
 character Markov models, one of random strings and one of ordinary identifiers,
-judge every other token of letters and digits: a token whose log-likelihood
+judge every token of 16 characters or more of the secrets' alphabet that no base span
+touches, whatever mix of letters, digits and signs it is: a token whose log-likelihood
 ratio reaches ``least_ratio`` becomes a span of kind ``random``.
 
 The models are fitted on labelled samples: by default the strings the base rules
-find (random) and long words without digits (ordinary), from all documents. The
+find (random) and the identifiers outside of them, with their digits, hyphens and
+capitals (ordinary), from all documents. The
 counts combine before the shuffle, come to the driver as at most 128 x 128 x 2 numbers and go back as one array of rounded ratios, so scores are
 whole numbers.
 
@@ -39,8 +41,9 @@ ACCESS = "AKIA[A-Z0-9]{14,}"
 HEX = "[0-9a-f]{16,}"
 LEAST_VALUE = 12  # characters of an assigned value
 
-TOKEN = "[A-Za-z0-9_-]{16,}"
-WORD = "[A-Za-z_]{8,}"
+BASE = f"{ASSIGN}|{ACCESS}|{HEX}"
+TOKEN = "[A-Za-z0-9+/_=-]{16,}"  # what the models judge, unless a base span covers some of it
+IDENTIFIER = "[A-Za-z][A-Za-z0-9_-]{7,}"  # what the ordinary model learns from
 
 
 @dataclass(frozen=True)
@@ -97,13 +100,13 @@ def base_spans(df: DataFrame, text: Column) -> DataFrame:
 
 
 def labelled_samples(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(token, is_random): strings of the base rules, and long words, of all documents."""
+    """(token, is_random): strings of the base rules, and the identifiers outside of them, of all documents."""
     texts = docs.select(docs[text_col].alias("text")).where("text IS NOT NULL")
     values = F.transform(_matches(F.col("text"), ASSIGN), lambda x: F.regexp_extract(x, ASSIGN, 2))
     random = F.concat(
         F.filter(values, lambda x: F.length(x) >= LEAST_VALUE), _matches(F.col("text"), ACCESS), _matches(F.col("text"), HEX)
     )
-    ordinary = _matches(F.col("text"), WORD)
+    ordinary = F.regexp_extract_all(F.regexp_replace("text", BASE, " "), F.lit(IDENTIFIER), F.lit(0))
     return texts.select(F.explode(random).alias("token"), F.lit(True).alias("is_random")).unionByName(
         texts.select(F.explode(ordinary).alias("token"), F.lit(False).alias("is_random"))
     )
@@ -171,15 +174,9 @@ def find_secrets(
     if table is None:
         return df.withColumn(f"{PREFIX}spans", F.col(f"{PREFIX}base")).drop(*[f"{PREFIX}{kind}" for kind in KINDS[:3]])
     df = _found(df, text, TOKEN, "random")
-    assigned = F.col(f"{PREFIX}assign")
-    mixed = F.filter(
-        F.col(f"{PREFIX}random"),
-        lambda x: x["value"].rlike("[0-9]") & x["value"].rlike("[A-Za-z]") & ~x["value"].rlike(f"{HEX}|{ACCESS}"),
-    )
-    df = df.withColumn(f"{PREFIX}random", mixed)
     judged = F.filter(
         F.col(f"{PREFIX}random"),
-        lambda x: ~F.exists(assigned, lambda a: (a["start"] < x["end"]) & (a["end"] > x["start"]))
+        lambda x: ~F.exists(F.col(f"{PREFIX}base"), lambda b: (b["start"] < x["end"]) & (b["end"] > x["start"]))
         & (_ratio(x["value"], table) >= settings.least_ratio),
     )
     df = df.withColumn(f"{PREFIX}random", F.when(F.size(f"{PREFIX}random") > 0, judged).otherwise(F.col(f"{PREFIX}random")))
