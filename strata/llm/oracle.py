@@ -117,7 +117,7 @@ WITH docs AS MATERIALIZED (
     UNION ALL {_secret_spans("hex", secrets.HEX)}
 ), samples AS (
     SELECT true AS is_random, CASE WHEN kind = 'assign' THEN regexp_extract(value, '{_ASSIGN}', 2) ELSE value END AS token FROM base
-    UNION ALL SELECT false, unnest(regexp_extract_all(regexp_replace(text, '{_BASE}', ' ', 'g'), '{secrets.IDENTIFIER}')) FROM docs
+    UNION ALL SELECT false, unnest(list_filter(regexp_extract_all(regexp_replace(text, '{_BASE}', ' ', 'g'), '{secrets.IDENTIFIER}'), lambda t: length(t) <= {secrets.LONGEST_LEARNED})) FROM docs
 ), pairs AS MATERIALIZED (
     SELECT is_random, pair[1] AS a, pair[2] AS b, count(*) AS n
     FROM (SELECT is_random, unnest([substr(' ' || token, i, 2) FOR i IN range(1, length(token) + 1)]) AS pair FROM samples)

@@ -7,8 +7,8 @@ touches, whatever mix of letters, digits and signs it is: a token whose log-like
 ratio reaches ``least_ratio`` becomes a span of kind ``random``.
 
 The models are fitted on labelled samples: by default the strings the base rules
-find (random) and the identifiers outside of them, with their digits, hyphens and
-capitals (ordinary), from all documents. The
+find (random) and the tokens of 8 to 15 characters outside of them, with their digits,
+signs and capitals (ordinary), from all documents. The
 counts combine before the shuffle, come to the driver as at most 128 x 128 x 2 numbers and go back as one array of rounded ratios, so scores are
 whole numbers.
 
@@ -43,7 +43,10 @@ LEAST_VALUE = 12  # characters of an assigned value
 
 BASE = f"{ASSIGN}|{ACCESS}|{HEX}"
 TOKEN = "[A-Za-z0-9+/_=-]{16,}"  # what the models judge, unless a base span covers some of it
-IDENTIFIER = "[A-Za-z][A-Za-z0-9_-]{7,}"  # what the ordinary model learns from
+# What the ordinary model learns from: shorter tokens of the same alphabet, so that no token
+# that is judged, however often it is repeated, has taught that it is ordinary.
+IDENTIFIER = "[A-Za-z0-9+/_=-]{8,}"
+LONGEST_LEARNED = 15
 
 
 @dataclass(frozen=True)
@@ -106,7 +109,8 @@ def labelled_samples(docs: DataFrame, text_col: str = "text") -> DataFrame:
     random = F.concat(
         F.filter(values, lambda x: F.length(x) >= LEAST_VALUE), _matches(F.col("text"), ACCESS), _matches(F.col("text"), HEX)
     )
-    ordinary = F.regexp_extract_all(F.regexp_replace("text", BASE, " "), F.lit(IDENTIFIER), F.lit(0))
+    tokens = F.regexp_extract_all(F.regexp_replace("text", BASE, " "), F.lit(IDENTIFIER), F.lit(0))
+    ordinary = F.filter(tokens, lambda x: F.length(x) <= LONGEST_LEARNED)
     return texts.select(F.explode(random).alias("token"), F.lit(True).alias("is_random")).unionByName(
         texts.select(F.explode(ordinary).alias("token"), F.lit(False).alias("is_random"))
     )
