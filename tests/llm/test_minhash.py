@@ -105,3 +105,17 @@ def test_components_of_chains_and_stars(spark):
     got = {x["node"]: x["component"] for x in stars.components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert all(got[i] == 100 for i in range(100, 161)) and all(got[i] == 5 for i in [5, *range(10, 60)])
     assert got[300] == got[200] == 200 and 7 not in got
+
+
+def test_rows_of_one_id_are_one_document(spark):
+    """Two texts under one id tie the documents that hold either; a chain of such ids goes on."""
+    text = [" ".join(f"{name}{i}" for i in range(40)) for name in "abcd"]
+    rows = [(3, text[0]), (5, text[0]), (5, text[1]), (9, text[1]), (20, text[2]), (20, text[3]), (21, text[3]), (9, text[1]), (30, "x y")]
+    want = plain_components(rows, 5)
+    assert want == {3: 3, 5: 3, 9: 3, 20: 20, 21: 20, 30: 30}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_duplicates(docs).collect()
+    assert len(got) == len(rows)
+    assert {(r["doc_id"], r["component_id"], r["kept"]) for r in got} == {(i, c, i == c) for i, c in want.items()}
+    kept = {(r["doc_id"], r["text"]) for r in drop_near_duplicates(docs).collect()}
+    assert kept == {(3, text[0]), (20, text[2]), (20, text[3]), (30, "x y")}

@@ -70,16 +70,43 @@ TEXTS = [
 def test_round_trip_and_reproducible(spark):
     rows = [(i, t, "x") for i, t in enumerate(TEXTS)] + [(0, TEXTS[0], "x"), (None, "no id", "y"), (77, TEXTS[0], "z")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lossless string")
-    one = encode(docs.coalesce(1)).withColumn("again", decode(F.col("pieces"))).collect()
+    docs = docs.withColumn("pieces", F.lit("own"))
+    out = "_strata_pieces"
+    one = encode(docs.coalesce(1)).withColumn("again", decode(F.col(out))).collect()
     many = encode(docs.repartition(5)).collect()
+    assert {r["pieces"] for r in one} == {"own"} and {r["lossless"] for r in one} == {"x", "y", "z"}
     assert all(r["again"] == r["text"] for r in one)
     key = lambda r: (str(r["doc_id"]), r["text"] or "", r["lossless"])
-    assert [r["pieces"] for r in sorted(one, key=key)] == [r["pieces"] for r in sorted(many, key=key)]
-    by_id = {r["doc_id"]: r["pieces"] for r in one}
+    assert [r[out] for r in sorted(one, key=key)] == [r[out] for r in sorted(many, key=key)]
+    by_id = {r["doc_id"]: r[out] for r in one}
     assert by_id[1] == [] and by_id[11] is None
-    long_text = {r["doc_id"]: r["pieces"] for r in encode(spark.createDataFrame([(1, TEXTS[10]), (2, TEXTS[10])], "doc_id long, text string")).collect()}
+    long_text = {r["doc_id"]: r[out] for r in encode(spark.createDataFrame([(1, TEXTS[10]), (2, TEXTS[10])], "doc_id long, text string")).collect()}
     assert long_text[1] != long_text[2]
-    assert sampled_with_check(docs, "doc_id", "text").where("NOT lossless").count() == 0
+    both = sampled_with_check(docs, "doc_id", "text")
+    assert both.where("NOT _strata_lossless").count() == 0 and both.where("lossless IN ('x', 'y', 'z')").count() == len(rows)
+
+
+def test_shares_do_not_hang_on_the_words_beside(v):
+    r = np.random.default_rng(3)
+    words = [" " + "".join(r.choice(list("theandingsor"), r.integers(1, 25))) for _ in range(4000)]
+    whole, half = Lattices(words, v, PieceSettings()), Lattices(words[2000:], v, PieceSettings())
+    assert _by_word(whole, 2000) == _by_word(half, 0)
+
+
+def _by_word(lattices, first):
+    """The shares of each word from ``first`` on."""
+    out = []
+    for a, b in zip(lattices.first[first:], lattices.last[first:], strict=True):
+        shares = []
+        for node in range(a + 1, b + 1):
+            at = lattices.into[node]
+            while True:
+                shares.append(float(lattices.cumulative[at]))
+                if shares[-1] == 2.0:
+                    break
+                at += 1
+        out.append(shares)
+    return out
 
 
 def test_sharp_sampling_is_the_best_path(v):

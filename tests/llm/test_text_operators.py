@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.llm import ann, langid, line_dedup, quality, secrets, urls
-from strata.llm.common import PREFIX, running_sum
+from strata.llm.common import LOWER, PREFIX, UPPER, running_sum
 
 # ---- language ID
 
@@ -235,6 +235,38 @@ def test_secrets_equal_the_plain_rules(spark):
     assert all(not found[t] for t in texts[10:])
 
 
+def test_secrets_are_found_by_the_models(spark):
+    """Precision and recall of the threshold on labelled tokens that the models were not fitted on."""
+    r = np.random.default_rng(11)
+    sets = {"letters": UPPER + LOWER, "mixed": UPPER + LOWER + "0123456789", "base64": UPPER + LOWER + "0123456789+/"}
+
+    def random(alphabet, n):
+        return "".join(r.choice(list(alphabet), n))
+
+    syllables = "con ver ta ti on ment al le der in for ma re pro ex pla na er ung lich keit data file index user name".split()
+
+    def ordinary(n=8):
+        return r.choice(["", "-", "_"]).join(r.choice(syllables, n)) + r.choice(["", "-2024", "_v2", "007"])
+
+    kinds = sorted(sets)
+    fitted = [(i, f"token = {random(sets[kinds[i % 3]], 40)} and {ordinary(3)} {ordinary(3)} {ordinary(4)}") for i in range(2500)]
+    table = secrets.train(secrets.labelled_samples(spark.createDataFrame(fitted, "doc_id long, text string")))
+    held = [(f"{kind}{n}", random(alphabet, n)) for kind, alphabet in sets.items() for n in (16, 24, 40) for _ in range(60)]
+    held += [("ordinary", ordinary()) for _ in range(600)] + [("ordinary", "a" * 16)]
+    taught = spark.createDataFrame([(1, f"{held[0][1]} " * 50 + "shorter-1 words_only")], "doc_id long, text string")
+    kept = {x["token"] for x in secrets.labelled_samples(taught).collect()}
+    assert kept == {"shorter-1", "words_only"}  # a token that is judged is not learned from
+    docs = spark.createDataFrame([(i, f"see {t}, then") for i, (_, t) in enumerate(held)], "doc_id long, text string")
+    spans = {x["doc_id"]: x["_strata_spans"] for x in secrets.find_secrets(docs, table=table).collect()}
+    hit = {i for i, found in spans.items() if [(x["kind"], x["start"], x["end"]) for x in found] == [("random", 4, 4 + len(held[i][1]))]}
+    is_random = {i for i, (kind, t) in enumerate(held) if kind != "ordinary" and not re.search(secrets.BASE, t)}
+    assert len(hit & is_random) / len(is_random) >= 0.97
+    assert len(hit & is_random) / len(hit) >= 0.97
+    signs = spark.createDataFrame([(1, "key wJalrXUtnFEMI/K7MDENG/bPxRfiCYzRGQPWTVKE= QzXvWkJqYtPbLmNrSdFg.")], "doc_id long, text string")
+    found = secrets.find_secrets(signs, table=table).select(secrets.digest(F.col("_strata_spans"))).first()[0]
+    assert found == "random:4:45,random:46:66"
+
+
 def test_secrets_without_samples(spark):
     docs = spark.createDataFrame([(1, "no secret")], "doc_id long, text string")
     assert secrets.train(secrets.labelled_samples(docs)) is None
