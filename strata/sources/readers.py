@@ -2,23 +2,52 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from strata.session import delta_available
+from strata.operators.sizing import broadcast_if_small
+from strata.session import delta_available, work_path
 from strata.sources.json_array import read_array
 
 
-def read_events(spark: SparkSession, path: str, layout: str = "lines") -> DataFrame:
+def _numbered_lines(spark: SparkSession, path: str, broadcast_bytes: int) -> DataFrame:
+    """(value, _source_file, _source_row): text lines with their number, from 0, in their file.
+
+    A first pass counts the lines of each split; sums over the splits before it in the
+    file say where a split's lines begin. So a line has one number however the files are
+    split, and the lines themselves are not shuffled.
+    """
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("_source_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_at"),
+    )
+    counted = lines.groupBy("_source_file", "_block").agg(F.count(F.lit(1)).alias("n"), F.min("_at").alias("first"))
+    folder = work_path(spark, "splits")
+    counted.write.parquet(folder)
+    before = Window.partitionBy("_source_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")
+    splits = spark.read.schema(counted.schema).parquet(folder).select("_source_file", "_block", shift.alias("_shift"))
+    found = lines.join(broadcast_if_small(splits, broadcast_bytes), ["_source_file", "_block"])
+    return found.select("value", "_source_file", (F.col("_at") + F.col("_shift")).alias("_source_row"))
+
+
+def read_events(
+    spark: SparkSession, path: str, layout: str = "lines", numbered: bool = True, broadcast_bytes: int = 64 << 20
+) -> DataFrame:
     """Raw events as JSON text in ``value``, plus the file they came from.
 
-    ``lines`` is one object per line and keeps malformed lines. ``array`` is a
-    JSON array, of any size, whose elements become rows; what is malformed stays
-    as text for the contract to reject.
+    ``lines`` is one object per line and keeps malformed lines; each has its number in
+    the file as ``_source_row`` unless ``numbered`` is off, which saves a pass that counts
+    lines. ``array`` is a JSON array, of any size, whose elements become rows; what is
+    malformed stays as text for the contract to reject.
     """
     if layout == "array":
         return read_array(spark, path)
     if layout != "lines":
         raise ValueError(f"layout must be lines or array, got {layout!r}")
+    if numbered:
+        return _numbered_lines(spark, path, broadcast_bytes)
     return spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_source_file"))
 
 

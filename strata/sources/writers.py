@@ -45,11 +45,16 @@ def write_split(
     rerun overwrites. Returns the counts, taken during the write.
 
     ``position`` are the columns that tell rows of one text apart, as topic,
-    partition and offset; without them a row's number in the batch does, which
-    also lands as ``_source_row``.
+    partition and offset. Without them the file and the line's number do, where
+    ``read_events`` gave them as ``_source_row``: ids and the order of rows then stay
+    the same however the files are split. Rows with neither are numbered in the
+    batch, which is stable only for the same splits.
     """
     observed, seen = observe_counts(checked)
-    numbered = observed.withColumn("_source_row", F.monotonically_increasing_id())
+    placed = "_source_row" in checked.columns
+    numbered = observed if placed else observed.withColumn("_source_row", F.monotonically_increasing_id())
+    if placed and source_file and not position:
+        position = (source_file, "_source_row")
     rejected = ~is_valid()
     record = rejection_columns(value, position or ("_source_row",), digits, batch)
     rows = numbered.select(

@@ -259,3 +259,37 @@ def test_gold_keeps_its_columns_and_versions(spark, tmp_path):
     assert keyed(medallion.read_gold(spark, root, "category_metrics")) == CATEGORIES
     assert medallion.read_gold(spark, root, "daily_velocity").count() == 5
     assert medallion.read_gold(spark, root, "category_word_counts").count() == 4
+
+
+def test_ids_and_winners_do_not_hang_on_the_splits(spark, tmp_path):
+    """Lines read in one split or in many: the same quarantine ids, and the same row of a key wins."""
+    bad, good = '{"title": "A"}', json.dumps(
+        {"article_id": "X", "title": "Title", "author": "Someone", "category": "AI", "content": "some longer text",
+         "views": 0, "rating": 1.0, "published_timestamp": "2026-08-01T10:00:00Z"}
+    )
+    lines = [bad if i % 4 else good.replace('"views": 0', f'"views": {i * 7919 % 401}') for i in range(400)]
+    for part in range(2):
+        (tmp_path / "in").mkdir(exist_ok=True)
+        (tmp_path / "in" / f"{part}.json").write_text("\n".join(lines[part * 200 : part * 200 + 200]) + "\n")
+    found = {}
+    for size in ("1024", "134217728"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "0" if size == "1024" else "4194304")
+        try:
+            events = read_events(spark, str(tmp_path / "in"))
+            rows = sorted((r["_source_file"], r["_source_row"], r["value"]) for r in events.collect())
+            assert [r[1] for r in rows] == [*range(200)] * 2 and [r[2] for r in rows] == lines
+            layout = medallion.Layout(str(tmp_path / f"run{size}"))
+            medallion.ingest(events, ARTICLE_EVENT, layout, 1)
+            ids = {r["quarantine_id"] for r in read_quarantine(spark, layout.landing(1), ARTICLE_EVENT).collect()}
+            valid = read_valid(spark, layout.landing(1), ARTICLE_EVENT, with_source=True)
+            medallion.load_bronze(valid, layout, 1, medallion.Settings())
+            medallion.load_silver(spark, ARTICLE_EVENT, layout, 1, medallion.Settings())
+            winner = [r["views"] for r in read_silver(spark, layout.at("silver")).collect()]
+            found[size] = (events.rdd.getNumPartitions(), ids, winner)
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+    (many, ids, winner), (few, other_ids, other_winner) = found.values()
+    assert many > few and len(ids) == 300 and ids == other_ids
+    assert winner == other_winner == [396 * 7919 % 401]  # the last line of the last file
