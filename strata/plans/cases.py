@@ -13,11 +13,11 @@ from strata.operators.bm25 import term_table
 from strata.operators.chunks import chunk_documents
 from strata.operators.contract import ARTICLE_EVENT, check
 from strata.operators.lineage import LineageLog
-from strata.operators.quality import RECORD_SUITE, SILVER_SUITE, check_rows, summarize
+from strata.operators.quality import RECORD_SUITE, SILVER_SUITE, Expectation, QualityGateError, check_rows, summarize
 from strata.plans import medallion
-from strata.plans.catalog import ARTICLES, READING, hybrid, query, questions
+from strata.plans.catalog import ARTICLES, READING, hybrid, query, questions, shared_index
 from strata.plans.oracle import ARTICLES as ARTICLES_SQL, CHECKED, CORPUS, HYBRID
-from strata.plans.retrieval import build_index, refresh_index
+from strata.plans.retrieval import build_index, hybrid_search, refresh_index
 from strata.session import work_path
 from strata.sources.articles import articles, as_json, table
 from strata.sources.json_array import as_array
@@ -301,3 +301,48 @@ SELECT query_id,
     || excerpts || chr(10) || chr(10) || '### Referenced Citations' || chr(10) || refs END AS answer,
   coalesce(n, 0)::INTEGER AS n_citations
 FROM questions LEFT JOIN built USING (query_id)"""
+
+
+@query("rerank_model")
+def rerank_by_model(spark, sf_dir):
+    """The full query with a model's scores in the place of the keyword rule; the model prefers long texts."""
+
+    @F.pandas_udf("double")
+    def longer(query, text):
+        return (text.str.len() - query.str.len()).astype(float)
+
+    found = hybrid_search(shared_index(spark, sf_dir), questions(spark, sf_dir), scorer=longer)
+    return found.select("query_id", "chunk_id", "rerank_score", "final_rank")
+
+
+TWINS["rerank_model"] = HYBRID + """, modelled AS (
+  SELECT f.query_id, f.chunk_id, f.rank, (length(c.text) - length(q.query))::DOUBLE AS rerank_score
+  FROM fused f JOIN chunks c USING (chunk_id) JOIN questions q USING (query_id))
+SELECT query_id, chunk_id, rerank_score,
+  (row_number() OVER (PARTITION BY query_id ORDER BY rerank_score DESC, rank))::INTEGER AS final_rank
+FROM modelled QUALIFY final_rank <= 3"""
+
+
+@query("quality_halt")
+def quality_halt(spark, sf_dir):
+    """A run whose gate allows fewer views than some articles have: it stops before gold and index."""
+    root = work_path(spark, "halted")
+    suite = (*SILVER_SUITE, Expectation("between", "views", high=1000))
+    try:
+        medallion.run(as_json(articles(spark, sf_dir)), root, 1, ARTICLES, suite)
+        summary = None
+    except QualityGateError as error:
+        summary = error.summary
+    silver = read_silver(spark, f"{root}/silver")
+    gold_written = medallion.read_gold(spark, root, "category_metrics") is not None
+    return silver.agg(F.count(F.lit(1)).alias("silver_rows"), F.count_if(F.col("views") > 1000).alias("beyond")).select(
+        "silver_rows", "beyond", F.lit(summary is not None).alias("halted"),
+        F.lit(summary["failed_checks"] if summary else 0).cast("long").alias("failed_checks"),
+        F.lit(gold_written).alias("gold_written"),
+    )
+
+
+TWINS["quality_halt"] = f"""WITH {CHECKED}, counted AS (
+  SELECT count(*) AS silver_rows, count(*) FILTER (views > 1000) AS beyond FROM judged WHERE first_error IS NULL)
+SELECT silver_rows, beyond, beyond > 0 AS halted, (beyond > 0)::BIGINT AS failed_checks, beyond = 0 AND silver_rows > 0 AS gold_written
+FROM counted"""
