@@ -8,9 +8,12 @@ takes rows from one other bucket, and no other row moves.
 from __future__ import annotations
 
 import math
+from itertools import accumulate
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+MAPPED = 256  # buckets whose layout is written into the plan; that of more is joined
 PACKED = 4  # a row's bytes in memory over its bytes in Parquet, roughly
 
 
@@ -53,25 +56,24 @@ def laid_out(rows: DataFrame, n: int, sizes: dict[int, int], task_bytes: int, ke
     ``sizes``: bytes in memory of each bucket that has rows. ``key`` picks the bucket,
     ``within`` the share, so one key with very many rows is cut too.
     """
-    cut = {b: shares(size, task_bytes) for b, size in sizes.items()}
-    most = max(cut.values(), default=1)
-    first, total = {}, 0
-    for b in sorted(cut):
-        first[b] = total
-        total += cut[b]
-    bucket = address(key, n)
-    hashed = F.xxhash64(within, F.lit("share"))
-    if most == 1:
-        share = F.lit(0)
-    else:
-        per_bucket = F.create_map(*[F.lit(x) for pair in cut.items() for x in pair])
-        share = F.pmod(hashed, F.try_element_at(per_bucket, F.col("_bucket"))).cast("int")
-    placed = rows.withColumn("_bucket", bucket).withColumn("_share", share)
+    cut = {b: shares(size, task_bytes) for b, size in sorted(sizes.items())}
+    firsts = list(accumulate(cut.values(), initial=0))
+    total = firsts.pop()
+    placed = rows.withColumn("_bucket", address(key, n))
     if not total:
-        return placed
-    starts = F.create_map(*[F.lit(x) for pair in first.items() for x in pair])
-    number = F.coalesce(F.try_element_at(starts, F.col("_bucket")), F.lit(0)) + F.col("_share")
-    return placed.repartitionById(total, number.cast("int"))
+        return placed.withColumn("_share", F.lit(0))
+    if len(cut) <= MAPPED:
+        found = F.create_map(*[x for b, first in zip(cut, firsts, strict=True) for x in (F.lit(b), F.struct(F.lit(first), F.lit(cut[b])))])
+        layout = F.try_element_at(found, F.col("_bucket"))
+        placed = placed.withColumn("_first", layout["col1"]).withColumn("_shares", layout["col2"])
+    else:  # three numbers a bucket
+        layout = pa.table({"_bucket": list(cut), "_first": firsts, "_shares": list(cut.values())})
+        layout = layout.cast(pa.schema([(c, pa.int32()) for c in layout.column_names]))
+        placed = placed.join(F.broadcast(rows.sparkSession.createDataFrame(layout)), "_bucket", "left")
+    share = F.pmod(F.xxhash64(within, F.lit("share")), F.coalesce("_shares", F.lit(1))).cast("int")
+    number = F.coalesce("_first", F.lit(0)) + F.col("_share")
+    laid = placed.withColumn("_share", share).withColumn("_number", number)
+    return laid.repartitionById(total, F.col("_number").cast("int")).drop("_first", "_shares", "_number")
 
 
 def bytes_by_bucket(spark: SparkSession, folder: str) -> dict[int, int]:

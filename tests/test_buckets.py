@@ -7,7 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from strata.sources import silver
+from strata.sources import buckets, silver
 from strata.sources.buckets import address, split, wanted
 from strata.sources.silver import merge_silver, read_silver
 from strata.sources.versions import ConcurrentWriteError, publish, published
@@ -49,7 +49,9 @@ def test_the_largest_task_stays_bounded_while_the_table_grows(spark, tmp_path):
     assert read_silver(spark, root).agg(F.count_distinct("k")).first()[0] == total
 
 
-def test_a_bucket_that_is_not_split_is_written_by_several_tasks(spark, tmp_path):
+@pytest.mark.parametrize("mapped", [256, 0])
+def test_a_bucket_that_is_not_split_is_written_by_several_tasks(spark, tmp_path, monkeypatch, mapped):
+    monkeypatch.setattr(buckets, "MAPPED", mapped)
     root = str(tmp_path / "silver")
     rows = spark.range(8000).select(F.col("id").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
     rows.write.parquet(str(tmp_path / "rows"))
