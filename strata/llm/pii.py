@@ -6,16 +6,21 @@ lexical patterns; tokens with digits that no base rule covers are candidate
 identifiers, tied to the patterns before them.
 
 1. One pass gives each document's base spans, candidates and patterns; it is staged.
-2. Patterns that stand before at least ``support`` different seeds are looked up in
-   the whole corpus, through a Bloom filter of fixed size, to count how often they
-   occur at all, with a blank after them or glued to what follows (``ref=``, ``<``).
-3. Spark scores the graph of patterns and instances in rounds: a pattern is as
-   reliable as the share of its occurrences followed by reliable instances, an
-   instance as reliable as its patterns together; seeds stay at 1.
+2. Patterns that stand before at least ``support`` different instances, the only ones
+   that any round can admit, are looked up in the whole corpus, through a Bloom filter
+   of bounded size, to count how often they occur at all, with a blank after them or
+   glued to what follows (``ref=``, ``<``).
+3. Spark scores the graph of patterns and instances in rounds. A round admits the
+   patterns that stand before ``support`` different seeds; a pattern is as reliable as
+   the share of its occurrences followed by trusted instances, an instance as trusted as
+   the round's patterns before it together. Instances trusted by ``promote`` or more are
+   seeds of the next round beside the base rules' own, whose trust stays 1; so each
+   round reaches patterns and identifiers one hop further. After ``rounds`` rounds it ends.
 4. Candidates behind a pattern of reliability ``confidence`` or more become spans of
    kind ``context``; base spans stay as they are.
 
-No text is shuffled. Offsets are code points, ends exclusive.
+No text is shuffled. A pattern or an instance of very many rows is split over several
+join keys. Offsets are code points, ends exclusive.
 
 Defined cases: null texts count as empty and have no spans; a text of many
 spans is handled whole; rows alike in id and text have the same spans; rows
@@ -61,12 +66,14 @@ _AFTER_DOMAIN = re.compile("(?=[._%])")  # an address can begin where the last o
 @dataclass(frozen=True)
 class PiiSettings:
     support: int = 3  # different seeds behind a pattern
-    confidence: float = 0.5
+    confidence: float = 0.5  # reliability of a pattern whose candidates become spans
+    promote: float = 0.8  # trust that makes a candidate a seed of the next round
     rounds: int = 3
     least_digits: int = 4  # in a candidate
     least_chars: int = 5
     most_chars: int = 64
-    filter_bits: int = bloom.BITS
+    most_filter_bits: int = bloom.MOST_BITS
+    hot_rows: int = 256  # rows of a key in one join task, or a 100,000th of all rows if that is more
 
 
 def luhn(digits: str) -> bool:
@@ -288,36 +295,72 @@ def _occurrences(sent):
     return rows
 
 
-def _reliable_patterns(texts: DataFrame, found: DataFrame, s: PiiSettings) -> DataFrame:
-    """(pattern, reliability) of the patterns with enough seeds, after ``rounds`` rounds over the graph."""
+def _hot(rows: DataFrame, key: str, weight: str, s: PiiSettings) -> DataFrame:
+    """(key, parts) of the keys with many rows: below 100,000 keys, as each holds a 100,000th of all rows at least."""
+    sizes = staged(rows.groupBy(key).agg(F.sum(weight).alias("size")), "pii-sizes")
+    total = sizes.agg(F.sum("size")).first()[0] or 0
+    least = max(s.hot_rows, -(-total // 100_000))
+    return sizes.where(F.col("size") > least).select(key, F.ceil(F.col("size") / least).alias("parts"))
+
+
+def _split(rows: DataFrame, hot: DataFrame, key: str, by: list[str], part: str) -> DataFrame:
+    """``rows`` with the part of ``key`` that each belongs to, by a hash of ``by``."""
+    at = F.pmod(F.xxhash64(*by), F.coalesce("parts", F.lit(1).cast("long")))
+    return rows.join(F.broadcast(hot), key, "left").select(*rows.columns, at.alias(part))
+
+
+def _copied(rows: DataFrame, hot: DataFrame, key: str, part: str) -> DataFrame:
+    """``rows``, one for each key, once for each part of their key."""
+    parts = F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1).cast("long")) - 1)
+    return rows.join(F.broadcast(hot), key, "left").select(*rows.columns, F.explode(parts).alias(part))
+
+
+def _graph(texts: DataFrame, edges: DataFrame, hot: DataFrame, s: PiiSettings) -> DataFrame:
+    """``edges`` of the patterns with ``support`` instances, with ``seen``: how often the pattern occurs in all texts."""
     spark = texts.sparkSession
+    usual = edges.groupBy("pattern").agg(F.count("*").alias("instances")).where(F.col("instances") >= s.support)
+    usual = staged(usual.select("pattern"), "pii-patterns")
+    sent = spark.sparkContext.broadcast(bloom.build(usual, bloom.bits_for(usual.count(), s.most_filter_bits)))
+    seen = texts.mapInArrow(_occurrences(sent), "pattern long, n long").groupBy("pattern").agg(F.sum("n").alias("seen"))
+    counted = usual.join(seen, "pattern", "left").select("pattern", F.coalesce("seen", F.lit(0)).alias("seen"))
+    edges = _split(edges, hot, "pattern", ["instance"], "pattern_part")
+    return edges.join(_copied(counted, hot, "pattern", "pattern_part"), ["pattern", "pattern_part"])
+
+
+def _reliable_patterns(texts: DataFrame, found: DataFrame, s: PiiSettings) -> tuple[DataFrame, DataFrame]:
+    """(pattern, reliability) of the patterns admitted in ``rounds`` rounds over the graph, and the hot patterns."""
     edges = (
         found.select(F.explode("places").alias("p"))
         .select(F.col("p.seed").alias("seed"), F.col("p.instance").alias("instance"), F.explode("p.patterns").alias("pattern"))
-        .groupBy("pattern", "instance", "seed")
-        .agg(F.count("*").alias("n"))
+        .groupBy("pattern", "instance")
+        .agg(F.count("*").alias("n"), F.max("seed").alias("seed"))
     )
     edges = staged(edges, "pii-edges")
-    usual = edges.where("seed").groupBy("pattern").agg(F.count("*").alias("seeds")).where(F.col("seeds") >= s.support)
-    usual = staged(usual.select("pattern"), "pii-patterns")
-    sent = spark.sparkContext.broadcast(bloom.build(usual, s.filter_bits))
-    seen = texts.mapInArrow(_occurrences(sent), "pattern long, n long")
-    seen = seen.groupBy("pattern").agg(F.sum("n").alias("seen")).join(usual, "pattern", "leftsemi")
-    counted = usual.join(seen, "pattern", "left").select("pattern", F.coalesce("seen", F.lit(0)).alias("seen"))
-    graph = staged(edges.join(counted, "pattern"), "pii-graph")
+    hot = _hot(edges, "pattern", "n", s)
+    graph = _graph(texts, edges, hot, s)
+    hot_instances = _hot(edges.withColumn("n", F.lit(1)), "instance", "n", s)
+    graph = staged(_split(graph, hot_instances, "instance", ["pattern"], "instance_part"), "pii-graph")
     known = graph.groupBy("instance").agg(F.max("seed").cast("double").alias("trust"))
-    patterns = None
     for _ in range(s.rounds):
-        shares = F.sum(F.col("trust") * F.col("n")) / F.greatest(F.max("seen"), F.sum("n"))
-        patterns = graph.join(known, "instance").groupBy("pattern").agg(shares.alias("reliability"))
+        trusted = _copied(known.where("trust > 0"), hot_instances, "instance", "instance_part")
+        patterns = (
+            graph.join(trusted, ["instance", "instance_part"], "left")
+            .groupBy("pattern")
+            .agg(
+                (F.sum(F.coalesce("trust", F.lit(0.0)) * F.col("n")) / F.greatest(F.max("seen"), F.sum("n"))).alias("reliability"),
+                F.count_if(F.col("trust") >= s.promote).alias("seeds"),
+            )
+            .where(F.col("seeds") >= s.support)
+            .select("pattern", "reliability")
+        )
         patterns = staged(patterns, "pii-patterns")
-        doubt = F.sum(F.log(F.greatest(1 - F.col("reliability"), F.lit(1e-12))))
+        doubt = F.sum(F.log(F.greatest(1 - F.coalesce("reliability", F.lit(0.0)), F.lit(1e-12))))
         known = (
-            graph.join(patterns, "pattern")
+            graph.join(_copied(patterns, hot, "pattern", "pattern_part"), ["pattern", "pattern_part"], "left")
             .groupBy("instance")
             .agg(F.when(F.max("seed"), F.lit(1.0)).otherwise(1 - F.exp(doubt)).alias("trust"))
         )
-    return patterns
+    return patterns, hot
 
 
 def find_pii(
@@ -331,13 +374,17 @@ def find_pii(
     s = settings
     given = docs.select(long_id(docs, id_col).alias("doc_id"), docs[text_col].alias("text"))
     found = staged(given.mapInArrow(_find(s), _FOUND), "pii")
-    good = _reliable_patterns(given.select("text"), found, s).where(F.col("reliability") >= s.confidence)
-    more = (
+    patterns, hot = _reliable_patterns(given.select("text"), found, s)
+    good = _copied(patterns.where(F.col("reliability") >= s.confidence), hot, "pattern", "part")
+    places = (
         found.where("doc_id IS NOT NULL")
         .select("doc_id", "text_crc", F.explode("places").alias("p"))
         .where("NOT p.seed")
         .select("doc_id", "text_crc", "p.start", "p.end", F.explode("p.patterns").alias("pattern"))
-        .join(good, "pattern", "leftsemi")
+    )
+    more = (
+        _split(places, hot, "pattern", ["doc_id", "text_crc", "start"], "part")
+        .join(good, ["pattern", "part"], "leftsemi")
         .groupBy("doc_id", "text_crc")
         .agg(F.array_sort(F.collect_set(F.struct(F.lit(CONTEXT).alias("kind"), "start", "end"))).alias("more"))
     )

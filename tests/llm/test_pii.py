@@ -2,10 +2,10 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
-from strata.llm import pii
+from strata.llm import bloom, pii
 from strata.llm.pii import PiiSettings, base_spans, find_pii, luhn, mask_pii
 
 
@@ -94,4 +94,101 @@ def test_every_pattern_is_counted(text):
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert find_pii(docs).count() == 0 and mask_pii(docs).count() == 0
-    assert PiiSettings().rounds and F.lit(1) is not None
+
+
+class _Same(dict):
+    """Words as they are, in place of their hashes."""
+
+    def __missing__(self, word):
+        return word
+
+
+def plain_context(docs, s):
+    """The rounds by plain loops over words: {doc_id: {(start, end)}} of the context spans."""
+    occurs, ties, places = {}, {}, {}
+    glued = pii._Glued(_Same())
+    for doc_id, text in docs:
+        text = text or ""
+        tokens = pii._tokens(text)
+        for i, token in enumerate(tokens):
+            for word in [token, *glued[token]]:
+                for pattern in [(word,)] + ([(tokens[i - 1], word)] if i else []):
+                    occurs[pattern] = occurs.get(pattern, 0) + 1
+        base = base_spans(text)
+        found = [(True, a, b) for _, a, b in base] + [(False, a, b) for a, b in pii.candidates(text, base, s)]
+        for seed, a, b in found:
+            before = pii._tokens(text[:a].rpartition("\n")[2])[-2:]
+            for pattern in {tuple(before[-1:]), tuple(before)} - {()}:
+                old = ties.setdefault(pattern, {}).get(text[a:b].lower(), (False, 0))
+                ties[pattern][text[a:b].lower()] = (old[0] or seed, old[1] + 1)
+                if not seed and doc_id is not None:
+                    places.setdefault(pattern, set()).add((doc_id, a, b))
+    ties = {p: held for p, held in ties.items() if len(held) >= s.support}
+    base = {i for held in ties.values() for i, (seed, _) in held.items() if seed}
+    trust, reliable = dict.fromkeys(base, 1.0), {}
+    for _ in range(s.rounds):
+        reliable = {
+            p: sum(trust.get(i, 0) * n for i, (_, n) in held.items()) / max(occurs.get(p, 0), sum(n for _, n in held.values()))
+            for p, held in ties.items()
+            if sum(trust.get(i, 0) >= s.promote for i in held) >= s.support
+        }
+        doubt = {}
+        for p, share in reliable.items():
+            for i in ties[p]:
+                doubt[i] = doubt.get(i, 1.0) * max(1 - share, 1e-12)
+        trust = {i: 1 - d for i, d in doubt.items()} | dict.fromkeys(base, 1.0)
+    out = {}
+    for p, share in reliable.items():
+        if share >= s.confidence:
+            for doc_id, a, b in places.get(p, ()):
+                out.setdefault(doc_id, set()).add((a, b))
+    return out
+
+
+def planted():
+    """Identifiers one, two and three hops from the e-mail addresses, and numbers behind an unreliable word."""
+    ids = [f"QX-{48213 + i}" for i in range(12)]
+    texts = [f"write to member ref: mail{i}@example.com today" for i in range(12)]
+    texts += [f"the member ref: {x} is new" for x in ids[:6]]  # one hop
+    texts += [f"open case file {x} again" for x in ids[:9]]  # ids 6 to 8 are two hops away
+    texts += [f'see <dossier="{x}"> there' for x in ids[:2] + ids[6:11]]  # ids 9 and 10 are three
+    texts += [f"in the year {2000 + i} all" for i in range(9)] + ["the year the year case of a folder " * 3, None, "", "ref:\n12345-6"]
+    return [(i if i % 17 else None, t) for i, t in enumerate(texts, 1)]
+
+
+@pytest.mark.parametrize("rounds", [1, 2, 3])
+@pytest.mark.parametrize("hot_rows", [1, 256])
+def test_each_round_reaches_one_hop_further(spark, rounds, hot_rows):
+    docs, s = planted(), PiiSettings(rounds=rounds, hot_rows=hot_rows)
+    frame = spark.createDataFrame(docs + docs[:3], "doc_id long, text string").repartition(3)
+    got = {}
+    for r in find_pii(frame, settings=s).collect():
+        got.setdefault(r["doc_id"], set()).update((x["start"], x["end"]) for x in r["spans"] if x["kind"] == "context")
+    want = plain_context(docs + docs[:3], s)
+    assert {k: v for k, v in got.items() if v} == want
+    texts = dict(docs)
+    names = {texts[k][a:b] for k, v in want.items() for a, b in v}
+    hops = {"QX-48213": 1, "QX-48219": 2, "QX-48222": 3}
+    assert {x for x, hop in hops.items() if hop <= rounds} == names & set(hops)
+    assert not any(x.startswith("20") for x in names)
+
+
+def test_context_spans_of_the_tables_equal_the_plain_rounds(spark):
+    """Loose bars, so that the words of real texts are admitted and scored over the rounds."""
+    frame = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    s = PiiSettings(support=1, confidence=0.002, promote=0.004, hot_rows=4)
+    want = plain_context([tuple(r) for r in frame.collect()], s)
+    got = {}
+    for r in find_pii(frame, settings=s).collect():
+        got.setdefault(r["doc_id"], set()).update((x["start"], x["end"]) for x in r["spans"] if x["kind"] == "context")
+    assert want and {k: v for k, v in got.items() if v} == want
+
+
+def test_filter_grows_with_its_keys_and_holds_them_all(spark):
+    assert [bloom.bits_for(n) for n in (0, 1, 1 << 16, (1 << 16) + 1, 1 << 40)] == [1 << 20, 1 << 20, 1 << 20, 1 << 21, bloom.MOST_BITS]
+    for n in (0, 1, 200_000):
+        keys = spark.range(0, 3 * n, 3, numPartitions=12)
+        held = bloom.build(keys, bloom.bits_for(n))
+        assert len(held) * 8 == bloom.bits_for(n)
+        assert bloom.passes(held, np.arange(0, 3 * n, 3)).all()
+        assert bloom.passes(held, np.arange(-300_001, 0)).mean() < 0.03
