@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from strata.config import Settings
 from strata.operators import postings as P
 from strata.operators.bm25 import bm25_topk
 from strata.operators.fusion import looked_up
+from strata.operators.postings import _number, bound_entries, posting_entries
 from strata.plans import retrieval
 from strata.plans.retrieval import build_index, open_index, refresh_index, search_bm25
 from tests.helpers import CHUNK_SCHEMA, bm25, chunk_rows, top
@@ -185,3 +187,20 @@ def test_an_index_grows_and_writes_terms_in_proportion(spark, tmp_path):
     for _ in range(9):  # so many runs of term counts are added up into one
         index = refresh_index(spark.createDataFrame([], CHUNK_SCHEMA), gone, str(path), settings)
     assert index.stats.chunks == 120 and sorted(map(tuple, index.frequencies.collect())) == sorted(map(tuple, first.frequencies.collect()))
+
+
+def test_packed_numbers_whose_bytes_look_like_characters(spark):
+    values = [0, 1, 127, 128, 193, 194, 200, 224, 240, 244, 250, 255, 256, 1984, 2047, 61440, 2**31 - 1]
+    packed = bytearray(np.array(values, dtype="<i4").tobytes())
+    rows = spark.createDataFrame([(packed,)], "packed binary").select("packed", F.explode(F.sequence(F.lit(0), F.lit(len(values) - 1))).alias("at"))
+    got = rows.select("at", _number("packed", F.col("at")).alias("n")).orderBy("at").collect()
+    assert [r["n"] for r in got] == values
+
+
+def test_a_chunk_of_very_many_words(spark, tmp_path):
+    """240 words in 480 characters: that length is no valid character."""
+    index = indexed(spark, tmp_path / "index", {"A_C0": " ".join("ab"[i % 2] for i in range(240)), "B_C0": "b " * 200})
+    rows = index.postings.where("term <> ''")
+    bounds = {r["term"]: (r["most"], r["least"]) for r in bound_entries(rows).groupBy("term").agg(F.max("most").alias("most"), F.min("least").alias("least")).collect()}
+    assert bounds == {"a": (120, 240), "b": (200, 200)}
+    assert {(r["term"], r["tf"]) for r in posting_entries(rows).collect()} == {("a", 120), ("b", 120), ("b", 200)}
