@@ -18,11 +18,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 TOKENS = re.compile(r'"(?:[^"\\]|\\.)*"?|[\[\]{},]')
+HELD = 1 << 20  # bytes of lines or elements that are Python objects at a time, or one line
+
+
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in slices of about ``HELD`` bytes; what a task holds besides the batch hangs on these alone."""
+    rows = max(1, HELD * batch.num_rows // max(batch.nbytes, 1))
+    for start in range(0, batch.num_rows, rows):
+        yield batch.slice(start, rows)
 
 
 def _by_split(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, str]]:
     for batch in batches:
-        yield from zip(*[c.to_pylist() for c in batch.columns], strict=True)
+        for part in _slices(batch):
+            yield from zip(*[c.to_pylist() for c in part.columns], strict=True)
 
 
 def _changes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -49,11 +58,13 @@ class _Cutter:
         self.text: list[str] = []
         self.number, self.ordinal = 0, ordinal
         self.rows: list[tuple[str, int, int, str, bool]] = []
+        self.held = 0
 
     def end(self, closed: bool) -> None:
         text = " ".join(t for part in self.text if (t := part.strip()))  # one line: strings hold no line feed
         if text or not closed or not self.number:
             self.rows.append((self.file, self.ordinal, self.number, text, closed))
+            self.held += len(text) + 100
         self.text = []
         self.number += closed
 
@@ -87,7 +98,7 @@ def _cut(places: dict[tuple[str, int], tuple[int, int, int]]):
         cutter = None
 
         def flush() -> pa.RecordBatch:
-            out, cutter.rows = cutter.rows, []
+            out, cutter.rows, cutter.held = cutter.rows, [], 0
             return pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in out], pa.string()), pa.array([r[1] for r in out], pa.int64()),
                  pa.array([r[2] for r in out], pa.int64()), pa.array([r[3] for r in out], pa.string()),
@@ -102,7 +113,7 @@ def _cut(places: dict[tuple[str, int], tuple[int, int, int]]):
                     yield flush()
                 cutter = _Cutter(file, start, *places[file, start])
             cutter.line(line)
-            if len(cutter.rows) >= 1000:
+            if cutter.held >= HELD:
                 yield flush()
         if cutter is not None:
             cutter.end(False)
@@ -117,11 +128,12 @@ def as_array(rows: DataFrame) -> DataFrame:
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = "["
         for batch in batches:
-            out = []
-            for text in batch.column(0).to_pylist():
-                out += [before, "  " + text]
-                before = ","
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
+            for part in _slices(batch):
+                out = []
+                for text in part.column(0).to_pylist():
+                    out += [before, "  " + text]
+                    before = ","
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
         yield pa.RecordBatch.from_arrays([pa.array(["]"] if before == "," else ["[", "]"])], names=["value"])
 
     return rows.select("value").mapInArrow(lines, "value string")
