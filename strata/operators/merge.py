@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from strata.functions.timestamps import parse_iso
-from strata.operators.sizing import broadcast_if_small
+from strata.operators.sizing import broadcast_if_small, measured_bytes
 
 
 # Which version of a row is the latest: by batch, publication time, then place in the source.
@@ -39,6 +39,23 @@ def dedup_latest(df: DataFrame, key: str, order_by: Sequence[str] = ("_ingested_
     return grouped.select(*[F.col(c) if c == key else F.col(f"_latest.{c}").alias(c) for c in df.columns])
 
 
+def latest_rows(df: DataFrame, key: str, order_by: Sequence[str], broadcast_bytes: int = 64 << 20) -> DataFrame:
+    """As ``dedup_latest``, for a stored table: only rows whose key comes more than once are shuffled.
+
+    Their keys are counted first; where they are too many to broadcast, all rows go the plain way.
+    """
+    counted = df.groupBy(F.col(key).alias("_again")).agg(F.count(F.lit(1)).alias("n"))
+    again = counted.where("n > 1").select("_again")
+    size = measured_bytes(again)
+    if not size:
+        return df
+    if size > broadcast_bytes:
+        return dedup_latest(df, key, order_by)
+    same = F.col(key).eqNullSafe(F.col("_again"))
+    alone = df.join(F.broadcast(again), same, "left_anti")
+    return alone.unionByName(dedup_latest(df.join(F.broadcast(again), same, "left_semi"), key, order_by))
+
+
 def upsert(
     target: DataFrame, source: DataFrame, key: str, broadcast_bytes: int = 64 << 20, order_by: Sequence[str] = ()
 ) -> DataFrame:

@@ -13,7 +13,7 @@ from strata.operators.chunks import UNKNOWN_DOC, chunk_documents
 from strata.operators.contract import ARTICLE_EVENT, Contract, check
 from strata.operators.embed import Embedder
 from strata.operators.lineage import LineageLog
-from strata.operators.merge import ROW_ORDER, dedup_latest, standardize
+from strata.operators.merge import ROW_ORDER, latest_rows, standardize
 from strata.operators.quality import SILVER_SUITE, Expectation, enforce
 from strata.operators.sizing import broadcast_if_small
 from strata.plans.retrieval import Index, build_index, refresh_index
@@ -66,9 +66,9 @@ def load_silver(spark, contract: Contract, layout: Layout, batch_id: int, settin
     """
     bronze = read_batches(spark, layout.at("bronze"), bronze_schema(contract))
     rows = bronze.where(f"_batch_id = {batch_id}")
-    staged = dedup_latest(standardize(rows), settings.business_key, ROW_ORDER)
+    staged = latest_rows(standardize(rows), settings.business_key, ROW_ORDER, settings.broadcast_bytes)
     folder = layout.at("staging", f"batch={batch_id}")
-    staged.write.mode("overwrite").parquet(folder)
+    staged.write.mode("overwrite").option("compression", "zstd").parquet(folder)
     merge_silver(
         spark.read.parquet(folder), layout.at("silver"), settings.business_key, settings.broadcast_bytes, ROW_ORDER,
         bucket_bytes=settings.bucket_bytes, task_bytes=settings.task_bytes,

@@ -64,7 +64,8 @@ def write_split(
         "_source_row",
         F.when(rejected, "quarantined").otherwise("valid").alias("_status"),
     )
-    rows.write.mode("overwrite").partitionBy("_status").format(fmt).save(path)
+    writer = rows.write.mode("overwrite").partitionBy("_status").format(fmt)
+    (writer.option("compression", "zstd") if fmt == "parquet" else writer).save(path)
     return seen.get
 
 
@@ -133,7 +134,8 @@ def append_batch(
     """
     seen = Observation("appended")
     counted = df.observe(seen, F.count(F.lit(1)).alias("n"))
-    counted.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/_batch_id={batch_id}")
+    writer = counted.write.mode("overwrite").partitionBy(*partition_by).option("compression", "zstd")
+    writer.parquet(f"{path}/_batch_id={batch_id}")
     return seen.get["n"]
 
 

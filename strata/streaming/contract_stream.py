@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from strata.config import Settings
 from strata.operators.contract import Contract, check
-from strata.operators.merge import ROW_ORDER, dedup_latest, standardize
+from strata.operators.merge import ROW_ORDER, latest_rows, standardize
 from strata.sources.silver import merge_silver
 from strata.sources.writers import read_quarantine, read_valid, send_to_kafka, with_audit, write_split
 
@@ -62,7 +62,8 @@ def stream_silver(
         valid = read_valid(spark, landing, contract, with_source=True)
         rows = standardize(with_audit(valid, settings.source_name)).withColumn("_batch_id", F.lit(batch_id).cast("long"))
         folder = f"{staging}/rows/batch_id={batch_id}"
-        dedup_latest(rows, settings.business_key, ROW_ORDER).write.mode("overwrite").parquet(folder)
+        latest = latest_rows(rows, settings.business_key, ROW_ORDER, settings.broadcast_bytes)
+        latest.write.mode("overwrite").option("compression", "zstd").parquet(folder)
         merge_silver(spark.read.parquet(folder), silver, settings.business_key, settings.broadcast_bytes, ROW_ORDER,
                      bucket_bytes=settings.bucket_bytes, task_bytes=settings.task_bytes)
 
